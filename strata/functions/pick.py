@@ -33,3 +33,11 @@ def pick_from_array(arr, *keys, seed: int = 42) -> Column:
     a = _c(arr)
     return F.when(F.size(a) > 0,
                   F.element_at(a, (hash_index(F.size(a), *keys, seed=seed) + 1).cast("int")))
+
+
+def md5_index(n, *keys, seed: int = 42) -> Column:
+    """Like :func:`hash_index` but from the first 60 bits of ``md5('seed|k1|k2...')`` — a pick any
+    SQL engine with ``md5`` can reproduce (used where results are checked against SQL)."""
+    n_col = n if isinstance(n, Column) else F.lit(int(n))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[_c(k).cast("string") for k in keys]))
+    return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), n_col.cast("long"))

@@ -19,14 +19,25 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.text import ckey, fingerprint
 from strata.operators.calendar import dim_dates
 from strata.operators.latest import latest_by
 from strata.plans.marts import sales_by_category_month
+from strata.session import cut_lineage
 from strata.sources.tables import Tables
+from strata.functions.dates import LOW_TS, high_ts, low_ts, time_id
+from strata.functions.pick import md5_index
+from strata.functions.text import na, std
+from strata.operators import control, partitions, prepare, quality
+from strata.operators.keys import assign_keys, ensure_default, lookup, lookup_first, map_or_mint, max_id
+from strata.operators.pit import point_in_time_join
+from strata.operators.scd2 import scd2_merge, versions_from_events
+from strata.operators.staging import stage_append
+from strata.operators.upsert import merge_fact, upsert
+from strata.plans import marts
 
 # Fixed parameters of the stand-in runs.
 BATCH1_CUTOFF = "1998-01-01 00:00:00"
@@ -97,3 +108,343 @@ def calendar_bounds_from(df: DataFrame, date_col: str) -> tuple[str, str]:
     lo = lo or _dt.date(1900, 1, 1)
     hi = hi or lo
     return lo.isoformat(), hi.isoformat()
+
+
+# ---------------------------------------------------------------------------------------------
+# Building blocks shared by the registered queries
+# ---------------------------------------------------------------------------------------------
+
+SRC_ENTITY = "SRC_RETAIL_SALES"
+STAGE_COLS = ["hash_value", "transaction_id", "event_dt", "load_dt"]
+
+
+def _empty(spark: SparkSession, like: DataFrame) -> DataFrame:
+    return spark.createDataFrame([], like.schema)
+
+
+def by_recency():
+    return [F.col("event_dt").desc(), F.col("hash_value").desc()]
+
+
+def staged(spark: SparkSession, sf_dir: str):
+    """Staging after two batch loads: batch 1 (lines shipped before the cut-off), then the
+    whole table delivered again; returns (batch-1 result, batch-2 result)."""
+    feed = sales_feed(spark, sf_dir).filter(F.col("transaction_id").isNotNull() & F.col("event_dt").isNotNull())
+    b1 = batch1(feed).select("hash_value", "transaction_id", "event_dt", ts_lit(BATCH1_TS).alias("load_dt"))
+    r1 = stage_append(_empty(spark, b1), b1, order=[F.col("event_dt").asc()])
+    b2 = feed.select("hash_value", "transaction_id", "event_dt", ts_lit(BATCH2_TS).alias("load_dt"))
+    r2 = stage_append(r1.table, b2, order=[F.col("event_dt").asc()])
+    return r1, r2
+
+
+def channel_sales(feed: DataFrame) -> DataFrame:
+    """CE_SALES source: per channel the latest record of each transaction, standardised and
+    padded to the common layout, then UNION ALL of the two channels."""
+    def one(src: str, online: bool) -> DataFrame:
+        ch = feed.filter(F.col("source_system") == src)
+        ch = latest_by(ch, [std("transaction_id")], by_recency())
+        return ch.select(
+            std("transaction_id").alias("sale_src_id"), "event_dt",
+            (na("customer_id") if online else F.lit("N/A")).alias("customer_id"),
+            na("product_id").alias("product_id"),
+            (F.lit("N/A") if online else na("employee_id")).alias("employee_id"),
+            na("payment_method").alias("payment_method"), na("card_type").alias("card_type"),
+            na("verification_method").alias("verification_method"),
+            "quantity", "price", "discount", "total_amount",
+            F.lit(src).alias("source_system"), F.lit(SRC_ENTITY).alias("source_entity"))
+    return one("SA_ONLINE", True).unionByName(one("SA_OFFLINE", False))
+
+
+def product_records(feed: DataFrame, part: DataFrame) -> DataFrame:
+    """Mapping transform for products: latest record per (channel, product), standardised."""
+    j = feed.join(part, F.col("product_id") == F.col("p_partkey").cast("string"))
+    r = latest_by(j, ["source_system", std("product_id")], by_recency())
+    return r.select(std("product_id").alias("product_src_id"), na("p_name").alias("product_name"),
+                    na("p_brand").alias("manufacturer"), na(F.col("p_size").cast("string")).alias("subcategory_name"),
+                    na("p_type").alias("category_name"), "source_system", F.lit(SRC_ENTITY).alias("source_entity"))
+
+
+MAP_COLS = ["product_id", "product_src_id", "product_name", "manufacturer", "subcategory_name", "category_name",
+            "source_system", "source_entity", "hash_value", "load_dt"]
+
+
+def product_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    feed = sales_feed(spark, sf_dir)
+    attrs = ["product_name", "manufacturer", "subcategory_name", "category_name"]
+    rec1 = product_records(batch1(feed), t.part)
+    empty = spark.createDataFrame([], "product_id long, product_src_id string, product_name string, "
+                                      "manufacturer string, subcategory_name string, category_name string, "
+                                      "source_system string, source_entity string, hash_value string, "
+                                      "load_dt timestamp_ntz")
+    m1 = map_or_mint(rec1, empty, "product_src_id", "product_id", attrs, BATCH1_TS, offset=0)
+    m2 = map_or_mint(product_records(feed, t.part), m1.table, "product_src_id", "product_id", attrs, BATCH2_TS)
+    return m2.table.select(*MAP_COLS)
+
+
+def customer_state(t: Tables, cutoff: str | None) -> DataFrame:
+    """Customer entity as of a cut-off: name and segment, priority and status of the latest order."""
+    o = t.orders
+    if cutoff:
+        o = o.filter(F.col("o_orderdate") < ts_lit(cutoff))
+    last = latest_by(o, ["o_custkey"], [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()])
+    c = t.customer.select("c_custkey", "c_name", "c_mktsegment")
+    return (last.join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .select(F.col("o_custkey").cast("string").alias("customer_src_id"),
+                    na("c_name").alias("customer_name"), na("c_mktsegment").alias("segment"),
+                    na("o_orderpriority").alias("last_priority"), na("o_orderstatus").alias("last_status"),
+                    F.lit("SA_ONLINE").alias("source_system"), F.lit(SRC_ENTITY).alias("source_entity")))
+
+
+CUSTOMER_ATTRS = ["customer_name", "segment", "last_priority", "last_status"]
+
+
+def customer_upsert(spark: SparkSession, sf_dir: str):
+    t = Tables(spark, sf_dir)
+    first = assign_keys(customer_state(t, BATCH1_CUTOFF), ["customer_src_id"], "customer_id")
+    target = first.select("customer_id", "customer_src_id", *CUSTOMER_ATTRS, "source_system", "source_entity",
+                          ts_lit(BATCH1_TS).alias("insert_dt"), ts_lit(BATCH1_TS).alias("update_dt"))
+    return upsert(target, customer_state(t, None), "customer_src_id", CUSTOMER_ATTRS, BATCH2_TS,
+                  id_col="customer_id")
+
+
+def employee_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = Tables(spark, sf_dir).events
+    return e.select("event_id", F.col("user_id").cast("string").alias("employee_src_id"), "ts",
+                    na("event_type").alias("event_type"))
+
+
+def employee_versions(spark: SparkSession, sf_dir: str, *, exclude_type: str | None = None) -> DataFrame:
+    ev = employee_events(spark, sf_dir)
+    if exclude_type:
+        ev = ev.filter(F.col("event_type") != exclude_type)
+    return versions_from_events(ev, "employee_src_id", "ts", ["event_type"])
+
+
+# ---- hierarchies (CE entities, then denormalised DIM rows) ----------------------------------
+
+def _ids(df: DataFrame, key: str, id_col: str) -> DataFrame:
+    return assign_keys(df, [key], id_col)
+
+
+class Star:
+    """The stand-in warehouse layers. Each layer is built once per run and materialised to the
+    reliable checkpoint folder — the analogue of the source writing each layer to a table — so
+    later layers read a short plan instead of re-deriving every parent."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self.t = spark, sf_dir, Tables(spark, sf_dir)
+        self._kept: dict[str, DataFrame] = {}
+
+    def keep(self, name: str, build) -> DataFrame:
+        if name not in self._kept:
+            self._kept[name] = cut_lineage(build())
+        return self._kept[name]
+
+    @property
+    def feed(self) -> DataFrame:
+        return sales_feed(self.spark, self.sf_dir)
+
+    # products: part > brand > type
+    @property
+    def ce_categories(self) -> DataFrame:
+        return self.keep("ce_categories", lambda: _ids(
+            self.t.part.select(na("p_type").alias("product_category_src_id")).distinct(),
+            "product_category_src_id", "product_category_id")
+            .withColumn("category_name", F.col("product_category_src_id")))
+
+    @property
+    def ce_subcategories(self) -> DataFrame:
+        def build():
+            subs = (self.t.part.select(na("p_brand").alias("subcategory_name"), na("p_type").alias("_cat")).distinct()
+                    .withColumn("product_subcategory_src_id", ckey("subcategory_name", "_cat")))
+            subs = _ids(subs, "product_subcategory_src_id", "product_subcategory_id")
+            return lookup(subs, self.ce_categories, "_cat", "category_name", "product_category_id",
+                          "product_category_id").drop("_cat")
+        return self.keep("ce_subcategories", build)
+
+    @property
+    def ce_products(self) -> DataFrame:
+        def build():
+            prods = self.t.part.select(F.col("p_partkey").cast("string").alias("product_src_id"),
+                                       na("p_name").alias("product_name"),
+                                       ckey(na("p_brand"), na("p_type")).alias("_sub"))
+            prods = _ids(prods, "product_src_id", "product_id")
+            return lookup(prods, self.ce_subcategories, "_sub", "product_subcategory_src_id",
+                          "product_subcategory_id", "product_subcategory_id").drop("_sub")
+        return self.keep("ce_products", build)
+
+    @property
+    def dim_products(self) -> DataFrame:
+        def build():
+            d = self.ce_products.select(F.col("product_id").cast("string").alias("product_src_id"), "product_name",
+                                        "product_subcategory_id")
+            d = _ids(d, "product_src_id", "product_surr_id")
+            sub = self.ce_subcategories.select("product_subcategory_id",
+                                               F.col("subcategory_name").alias("product_subcategory_name"),
+                                               "product_category_id")
+            cat = self.ce_categories.select("product_category_id",
+                                            F.col("category_name").alias("product_category_name"))
+            d = d.join(sub, "product_subcategory_id", "left").join(cat, "product_category_id", "left")
+            return d.select("product_surr_id", "product_src_id", "product_name",
+                            F.coalesce("product_subcategory_id", F.lit(-1)).alias("product_subcategory_id"),
+                            F.coalesce("product_subcategory_name", F.lit("N/A")).alias("product_subcategory_name"),
+                            F.coalesce("product_category_id", F.lit(-1)).alias("product_category_id"),
+                            F.coalesce("product_category_name", F.lit("N/A")).alias("product_category_name"))
+        return self.keep("dim_products", build)
+
+    # locations: supplier (address) > nation (city) > region (country)
+    @property
+    def ce_countries(self) -> DataFrame:
+        return self.keep("ce_countries", lambda: _ids(
+            self.t.region.select(na("r_name").alias("country_src_id")).distinct(), "country_src_id", "country_id")
+            .withColumn("country_name", F.col("country_src_id")))
+
+    def _nation_region(self) -> DataFrame:
+        return self.t.nation.join(self.t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+
+    @property
+    def ce_cities(self) -> DataFrame:
+        def build():
+            cities = (self._nation_region().select(na("n_name").alias("city_name"), na("r_name").alias("_country"))
+                      .distinct().withColumn("city_src_id", ckey("city_name", "_country")))
+            cities = _ids(cities, "city_src_id", "city_id")
+            return lookup(cities, self.ce_countries, "_country", "country_name", "country_id",
+                          "country_id").drop("_country")
+        return self.keep("ce_cities", build)
+
+    @property
+    def ce_addresses(self) -> DataFrame:
+        def build():
+            snr = self.t.supplier.join(self._nation_region(), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+            addrs = (snr.select(na("s_name").alias("address_name"), ckey(na("n_name"), na("r_name")).alias("_city"))
+                     .withColumn("address_src_id", ckey("address_name", "_city")))
+            addrs = _ids(addrs, "address_src_id", "address_id")
+            return lookup(addrs, self.ce_cities, "_city", "city_src_id", "city_id", "city_id").drop("_city")
+        return self.keep("ce_addresses", build)
+
+    @property
+    def dim_locations(self) -> DataFrame:
+        def build():
+            d = self.ce_addresses.select(F.col("address_id").cast("string").alias("location_src_id"), "address_id",
+                                         "address_name", "city_id")
+            d = _ids(d, "location_src_id", "location_surr_id")
+            d = (d.join(self.ce_cities.select("city_id", "city_name", "country_id"), "city_id", "left")
+                 .join(self.ce_countries.select("country_id", "country_name"), "country_id", "left"))
+            return d.select("location_surr_id", "location_src_id", "address_id", "address_name",
+                            F.coalesce("city_id", F.lit(-1)).alias("city_id"),
+                            F.coalesce("city_name", F.lit("N/A")).alias("city_name"),
+                            F.coalesce("country_id", F.lit(-1)).alias("country_id"),
+                            F.coalesce("country_name", F.lit("N/A")).alias("country_name"))
+        return self.keep("dim_locations", build)
+
+    # payment details: priority | returnflag | linestatus
+    def _payment_records(self) -> DataFrame:
+        return self.feed.select(na("payment_method").alias("payment_method_name"),
+                                na("card_type").alias("card_type_name"),
+                                na("verification_method").alias("verification_method")).distinct()
+
+    @property
+    def ce_payment_methods(self) -> DataFrame:
+        return self.keep("ce_payment_methods", lambda: _ids(
+            self._payment_records().select(F.col("payment_method_name").alias("payment_method_src_id")).distinct(),
+            "payment_method_src_id", "payment_method_id")
+            .withColumn("payment_method_name", F.col("payment_method_src_id")))
+
+    @property
+    def ce_card_types(self) -> DataFrame:
+        return self.keep("ce_card_types", lambda: _ids(
+            self._payment_records().select("card_type_name", "verification_method").distinct()
+            .withColumn("card_type_src_id", ckey("card_type_name", "verification_method")),
+            "card_type_src_id", "card_type_id"))
+
+    @property
+    def ce_payment_details(self) -> DataFrame:
+        def build():
+            det = self._payment_records().withColumn(
+                "payment_detail_src_id", ckey("payment_method_name", "card_type_name", "verification_method"))
+            det = _ids(det, "payment_detail_src_id", "payment_detail_id")
+            det = lookup(det, self.ce_payment_methods, "payment_method_name", "payment_method_src_id",
+                         "payment_method_id", "payment_method_id")
+            det = lookup(det, self.ce_card_types, ckey("card_type_name", "verification_method"), "card_type_src_id",
+                         "card_type_id", "card_type_id")
+            return det.select("payment_detail_id", "payment_detail_src_id", "payment_method_id", "card_type_id")
+        return self.keep("ce_payment_details", build)
+
+    @property
+    def dim_payment_details(self) -> DataFrame:
+        def build():
+            d = self.ce_payment_details.select(F.col("payment_detail_id").cast("string").alias("payment_detail_src_id"),
+                                               "payment_method_id", "card_type_id")
+            d = _ids(d, "payment_detail_src_id", "payment_detail_surr_id")
+            d = (d.join(self.ce_payment_methods.select("payment_method_id", "payment_method_name"),
+                        "payment_method_id", "left")
+                 .join(self.ce_card_types.select("card_type_id", "card_type_name", "verification_method"),
+                       "card_type_id", "left"))
+            return d.select("payment_detail_surr_id", "payment_detail_src_id", "payment_method_id",
+                            F.coalesce("payment_method_name", F.lit("N/A")).alias("payment_method_name"),
+                            "card_type_id", F.coalesce("card_type_name", F.lit("N/A")).alias("card_type_name"),
+                            F.coalesce("verification_method", F.lit("N/A")).alias("verification_method"))
+        return self.keep("dim_payment_details", build)
+
+    @property
+    def dim_customers(self) -> DataFrame:
+        def build():
+            ce = _ids(self.t.customer.select(F.col("c_custkey").cast("string").alias("customer_src_id"),
+                                             na("c_name").alias("customer_name")), "customer_src_id", "customer_id")
+            d = ce.select(F.col("customer_id").cast("string").alias("customer_src_id"), "customer_id",
+                          "customer_name")
+            return _ids(d, "customer_src_id", "customer_surr_id")
+        return self.keep("dim_customers", build)
+
+    @property
+    def dim_employees(self) -> DataFrame:
+        """Suppliers play employees with one open version each, located at their own address."""
+        def build():
+            emp = self.t.supplier.select(F.col("s_suppkey").cast("string").alias("employee_src_id"),
+                                         na("s_name").alias("_addr"))
+            emp = lookup(emp, self.dim_locations, "_addr", "address_name", "location_surr_id",
+                         "location_id").drop("_addr")
+            emp = (emp.withColumn("start_dt", low_ts()).withColumn("end_dt", high_ts())
+                   .withColumn("is_active", F.lit(True)))
+            return assign_keys(emp, ["employee_src_id", "start_dt"], "employee_surr_id")
+        return self.keep("dim_employees", build)
+
+    def fact_rows(self, feed: DataFrame) -> DataFrame:
+        """FN_DM_TRANSFORM_SALES on the stand-ins: date/time split, cost, six dimension keys."""
+        sales = channel_sales(feed)
+        sales = lookup(sales, self.ce_products, "product_id", "product_src_id", "product_id", "_ce_prod")
+        sales = lookup(sales, self.dim_products, F.col("_ce_prod").cast("string"), "product_src_id",
+                       "product_surr_id", "product_surr_id")
+        dcus = self.dim_customers.select(F.col("customer_id").cast("string").alias("_cid"), "customer_surr_id")
+        sales = lookup(sales, dcus, "customer_id", "_cid", "customer_surr_id", "customer_surr_id")
+        sales = lookup(sales, self.ce_payment_details, ckey("payment_method", "card_type", "verification_method"),
+                       "payment_detail_src_id", "payment_detail_id", "_ce_pay")
+        sales = lookup(sales, self.dim_payment_details, F.col("_ce_pay").cast("string"), "payment_detail_src_id",
+                       "payment_detail_surr_id", "payment_detail_surr_id")
+        sales = point_in_time_join(sales, self.dim_employees, fact_key="employee_id", fact_ts="event_dt",
+                                   version_key="employee_src_id", take=["location_id"],
+                                   id_col="employee_surr_id", out_id="employee_surr_id")
+        sales = lookup(sales, self.dim_locations, "v_location_id", "location_surr_id", "location_surr_id",
+                       "location_surr_id")
+        return sales.select(
+            F.col("sale_src_id"), F.to_date("event_dt").alias("date_id"), time_id("event_dt").alias("time_id"),
+            "customer_surr_id", "product_surr_id", "employee_surr_id", "location_surr_id", "payment_detail_surr_id",
+            F.lit(-1).cast("long").alias("device_surr_id"), "quantity", "price",
+            (F.col("quantity") * F.col("price")).cast("decimal(10,2)").alias("cost"), "discount", "total_amount",
+            F.lit("BL_3NF").alias("source_system"), F.lit("CE_SALES").alias("source_entity"))
+
+    def fact_merged(self):
+        """Fact after batch 1, then the batch-2 fact rows merged into it."""
+        def first():
+            f = assign_keys(self.fact_rows(batch1(self.feed)), ["sale_src_id"], "sale_surr_id")
+            f = f.select("sale_surr_id", *[c for c in f.columns if c != "sale_surr_id"],
+                         ts_lit(BATCH1_TS).alias("insert_dt"), ts_lit(BATCH1_TS).alias("update_dt"))
+            return partitions.with_month(f)
+        target = self.keep("fct_batch1", first)
+        source = self.keep("fct_source2", lambda: partitions.with_month(self.fact_rows(self.feed)))
+        return merge_fact(target, source, "sale_src_id", FACT_COMPARE, BATCH2_TS, id_col="sale_surr_id")
+
+
+FACT_COMPARE = ["customer_surr_id", "product_surr_id", "employee_surr_id", "location_surr_id",
+                "payment_detail_surr_id", "device_surr_id", "quantity", "price", "cost", "discount", "total_amount"]
