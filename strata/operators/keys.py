@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import fingerprint
 from strata.operators.latest import first_per_key
+from strata.session import cut_lineage
 
 UNKNOWN_ID = -1
 _POS_BITS = 33  # monotonically_increasing_id = (partition index << 33) + position in partition
@@ -28,15 +29,17 @@ def assign_keys(keys: DataFrame, order_cols: Sequence[str], id_col: str, offset:
     Plan: range-partition and sort on the key (one shuffle, parallel), count rows per
     partition (one number per partition), turn the counts into start offsets over that tiny
     table, and add the in-partition position. There is no single-partition window over the
-    data, and because the ids follow the global key order they are the same on any re-run
-    (a lost executor recomputes the same ids).
+    data, and because the ids follow the global key order (keys must be distinct) they are the
+    same on any re-run.
     """
     spark = keys.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (keys.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    # The range bounds come from a sample of the input; if the input is itself the output of
+    # a shuffle its row order (hence the sample) can differ between two evaluations. The
+    # sorted ranges are therefore written once to the reliable checkpoint folder, and both the
+    # per-partition counts and the positions are read from that copy.
+    ranged = cut_lineage(keys.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
+    ranged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # At most ``n`` rows (one per partition): a bounded table, safe to broadcast.

@@ -2,13 +2,29 @@
 
 Tables ``region nation customer supplier part orders lineitem events`` are views over the same
 parquet files. Every output column is aliased to the Spark name and cast to the Spark type.
+Ids assigned by ``assign_keys`` are ``row_number() OVER (ORDER BY <natural key>)`` here.
 """
 
 from __future__ import annotations
 
 CUTOFF = "TIMESTAMP '1998-01-01 00:00:00'"
-B1_TS = "TIMESTAMP '2024-01-01 00:00:00'"
-B2_TS = "TIMESTAMP '2024-02-01 00:00:00'"
+B1 = "TIMESTAMP '2024-01-01 00:00:00'"
+B2 = "TIMESTAMP '2024-02-01 00:00:00'"
+HIGH = "TIMESTAMP '9999-12-31 23:59:59'"
+LOW = "TIMESTAMP '1900-01-01 00:00:00'"
+
+
+def NA(x: str) -> str:
+    return f"coalesce(upper(trim({x})), 'N/A')"
+
+
+def STD(x: str) -> str:
+    return f"upper(trim({x}))"
+
+
+def MD5IDX(n: str, key: str, seed: int = 42) -> str:
+    return f"(CAST(('0x' || substr(md5('{seed}|' || CAST({key} AS VARCHAR)), 1, 15)) AS BIGINT) % ({n}))"
+
 
 LATEST_LINEITEM = """
   SELECT * FROM (
@@ -19,7 +35,10 @@ LATEST_LINEITEM = """
     FROM lineitem) WHERE rn = 1
 """
 
-CALENDAR = """
+
+def calendar_from(series: str) -> str:
+    """Calendar columns over ``series`` (a FROM item yielding column ``d``)."""
+    return f"""
   SELECT CAST(d AS DATE) AS date_id,
          CAST(isodow(d) AS SMALLINT) AS day_of_week_number,
          rpad(upper(strftime(d, '%A')), 9, ' ') AS day_of_week_name,
@@ -31,7 +50,23 @@ CALENDAR = """
          CAST(quarter(d) AS SMALLINT) AS quarter_value,
          'Q' || CAST(quarter(d) AS VARCHAR) AS quarter_name,
          CAST(year(d) AS SMALLINT) AS year_value
-  FROM generate_series({lo}, {hi}, INTERVAL 1 DAY) AS g(d)
+  FROM {series}"""
+
+
+def calendar(lo: str, hi: str) -> str:
+    return calendar_from(f"generate_series({lo}, {hi}, INTERVAL 1 DAY) AS g(d)")
+
+
+TIMES = """
+  SELECT CAST(i AS SMALLINT) AS time_id, CAST(i % 60 AS SMALLINT) AS minute_value,
+         CAST(i // 60 AS SMALLINT) AS hour_value,
+         lpad(CAST(i // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(i % 60 AS VARCHAR), 2, '0') AS hour_name,
+         (i // 60) >= 8 AND (i // 60) < 16 AS working_hours_flag,
+         CASE WHEN i // 60 >= 6 AND i // 60 < 12 THEN 'MORNING'
+              WHEN i // 60 >= 12 AND i // 60 < 18 THEN 'AFTERNOON'
+              WHEN i // 60 >= 18 AND i // 60 < 24 THEN 'EVENING'
+              WHEN i // 60 >= 0 AND i // 60 < 6 THEN 'NIGHT' ELSE 'UNKNOWN' END AS time_of_day
+  FROM range(0, 1440) AS r(i)
 """
 
 # The sale feed: one record per order line, typed like ``standin.sales_feed``.
@@ -53,16 +88,274 @@ FEED = """
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 """
 
+STAGED = f"""
+  feedx AS (SELECT * FROM feed WHERE transaction_id IS NOT NULL AND event_dt IS NOT NULL),
+  s1 AS (SELECT hash_value, transaction_id, event_dt, {B1} AS load_dt FROM (
+           SELECT *, row_number() OVER (PARTITION BY hash_value ORDER BY event_dt) AS rn
+           FROM feedx WHERE event_dt < {CUTOFF}) WHERE rn = 1),
+  s2 AS (SELECT hash_value, transaction_id, event_dt, {B2} AS load_dt FROM (
+           SELECT *, row_number() OVER (PARTITION BY hash_value ORDER BY event_dt) AS rn FROM feedx)
+         WHERE rn = 1 AND hash_value NOT IN (SELECT hash_value FROM s1)),
+  staged AS (SELECT * FROM s1 UNION ALL SELECT * FROM s2)
+"""
+
+
+def channel_sales(feed: str) -> str:
+    return f"""
+  SELECT {STD('transaction_id')} AS sale_src_id, event_dt,
+         CASE WHEN source_system = 'SA_ONLINE' THEN {NA('customer_id')} ELSE 'N/A' END AS customer_id,
+         {NA('product_id')} AS product_id,
+         CASE WHEN source_system = 'SA_ONLINE' THEN 'N/A' ELSE {NA('employee_id')} END AS employee_id,
+         {NA('payment_method')} AS payment_method, {NA('card_type')} AS card_type,
+         {NA('verification_method')} AS verification_method,
+         quantity, price, discount, total_amount, source_system, 'SRC_RETAIL_SALES' AS source_entity
+  FROM (SELECT *, row_number() OVER (PARTITION BY source_system, {STD('transaction_id')}
+                                     ORDER BY event_dt DESC, hash_value DESC) AS rn FROM {feed})
+  WHERE rn = 1"""
+
+
+PRODUCT_MAP = f"""
+  rec AS (SELECT {STD('product_id')} AS product_src_id, {NA('p_name')} AS product_name,
+                 {NA('p_brand')} AS manufacturer, {NA('CAST(p_size AS VARCHAR)')} AS subcategory_name,
+                 {NA('p_type')} AS category_name, source_system, 'SRC_RETAIL_SALES' AS source_entity,
+                 event_dt, hash_value AS feed_hash
+          FROM feed JOIN part ON product_id = CAST(p_partkey AS VARCHAR)),
+  r1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_system, product_src_id
+                                                     ORDER BY event_dt DESC, feed_hash DESC) AS rn
+                        FROM rec WHERE event_dt < {CUTOFF}) WHERE rn = 1),
+  r2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_system, product_src_id
+                                                     ORDER BY event_dt DESC, feed_hash DESC) AS rn
+                        FROM rec) WHERE rn = 1),
+  m1 AS (SELECT dense_rank() OVER (ORDER BY product_src_id) AS product_id, product_src_id, product_name,
+                manufacturer, subcategory_name, category_name, source_system, source_entity,
+                md5(concat_ws('|', product_src_id, product_name, manufacturer, subcategory_name, category_name,
+                              source_system, source_entity)) AS hash_value, {B1} AS load_dt
+         FROM r1),
+  newkeys AS (SELECT product_src_id,
+                     (SELECT coalesce(max(product_id), 0) FROM m1) + row_number() OVER (ORDER BY product_src_id)
+                       AS product_id
+              FROM (SELECT DISTINCT product_src_id FROM r2
+                    WHERE product_src_id NOT IN (SELECT product_src_id FROM m1))),
+  ids AS (SELECT product_src_id, min(product_id) AS product_id FROM m1 GROUP BY 1
+          UNION ALL SELECT product_src_id, product_id FROM newkeys),
+  h2 AS (SELECT r2.*, md5(concat_ws('|', product_src_id, product_name, manufacturer, subcategory_name,
+                                    category_name, source_system, source_entity)) AS hash_value FROM r2),
+  m2 AS (SELECT ids.product_id, h2.product_src_id, product_name, manufacturer, subcategory_name, category_name,
+                source_system, source_entity, hash_value, {B2} AS load_dt
+         FROM h2 JOIN ids ON h2.product_src_id = ids.product_src_id
+         WHERE hash_value NOT IN (SELECT hash_value FROM m1)),
+  pmap AS (SELECT * FROM m1 UNION ALL SELECT * FROM m2)
+"""
+
+
+def customer_state(name: str, cond: str) -> str:
+    return f"""
+  {name} AS (SELECT CAST(o_custkey AS VARCHAR) AS customer_src_id, {NA('c_name')} AS customer_name,
+                    {NA('c_mktsegment')} AS segment, {NA('o_orderpriority')} AS last_priority,
+                    {NA('o_orderstatus')} AS last_status, 'SA_ONLINE' AS source_system,
+                    'SRC_RETAIL_SALES' AS source_entity
+             FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+                   FROM orders WHERE {cond}) o
+             LEFT JOIN customer ON o_custkey = c_custkey
+             WHERE rn = 1)"""
+
+
+CUSTOMERS = f"""
+  {customer_state('cs1', f'o_orderdate < {CUTOFF}')},
+  {customer_state('cs2', 'TRUE')},
+  t1 AS (SELECT row_number() OVER (ORDER BY customer_src_id) AS customer_id, * FROM cs1),
+  ins AS (SELECT (SELECT coalesce(max(customer_id), 0) FROM t1) + row_number() OVER (ORDER BY customer_src_id)
+                   AS customer_id, customer_src_id, customer_name, segment, last_priority, last_status,
+                 source_system, source_entity, {B2} AS insert_dt, {B2} AS update_dt
+          FROM cs2 WHERE customer_src_id NOT IN (SELECT customer_src_id FROM t1)),
+  upd AS (SELECT t1.customer_id, t1.customer_src_id, s.customer_name, s.segment, s.last_priority, s.last_status,
+                 t1.source_system, t1.source_entity, {B1} AS insert_dt, {B2} AS update_dt
+          FROM t1 JOIN cs2 s ON t1.customer_src_id = s.customer_src_id
+          WHERE t1.customer_name <> s.customer_name OR t1.segment <> s.segment
+             OR t1.last_priority <> s.last_priority OR t1.last_status <> s.last_status),
+  cust_counts AS (SELECT (SELECT count(*) FROM cs2) AS rows_processed, (SELECT count(*) FROM ins) AS rows_inserted,
+                         (SELECT count(*) FROM upd) AS rows_updated)
+"""
+
+
+def versions(name: str, cond: str) -> str:
+    """Gaps-and-islands SCD2 versions of the employee feed (``events`` rows matching ``cond``)."""
+    return f"""
+  {name}_e AS (SELECT CAST(user_id AS VARCHAR) AS k, ts, {NA('event_type')} AS a,
+                      md5({NA('event_type')}) AS h FROM events WHERE {cond}),
+  {name}_d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, ts ORDER BY h DESC) AS r
+                              FROM {name}_e) WHERE r = 1),
+  {name}_l AS (SELECT *, lag(a) OVER (PARTITION BY k ORDER BY ts) AS pa FROM {name}_d),
+  {name}_s AS (SELECT k, a, ts AS start_dt FROM {name}_l WHERE pa IS NULL OR pa <> a),
+  {name}_n AS (SELECT *, lead(start_dt) OVER (PARTITION BY k ORDER BY start_dt) AS nx FROM {name}_s),
+  {name} AS (SELECT k AS employee_src_id, a AS event_type, start_dt,
+                    CASE WHEN nx IS NULL THEN {HIGH} ELSE nx - INTERVAL 1 MINUTE END AS end_dt,
+                    nx IS NULL AS is_active FROM {name}_n)"""
+
+
+PIT = f"""
+  {versions('v', "coalesce(upper(trim(event_type)), 'N/A') <> 'PURCHASE'")},
+  vs AS (SELECT *, row_number() OVER (ORDER BY employee_src_id, start_dt) AS employee_surr_id FROM v),
+  probes AS (SELECT event_id, CAST(user_id AS VARCHAR) AS employee_src_id, ts FROM events
+             WHERE {NA('event_type')} = 'PURCHASE')
+SELECT p.event_id, p.employee_src_id, p.ts, coalesce(vs.event_type, 'N/A') AS version_event_type,
+       coalesce(vs.employee_surr_id, -1) AS employee_surr_id
+FROM probes p LEFT JOIN vs ON p.employee_src_id = vs.employee_src_id AND p.ts BETWEEN vs.start_dt AND vs.end_dt
+"""
+
+PRODUCTS = f"""
+  cats AS (SELECT product_category_src_id, row_number() OVER (ORDER BY product_category_src_id) AS product_category_id,
+                  product_category_src_id AS category_name
+           FROM (SELECT DISTINCT {NA('p_type')} AS product_category_src_id FROM part)),
+  subs AS (SELECT *, row_number() OVER (ORDER BY product_subcategory_src_id) AS product_subcategory_id
+           FROM (SELECT subcategory_name, _cat, concat_ws('|', subcategory_name, _cat) AS product_subcategory_src_id
+                 FROM (SELECT DISTINCT {NA('p_brand')} AS subcategory_name, {NA('p_type')} AS _cat FROM part))),
+  subs2 AS (SELECT subs.*, coalesce(cats.product_category_id, -1) AS product_category_id
+            FROM subs LEFT JOIN cats ON subs._cat = cats.category_name),
+  prods AS (SELECT CAST(p_partkey AS VARCHAR) AS product_src_id, {NA('p_name')} AS product_name,
+                   concat_ws('|', {NA('p_brand')}, {NA('p_type')}) AS _sub,
+                   row_number() OVER (ORDER BY CAST(p_partkey AS VARCHAR)) AS product_id FROM part),
+  prods2 AS (SELECT prods.*, coalesce(subs2.product_subcategory_id, -1) AS product_subcategory_id
+             FROM prods LEFT JOIN subs2 ON prods._sub = subs2.product_subcategory_src_id),
+  dprod AS (SELECT d.product_surr_id, d.product_src_id, d.product_name,
+                   coalesce(d.product_subcategory_id, -1) AS product_subcategory_id,
+                   coalesce(s.subcategory_name, 'N/A') AS product_subcategory_name,
+                   coalesce(s.product_category_id, -1) AS product_category_id,
+                   coalesce(c.category_name, 'N/A') AS product_category_name
+            FROM (SELECT CAST(product_id AS VARCHAR) AS product_src_id, product_name, product_subcategory_id,
+                         row_number() OVER (ORDER BY CAST(product_id AS VARCHAR)) AS product_surr_id FROM prods2) d
+            LEFT JOIN subs2 s ON d.product_subcategory_id = s.product_subcategory_id
+            LEFT JOIN cats c ON s.product_category_id = c.product_category_id)
+"""
 
-def _calendar(lo: str, hi: str) -> str:
-    return CALENDAR.format(lo=lo, hi=hi)
+LOCATIONS = f"""
+  countries AS (SELECT country_src_id, row_number() OVER (ORDER BY country_src_id) AS country_id,
+                       country_src_id AS country_name
+                FROM (SELECT DISTINCT {NA('r_name')} AS country_src_id FROM region)),
+  nr AS (SELECT * FROM nation LEFT JOIN region ON n_regionkey = r_regionkey),
+  cities AS (SELECT c.*, coalesce(co.country_id, -1) AS country_id
+             FROM (SELECT *, row_number() OVER (ORDER BY city_src_id) AS city_id
+                   FROM (SELECT city_name, _country, concat_ws('|', city_name, _country) AS city_src_id
+                         FROM (SELECT DISTINCT {NA('n_name')} AS city_name, {NA('r_name')} AS _country FROM nr))) c
+             LEFT JOIN countries co ON c._country = co.country_name),
+  addrs AS (SELECT a.*, coalesce(ci.city_id, -1) AS city_id
+            FROM (SELECT *, row_number() OVER (ORDER BY address_src_id) AS address_id
+                  FROM (SELECT address_name, _city, concat_ws('|', address_name, _city) AS address_src_id
+                        FROM (SELECT {NA('s_name')} AS address_name, concat_ws('|', {NA('n_name')}, {NA('r_name')}) AS _city
+                              FROM supplier LEFT JOIN nr ON s_nationkey = n_nationkey))) a
+            LEFT JOIN cities ci ON a._city = ci.city_src_id),
+  dloc AS (SELECT d.location_surr_id, d.location_src_id, d.address_id, d.address_name,
+                  coalesce(d.city_id, -1) AS city_id, coalesce(ci.city_name, 'N/A') AS city_name,
+                  coalesce(ci.country_id, -1) AS country_id, coalesce(co.country_name, 'N/A') AS country_name
+           FROM (SELECT CAST(address_id AS VARCHAR) AS location_src_id, address_id, address_name, city_id,
+                        row_number() OVER (ORDER BY CAST(address_id AS VARCHAR)) AS location_surr_id FROM addrs) d
+           LEFT JOIN cities ci ON d.city_id = ci.city_id
+           LEFT JOIN countries co ON ci.country_id = co.country_id)
+"""
+
+PAYMENTS = f"""
+  precs AS (SELECT DISTINCT {NA('payment_method')} AS payment_method_name, {NA('card_type')} AS card_type_name,
+                            {NA('verification_method')} AS verification_method FROM feed),
+  methods AS (SELECT payment_method_src_id, row_number() OVER (ORDER BY payment_method_src_id) AS payment_method_id,
+                     payment_method_src_id AS payment_method_name
+              FROM (SELECT DISTINCT payment_method_name AS payment_method_src_id FROM precs)),
+  cards AS (SELECT *, row_number() OVER (ORDER BY card_type_src_id) AS card_type_id
+            FROM (SELECT card_type_name, verification_method,
+                         concat_ws('|', card_type_name, verification_method) AS card_type_src_id
+                  FROM (SELECT DISTINCT card_type_name, verification_method FROM precs))),
+  cepay AS (SELECT d.payment_detail_id, d.payment_detail_src_id, coalesce(m.payment_method_id, -1) AS payment_method_id,
+                   coalesce(c.card_type_id, -1) AS card_type_id
+            FROM (SELECT *, row_number() OVER (ORDER BY payment_detail_src_id) AS payment_detail_id
+                  FROM (SELECT *, concat_ws('|', payment_method_name, card_type_name, verification_method)
+                                    AS payment_detail_src_id FROM precs)) d
+            LEFT JOIN methods m ON d.payment_method_name = m.payment_method_src_id
+            LEFT JOIN cards c ON concat_ws('|', d.card_type_name, d.verification_method) = c.card_type_src_id),
+  dpay AS (SELECT d.payment_detail_surr_id, d.payment_detail_src_id, d.payment_method_id,
+                  coalesce(m.payment_method_name, 'N/A') AS payment_method_name, d.card_type_id,
+                  coalesce(c.card_type_name, 'N/A') AS card_type_name,
+                  coalesce(c.verification_method, 'N/A') AS verification_method
+           FROM (SELECT CAST(payment_detail_id AS VARCHAR) AS payment_detail_src_id, payment_method_id, card_type_id,
+                        row_number() OVER (ORDER BY CAST(payment_detail_id AS VARCHAR)) AS payment_detail_surr_id
+                 FROM cepay) d
+           LEFT JOIN methods m ON d.payment_method_id = m.payment_method_id
+           LEFT JOIN cards c ON d.card_type_id = c.card_type_id)
+"""
+
+STAR = f"""
+  {PRODUCTS.strip()},
+  {LOCATIONS.strip()},
+  {PAYMENTS.strip()},
+  cecus AS (SELECT CAST(c_custkey AS VARCHAR) AS customer_src_id,
+                   row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS customer_id FROM customer),
+  dcus AS (SELECT CAST(customer_id AS VARCHAR) AS customer_src_id,
+                  row_number() OVER (ORDER BY CAST(customer_id AS VARCHAR)) AS customer_surr_id FROM cecus),
+  demp AS (SELECT e.*, row_number() OVER (ORDER BY employee_src_id, start_dt) AS employee_surr_id
+           FROM (SELECT CAST(s_suppkey AS VARCHAR) AS employee_src_id, coalesce(l.location_surr_id, -1) AS location_id,
+                        {LOW} AS start_dt, {HIGH} AS end_dt, TRUE AS is_active
+                 FROM supplier LEFT JOIN dloc l ON {NA('s_name')} = l.address_name) e)
+"""
+
+
+def fact(name: str, feed: str) -> str:
+    return f"""
+  {name}_ch AS ({channel_sales(feed)}),
+  {name} AS (
+    SELECT ch.sale_src_id, CAST(ch.event_dt AS DATE) AS date_id,
+           CAST(hour(ch.event_dt) * 60 + minute(ch.event_dt) AS SMALLINT) AS time_id,
+           coalesce(dcus.customer_surr_id, -1) AS customer_surr_id,
+           coalesce(dp.product_surr_id, -1) AS product_surr_id,
+           coalesce(e.employee_surr_id, -1) AS employee_surr_id,
+           coalesce(l.location_surr_id, -1) AS location_surr_id,
+           coalesce(dpay.payment_detail_surr_id, -1) AS payment_detail_surr_id,
+           CAST(-1 AS BIGINT) AS device_surr_id, ch.quantity, ch.price,
+           CAST(ch.quantity * ch.price AS DECIMAL(10,2)) AS cost, ch.discount, ch.total_amount,
+           'BL_3NF' AS source_system, 'CE_SALES' AS source_entity
+    FROM {name}_ch ch
+    LEFT JOIN prods2 cp ON ch.product_id = cp.product_src_id
+    LEFT JOIN dprod dp ON CAST(coalesce(cp.product_id, -1) AS VARCHAR) = dp.product_src_id
+    LEFT JOIN cecus cc ON ch.customer_id = cc.customer_src_id
+    LEFT JOIN dcus ON CAST(coalesce(cc.customer_id, -1) AS VARCHAR) = dcus.customer_src_id
+    LEFT JOIN cepay cpy ON concat_ws('|', ch.payment_method, ch.card_type, ch.verification_method) = cpy.payment_detail_src_id
+    LEFT JOIN dpay ON CAST(coalesce(cpy.payment_detail_id, -1) AS VARCHAR) = dpay.payment_detail_src_id
+    LEFT JOIN demp e ON ch.employee_id = e.employee_src_id AND ch.event_dt BETWEEN e.start_dt AND e.end_dt
+    LEFT JOIN dloc l ON coalesce(e.location_id, -1) = l.location_surr_id)"""
+
+
+CMP = ["customer_surr_id", "product_surr_id", "employee_surr_id", "location_surr_id", "payment_detail_surr_id",
+       "device_surr_id", "quantity", "price", "cost", "discount", "total_amount"]
+MERGED = f"""
+  {STAR.strip()},
+  {fact('fa', f"(SELECT * FROM feed WHERE event_dt < {CUTOFF})").strip()},
+  {fact('fb', 'feed').strip()},
+  f1 AS (SELECT row_number() OVER (ORDER BY sale_src_id) AS sale_surr_id, *, {B1} AS insert_dt, {B1} AS update_dt,
+                CAST(year(date_id) * 100 + month(date_id) AS INTEGER) AS month_id FROM fa),
+  chg AS (SELECT f1.sale_src_id FROM f1 JOIN fb ON f1.sale_src_id = fb.sale_src_id
+          WHERE {' OR '.join(f'f1.{c} <> fb.{c}' for c in CMP)}),
+  merged AS (
+    SELECT f1.sale_surr_id, f1.sale_src_id, f1.date_id, f1.time_id,
+           {', '.join(f'CASE WHEN chg.sale_src_id IS NULL THEN f1.{c} ELSE fb.{c} END AS {c}' for c in CMP)},
+           f1.source_system, f1.source_entity, f1.insert_dt,
+           CASE WHEN chg.sale_src_id IS NULL THEN f1.update_dt ELSE {B2} END AS update_dt, f1.month_id
+    FROM f1 LEFT JOIN chg ON f1.sale_src_id = chg.sale_src_id LEFT JOIN fb ON chg.sale_src_id = fb.sale_src_id
+    UNION ALL
+    SELECT (SELECT coalesce(max(sale_surr_id), 0) FROM f1) + row_number() OVER (ORDER BY sale_src_id),
+           sale_src_id, date_id, time_id, {', '.join(CMP)}, source_system, source_entity, {B2}, {B2},
+           CAST(year(date_id) * 100 + month(date_id) AS INTEGER)
+    FROM fb WHERE sale_src_id NOT IN (SELECT sale_src_id FROM f1))
+"""
+
+YEAR_BOUNDS = "[" + ", ".join(f"TIMESTAMP '{y}-01-01 00:00:00'" for y in range(1995, 2003)) + "]"
+
+
+def PERIOD(ts: str) -> str:
+    return f"greatest(len(list_filter({YEAR_BOUNDS}, lambda b: b < {ts})) - 1, 0)"
 
 
 ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["mart_category_month"] = f"""
 WITH li AS ({LATEST_LINEITEM}),
-     cal AS ({_calendar("DATE '1995-01-01'", "DATE '2001-12-31'")})
+     cal AS ({calendar("DATE '1995-01-01'", "DATE '2001-12-31'")})
 SELECT cal.year_value, cal.month_value, COALESCE(p.p_type, 'N/A') AS product_category,
        CAST(SUM(CAST(li.l_quantity AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS sum_quantity,
        CAST(SUM(CAST(li.l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS sum_amount,
@@ -72,3 +365,234 @@ FROM li LEFT JOIN orders o ON li.l_orderkey = o.o_orderkey
         JOIN cal ON CAST(o.o_orderdate AS DATE) = cal.date_id
 GROUP BY 1, 2, 3
 """
+
+ORACLE_SQL["stage_fingerprint"] = f"""
+WITH feed AS ({FEED})
+SELECT transaction_id, event_dt, source_system, hash_value FROM feed
+WHERE transaction_id IS NOT NULL AND event_dt IS NOT NULL
+"""
+
+ORACLE_SQL["stage_append_dedup"] = f"""
+WITH feed AS ({FEED}), {STAGED}
+SELECT hash_value, transaction_id, event_dt, load_dt FROM staged
+"""
+
+ORACLE_SQL["incremental_filter"] = f"""
+WITH feed AS ({FEED}), {STAGED}
+SELECT hash_value, transaction_id, event_dt, load_dt FROM staged WHERE load_dt > {B1}
+"""
+
+ORACLE_SQL["latest_per_key"] = f"""
+WITH feed AS ({FEED})
+SELECT transaction_id, event_dt, hash_value, product_id, quantity, price FROM (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY event_dt DESC, hash_value DESC) AS rn FROM feed)
+WHERE rn = 1
+"""
+
+ORACLE_SQL["latest_composite_key"] = f"""
+WITH feed AS ({FEED})
+SELECT customer_product_key, customer_id, product_id, event_dt, price, hash_value FROM (
+  SELECT *, concat_ws('|', customer_id, product_id) AS customer_product_key,
+         row_number() OVER (PARTITION BY concat_ws('|', customer_id, product_id)
+                            ORDER BY event_dt DESC, hash_value DESC) AS rn FROM feed)
+WHERE rn = 1
+"""
+
+ORACLE_SQL["union_sources"] = f"""
+WITH feed AS ({FEED})
+{channel_sales('feed')}
+"""
+
+ORACLE_SQL["map_or_mint"] = f"""
+WITH feed AS ({FEED}), {PRODUCT_MAP}
+SELECT * FROM pmap
+"""
+
+ORACLE_SQL["assign_keys"] = f"""
+WITH o AS (SELECT CAST(o_custkey AS VARCHAR) AS customer_src_id, o_orderdate FROM orders),
+     f AS (SELECT customer_src_id, row_number() OVER (ORDER BY customer_src_id) AS customer_id
+           FROM (SELECT DISTINCT customer_src_id FROM o WHERE o_orderdate < {CUTOFF})),
+     l AS (SELECT customer_src_id,
+                  (SELECT coalesce(max(customer_id), 0) FROM f) + row_number() OVER (ORDER BY customer_src_id)
+                    AS customer_id
+           FROM (SELECT DISTINCT customer_src_id FROM o WHERE customer_src_id NOT IN (SELECT customer_src_id FROM f)))
+SELECT customer_src_id, CAST(customer_id AS BIGINT) AS customer_id FROM f
+UNION ALL SELECT customer_src_id, CAST(customer_id AS BIGINT) FROM l
+"""
+
+ORACLE_SQL["default_member"] = f"""
+SELECT row_number() OVER (ORDER BY customer_src_id) AS customer_id, customer_src_id, customer_name, segment,
+       'SA_ONLINE' AS source_system, 'SRC_RETAIL_SALES' AS source_entity, {B1} AS insert_dt, {B1} AS update_dt
+FROM (SELECT CAST(c_custkey AS VARCHAR) AS customer_src_id, {NA('c_name')} AS customer_name,
+             {NA('c_mktsegment')} AS segment FROM customer)
+UNION ALL
+SELECT -1, 'N/A', 'N/A', 'N/A', 'MANUAL', 'MANUAL', {LOW}, {LOW}
+"""
+
+ORACLE_SQL["lookup_unknown"] = f"""
+WITH ce AS (SELECT customer_src_id, row_number() OVER (ORDER BY customer_src_id) AS customer_id
+            FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS customer_src_id FROM orders
+                  WHERE o_orderdate < {CUTOFF}))
+SELECT o_orderkey, coalesce(ce.customer_id, -1) AS customer_id
+FROM orders LEFT JOIN ce ON CAST(o_custkey AS VARCHAR) = ce.customer_src_id
+"""
+
+ORACLE_SQL["lateral_top1"] = f"""
+WITH feed AS ({FEED}), {PRODUCT_MAP},
+     one AS (SELECT product_src_id, product_id FROM (
+               SELECT *, row_number() OVER (PARTITION BY product_src_id ORDER BY source_system, hash_value) AS rn
+               FROM pmap) WHERE rn = 1)
+SELECT transaction_id, event_dt, feed.product_id, coalesce(one.product_id, -1) AS map_product_id
+FROM feed LEFT JOIN one ON {STD('feed.product_id')} = one.product_src_id
+"""
+
+ORACLE_SQL["upsert_insert"] = f"WITH {CUSTOMERS} SELECT * FROM ins"
+ORACLE_SQL["upsert_update"] = f"WITH {CUSTOMERS} SELECT * FROM upd"
+ORACLE_SQL["upsert_counts"] = f"WITH {CUSTOMERS} SELECT * FROM cust_counts"
+
+ORACLE_SQL["scd2_history"] = f"WITH {versions('v', 'TRUE')} SELECT * FROM v"
+
+ORACLE_SQL["point_in_time_join"] = f"WITH {PIT}"
+ORACLE_SQL["point_in_time_join_bucketed"] = f"WITH {PIT}"
+
+ORACLE_SQL["dim_products"] = f"WITH {PRODUCTS} SELECT * FROM dprod"
+ORACLE_SQL["dim_locations"] = f"WITH {LOCATIONS} SELECT * FROM dloc"
+ORACLE_SQL["dim_payment_details"] = f"WITH feed AS ({FEED}), {PAYMENTS} SELECT * FROM dpay"
+
+ORACLE_SQL["dim_dates"] = f"""
+WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders)
+{calendar_from("(SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM b)")}
+"""
+
+ORACLE_SQL["fact_transform"] = f"WITH feed AS ({FEED}), {STAR}, {fact('ft', 'feed')} SELECT * FROM ft"
+
+ORACLE_SQL["fact_merge"] = f"WITH feed AS ({FEED}), {MERGED} SELECT * FROM merged"
+
+ORACLE_SQL["rolling_window"] = f"""
+WITH feed AS ({FEED}), {MERGED},
+     pm AS (SELECT month_id, count(*) AS n_rows, max(date_id) AS mx FROM merged GROUP BY 1),
+     g AS (SELECT max(mx) AS gmax FROM pm)
+SELECT month_id, CAST(strptime(CAST(month_id AS VARCHAR) || '01', '%Y%m%d') AS DATE) AS month_start, n_rows,
+       CAST(strptime(CAST(month_id AS VARCHAR) || '01', '%Y%m%d') AS DATE) >= (SELECT gmax FROM g) - INTERVAL 3 MONTH
+         AS is_active
+FROM pm
+"""
+
+ORACLE_SQL["audit_counts"] = f"""
+WITH feed AS ({FEED}), {STAGED}, {CUSTOMERS}
+SELECT 'SP_SA_LOAD_SRC_RETAIL_SALES#1' AS procedure_name,
+       (SELECT count(*) FROM feedx WHERE event_dt < {CUTOFF}) AS rows_processed,
+       (SELECT count(*) FROM s1) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated
+UNION ALL
+SELECT 'SP_SA_LOAD_SRC_RETAIL_SALES#2', (SELECT count(*) FROM feedx), (SELECT count(*) FROM s2), 0
+UNION ALL
+SELECT 'SP_3NF_LOAD_CE_CUSTOMERS', rows_processed, rows_inserted, rows_updated FROM cust_counts
+"""
+
+ORACLE_SQL["dq_unique"] = f"""
+WITH feed AS ({FEED})
+SELECT transaction_id, count(*) AS n_rows FROM feed GROUP BY 1 HAVING count(*) > 1
+"""
+
+ORACLE_SQL["dq_fk"] = f"""
+WITH feed AS ({FEED}), ch AS ({channel_sales('feed')})
+SELECT CAST(event_dt AS DATE) AS date_id, count(*) AS n_rows FROM ch
+WHERE CAST(event_dt AS DATE) NOT BETWEEN DATE '1995-01-01' AND DATE '2000-12-31'
+GROUP BY 1
+"""
+
+ORACLE_SQL["dq_scd"] = f"""
+WITH {versions('v', 'TRUE')},
+     f AS (SELECT employee_src_id,
+                  CASE WHEN lead(start_dt) OVER (PARTITION BY employee_src_id ORDER BY start_dt) <= end_dt
+                       THEN 1 ELSE 0 END AS ov,
+                  CAST(is_active AS BIGINT) AS act, CASE WHEN end_dt < start_dt THEN 1 ELSE 0 END AS inv FROM v)
+SELECT employee_src_id, count(*) AS n_versions, CAST(sum(act) AS BIGINT) AS n_active,
+       CAST(sum(ov) AS BIGINT) AS n_overlaps, CAST(sum(inv) AS BIGINT) AS n_inverted
+FROM f GROUP BY 1
+"""
+
+ORACLE_SQL["prep_conform_first"] = """
+WITH f AS (SELECT o_custkey, arg_min(o_orderpriority, o_orderkey) FILTER (WHERE o_orderpriority IS NOT NULL) AS p
+           FROM orders GROUP BY 1)
+SELECT o.o_orderkey, o.o_custkey, f.p AS o_orderpriority FROM orders o LEFT JOIN f ON o.o_custkey = f.o_custkey
+"""
+
+ORACLE_SQL["prep_pick_by_hash"] = f"""
+WITH l AS (SELECT p_type, list_sort(list(DISTINCT p_brand)) AS ch FROM part GROUP BY 1)
+SELECT p.p_partkey, p.p_type,
+       CASE WHEN len(l.ch) > 0 THEN l.ch[{MD5IDX('len(l.ch)', 'p.p_partkey')} + 1] END AS picked_subcategory
+FROM part p LEFT JOIN l ON p.p_type = l.p_type
+"""
+
+ORACLE_SQL["prep_interval_assign"] = f"""
+WITH nr AS (SELECT n_nationkey, n_name AS city, r_name AS country FROM nation JOIN region ON n_regionkey = r_regionkey),
+     sales AS (SELECT concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS transaction_id,
+                      l_shipdate AS ts, country, city, 'N/A' AS address, {PERIOD('l_shipdate')} AS period_no
+               FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+               JOIN nr ON c_nationkey = n_nationkey),
+     active AS (SELECT DISTINCT l_suppkey, {PERIOD('l_shipdate')} AS period_no FROM lineitem),
+     roster AS (SELECT s_suppkey AS employee_id, country, city, 'N/A' AS address, period_no
+                FROM supplier JOIN nr ON s_nationkey = n_nationkey JOIN active ON s_suppkey = l_suppkey),
+     c1 AS (SELECT *, row_number() OVER (PARTITION BY country, city, address, period_no ORDER BY employee_id) - 1 AS n1
+            FROM roster),
+     s1 AS (SELECT country, city, address, period_no, count(*) AS size1 FROM roster GROUP BY ALL),
+     r2 AS (SELECT DISTINCT employee_id, country, city FROM roster),
+     c2 AS (SELECT *, row_number() OVER (PARTITION BY country, city ORDER BY employee_id) - 1 AS n2 FROM r2),
+     s2 AS (SELECT country, city, count(*) AS size2 FROM r2 GROUP BY ALL),
+     x AS (SELECT sales.*, {MD5IDX('s1.size1', 'sales.transaction_id', 42)} AS n1,
+                  {MD5IDX('s2.size2', 'sales.transaction_id', 43)} AS n2
+           FROM sales LEFT JOIN s1 ON sales.country = s1.country AND sales.city = s1.city
+                                  AND sales.address = s1.address AND sales.period_no = s1.period_no
+                      LEFT JOIN s2 ON sales.country = s2.country AND sales.city = s2.city)
+SELECT x.transaction_id, x.ts, x.city, coalesce(c1.employee_id, c2.employee_id) AS employee_id
+FROM x LEFT JOIN c1 ON x.country = c1.country AND x.city = c1.city AND x.address = c1.address
+                   AND x.period_no = c1.period_no AND x.n1 = c1.n1
+       LEFT JOIN c2 ON x.country = c2.country AND x.city = c2.city AND x.n2 = c2.n2
+"""
+
+ORACLE_SQL["prep_split"] = f"""
+WITH feed AS ({FEED}),
+     r AS (SELECT transaction_id, hash_value,
+                  row_number() OVER (ORDER BY md5('42|' || concat_ws('|', transaction_id, hash_value)),
+                                              concat_ws('|', transaction_id, hash_value)) AS rn,
+                  count(*) OVER () AS n FROM feed)
+SELECT transaction_id, hash_value, CASE WHEN rn <= n // 2 THEN 'ONLINE' ELSE 'OFFLINE' END AS channel FROM r
+"""
+
+ORACLE_SQL["mart_employee_location"] = f"""
+WITH feed AS ({FEED}), {STAR}, {fact('ft', 'feed')},
+     cal AS ({calendar("DATE '1995-01-01'", "DATE '2001-12-31'")})
+SELECT l.country_name, cal.year_value, count(DISTINCT ft.employee_surr_id) AS n_employee_versions,
+       count(*) AS n_sales, CAST(sum(ft.total_amount) AS DECIMAL(18,2)) AS sum_amount
+FROM ft LEFT JOIN demp e ON ft.employee_surr_id = e.employee_surr_id
+        LEFT JOIN dloc l ON ft.location_surr_id = l.location_surr_id
+        JOIN cal ON ft.date_id = cal.date_id
+GROUP BY 1, 2
+"""
+
+ORACLE_SQL["mart_rollup_geo"] = f"""
+WITH li AS ({LATEST_LINEITEM})
+SELECT r_name AS region_name, n_name AS nation_name,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS sum_amount, count(*) AS n_lines,
+       CAST(GROUPING(r_name, n_name) AS INTEGER) AS grouping_level
+FROM li JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+        JOIN region ON n_regionkey = r_regionkey
+GROUP BY ROLLUP (r_name, n_name)
+"""
+
+ORACLE_SQL["mart_time_of_day"] = f"""
+WITH b AS (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events),
+     cal AS ({calendar_from("(SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM b)")}),
+     tm AS ({TIMES})
+SELECT tm.time_of_day, tm.working_hours_flag, cal.weekend_flag, count(*) AS n_sales,
+       CAST(sum(CAST(e.value AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS sum_amount
+FROM events e JOIN tm ON CAST(hour(e.ts) * 60 + minute(e.ts) AS SMALLINT) = tm.time_id
+              JOIN cal ON CAST(e.ts AS DATE) = cal.date_id
+GROUP BY 1, 2, 3
+"""
+
+ORACLE_SQL["mart_assignment_history"] = f"""
+WITH {versions('v', 'TRUE')}
+SELECT * FROM v WHERE start_dt <= TIMESTAMP '2024-01-15 12:00:00' AND TIMESTAMP '2024-01-15 12:00:00' <= end_dt
+"""

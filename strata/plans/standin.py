@@ -387,13 +387,17 @@ class Star:
                             F.coalesce("verification_method", F.lit("N/A")).alias("verification_method"))
         return self.keep("dim_payment_details", build)
 
+    @property
+    def ce_customers(self) -> DataFrame:
+        return self.keep("ce_customers", lambda: _ids(
+            self.t.customer.select(F.col("c_custkey").cast("string").alias("customer_src_id"),
+                                   na("c_name").alias("customer_name")), "customer_src_id", "customer_id"))
+
     @property
     def dim_customers(self) -> DataFrame:
         def build():
-            ce = _ids(self.t.customer.select(F.col("c_custkey").cast("string").alias("customer_src_id"),
-                                             na("c_name").alias("customer_name")), "customer_src_id", "customer_id")
-            d = ce.select(F.col("customer_id").cast("string").alias("customer_src_id"), "customer_id",
-                          "customer_name")
+            d = self.ce_customers.select(F.col("customer_id").cast("string").alias("customer_src_id"),
+                                         "customer_name")
             return _ids(d, "customer_src_id", "customer_surr_id")
         return self.keep("dim_customers", build)
 
@@ -416,8 +420,9 @@ class Star:
         sales = lookup(sales, self.ce_products, "product_id", "product_src_id", "product_id", "_ce_prod")
         sales = lookup(sales, self.dim_products, F.col("_ce_prod").cast("string"), "product_src_id",
                        "product_surr_id", "product_surr_id")
-        dcus = self.dim_customers.select(F.col("customer_id").cast("string").alias("_cid"), "customer_surr_id")
-        sales = lookup(sales, dcus, "customer_id", "_cid", "customer_surr_id", "customer_surr_id")
+        sales = lookup(sales, self.ce_customers, "customer_id", "customer_src_id", "customer_id", "_ce_cus")
+        sales = lookup(sales, self.dim_customers, F.col("_ce_cus").cast("string"), "customer_src_id",
+                       "customer_surr_id", "customer_surr_id")
         sales = lookup(sales, self.ce_payment_details, ckey("payment_method", "card_type", "verification_method"),
                        "payment_detail_src_id", "payment_detail_id", "_ce_pay")
         sales = lookup(sales, self.dim_payment_details, F.col("_ce_pay").cast("string"), "payment_detail_src_id",
