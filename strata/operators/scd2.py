@@ -169,7 +169,7 @@ def fold_key(versions: list[dict], events: list[dict], attrs: Sequence[str], *,
 
 def scd2_merge(existing: DataFrame, events: DataFrame, key: str, ts: str, attrs: Sequence[str], *,
                id_col: str, extra: Sequence[str] = (), new_id_per_version: bool = False) -> DataFrame:
-    """H3: apply a batch of events to stored versions; returns the final versions of the keys
+    """H3: apply a batch of events to stored versions; returns all final versions of the keys
     that received events (other keys are untouched), ``id_col`` NULL where a new id is due.
 
     Keys whose every event is later than their newest stored version take the parallel
@@ -196,6 +196,9 @@ def scd2_merge(existing: DataFrame, events: DataFrame, key: str, ts: str, attrs:
     else:
         fresh = fresh.join(ids, key, "left")
     fresh = fresh.select(*vcols)
+    # their older versions are final already
+    older = (existing.join(newest, key).filter(F.col("start_dt") < F.col("_newest")).drop("_newest")
+             .join(ordered.select(key).distinct(), key, "left_semi").select(*vcols))
 
     # Late keys: their versions from the one holding the earliest late event onwards.
     schema = existing.schema
@@ -239,7 +242,7 @@ def scd2_merge(existing: DataFrame, events: DataFrame, key: str, ts: str, attrs:
     folded = folded.select(*[F.to_timestamp_ntz(F.col(c), F.lit(fmt)).alias(c) if c in ("start_dt", "end_dt")
                              else F.col(c) for c in vcols])
     untouched_late = late_v.join(first_late, key).filter(F.col("end_dt") < F.col("_first")).select(*vcols)
-    return fresh.unionByName(folded).unionByName(untouched_late)
+    return fresh.unionByName(older).unionByName(folded).unionByName(untouched_late)
 
 
 def version_schema(key_type: T.DataType, attrs: dict[str, T.DataType], id_col: str) -> T.StructType:
