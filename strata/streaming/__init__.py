@@ -1,0 +1,3 @@
+from strata.streaming.ingest import stage_stream
+
+__all__ = ["stage_stream"]
