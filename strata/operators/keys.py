@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import fingerprint
 from strata.operators.latest import first_per_key
-from strata.session import cut_lineage
+from strata.session import cut_lineage, estimated_bytes, partitions_for
 
 UNKNOWN_ID = -1
+SMALL_INPUT_BYTES = 32 << 20   # inputs estimated below this are ranked in a single task
 _POS_BITS = 33  # monotonically_increasing_id = (partition index << 33) + position in partition
 
 
@@ -32,13 +33,21 @@ def assign_keys(keys: DataFrame, order_cols: Sequence[str], id_col: str, offset:
     data, and because the ids follow the global key order (keys must be distinct) they are the
     same on any re-run.
     """
-    spark = keys.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if num_partitions is None and estimated_bytes(keys) <= SMALL_INPUT_BYTES:
+        # A small input (by the optimizer's own upper-bound estimate) is ranked in one task; the
+        # ranks follow the unique key, so any re-run gives the same ids without materialising.
+        w = Window.orderBy(*order_cols)
+        return keys.withColumn(id_col, (F.lit(int(offset)) + F.row_number().over(w)).cast("long"))
+    n = num_partitions or partitions_for(keys)
     # The range bounds come from a sample of the input; if the input is itself the output of
     # a shuffle its row order (hence the sample) can differ between two evaluations. The
     # sorted ranges are therefore written once to the reliable checkpoint folder, and both the
     # per-partition counts and the positions are read from that copy.
-    ranged = cut_lineage(keys.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols))
+    staged = keys.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).persist()
+    try:
+        ranged = cut_lineage(staged)
+    finally:
+        staged.unpersist()
     ranged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -43,6 +43,7 @@ from pyspark.sql import types as T
 
 from strata.functions.dates import HIGH_TS, high_ts, minus_minute
 from strata.functions.text import ckey, differs
+from strata.session import cut_lineage
 
 HIGH = _dt.datetime.fromisoformat(HIGH_TS)
 ONE_MIN = _dt.timedelta(minutes=1)
@@ -69,19 +70,22 @@ def versions_from_events(events: DataFrame, key: str, ts: str, attrs: Sequence[s
     e = (events.select(key, ts, *attrs, *extra)
          .withColumn("_b", F.date_trunc(bucket, F.col(ts)))
          .withColumn("_h", F.md5(ckey(*attrs))))
+    # Seam between buckets: the previous event of the first event in a bucket is the last event
+    # of the key's previous non-empty bucket. One summary row per (key, bucket), computed with a
+    # partial aggregate straight from the events (ties at the same instant: greatest fingerprint).
+    last = e.groupBy(key, "_b").agg(F.max_by(F.struct(*attrs), F.struct(F.col(ts), F.col("_h"))).alias("_last"))
+    last = (last.withColumn("_seam", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")))
+            .select(key, "_b", "_seam"))
     w = Window.partitionBy(key, "_b").orderBy(F.col(ts), F.col("_h").desc())
     e = e.withColumn("_pts", F.lag(ts).over(w))
     e = e.filter(F.col("_pts").isNull() | (F.col("_pts") != F.col(ts))).drop("_pts")
     e = e.withColumn("_prev", F.lag(F.struct(*attrs)).over(w))
-    # Seam between buckets: the previous event of the first event in a bucket is the last
-    # event of the key's previous non-empty bucket (one summary row per key and bucket).
-    last = e.groupBy(key, "_b").agg(F.max_by(F.struct(*attrs), F.col(ts)).alias("_last"))
-    last = (last.withColumn("_seam", F.lag("_last").over(Window.partitionBy(key).orderBy("_b")))
-            .select(key, "_b", "_seam"))
     e = e.join(last, [key, "_b"], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_seam"))
     change = prev.isNull() | differs([prev[a] for a in attrs], [F.col(a) for a in attrs])
-    v = e.filter(change).select(key, F.col(ts).alias("start_dt"), *attrs, *extra, "_b")
+    # The version starts are materialised once (reliable checkpoint): both the in-bucket lead and
+    # the per-bucket summary below read them, and the event windows are not run twice.
+    v = cut_lineage(e.filter(change).select(key, F.col(ts).alias("start_dt"), *attrs, *extra, "_b"))
     # End of a version: one minute before the next version of the key; the next version is in
     # the same bucket, else it is the first version of the next bucket that has one.
     wv = Window.partitionBy(key, "_b").orderBy("start_dt")

@@ -236,9 +236,12 @@ class Star:
         self.spark, self.sf_dir, self.t = spark, sf_dir, Tables(spark, sf_dir)
         self._kept: dict[str, DataFrame] = {}
 
-    def keep(self, name: str, build) -> DataFrame:
+    def keep(self, name: str, build, materialise: bool = False) -> DataFrame:
+        """Build a layer once per run. Dimension layers are short plans over the checkpointed
+        key assignment; the two fact layers are materialised to the checkpoint folder."""
         if name not in self._kept:
-            self._kept[name] = cut_lineage(build())
+            df = build()
+            self._kept[name] = cut_lineage(df) if materialise else df
         return self._kept[name]
 
     @property
@@ -446,8 +449,8 @@ class Star:
             f = f.select("sale_surr_id", *[c for c in f.columns if c != "sale_surr_id"],
                          ts_lit(BATCH1_TS).alias("insert_dt"), ts_lit(BATCH1_TS).alias("update_dt"))
             return partitions.with_month(f)
-        target = self.keep("fct_batch1", first)
-        source = self.keep("fct_source2", lambda: partitions.with_month(self.fact_rows(self.feed)))
+        target = self.keep("fct_batch1", first, materialise=True)
+        source = self.keep("fct_source2", lambda: partitions.with_month(self.fact_rows(self.feed)), materialise=True)
         return merge_fact(target, source, "sale_src_id", FACT_COMPARE, BATCH2_TS, id_col="sale_surr_id")
 
 

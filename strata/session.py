@@ -62,3 +62,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     it back (no ``localCheckpoint``: a lost executor must not lose the data)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (no job is run)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 — estimate unavailable (e.g. remote session)
+        return 1 << 62
+
+
+def partitions_for(df: DataFrame, target_bytes: int = 128 << 20) -> int:
+    """Partition count for ``df`` from its estimated size (about ``target_bytes`` each), capped
+    by the session's ``spark.sql.shuffle.partitions``."""
+    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(cap, -(-estimated_bytes(df) // target_bytes)))
