@@ -69,6 +69,10 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _ts_lit(t: _dt.datetime) -> Column:
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _map_of_lists(d: dict[str, list[str]]) -> Column:
     return F.create_map(*[x for k, v in d.items() for x in (F.lit(k), F.array(*[F.lit(s) for s in v]))])
 
@@ -120,28 +124,22 @@ def assign_locations(df: DataFrame, locations: DataFrame, *, row_key: str, regio
                      seed: int = SEED) -> DataFrame:
     """Per row, a country of its region, a city of that country and an address of that city.
     Done with indexed candidate lists (``idx = hash mod count``) and equi joins — the
-    candidate tables are the fixed 260-row location table."""
-    countries = (locations.select("region", "country").distinct()
-                 .withColumn("_i", F.row_number().over(Window.partitionBy("region").orderBy("country")) - 1))
-    n_c = countries.groupBy("region").agg(F.count(F.lit(1)).alias("_n"))
-    out = (df.join(F.broadcast(n_c), F.col(region) == n_c["region"], "left").drop(n_c["region"])
-           .withColumn("_i", hash_index(F.col("_n"), row_key, seed=seed))
-           .join(F.broadcast(countries.withColumnRenamed("region", "_r")),
-                 (F.col(region) == F.col("_r")) & (F.col("_i") == countries["_i"]), "left")
-           .drop("_r", "_n").drop(countries["_i"]).drop("_i"))
-    cities = (locations.select("country", "city").distinct()
-              .withColumn("_j", F.row_number().over(Window.partitionBy("country").orderBy("city")) - 1))
-    out = (out.withColumn("_j", hash_index(CITIES_PER_COUNTRY, row_key, seed=seed + 1))
-           .join(F.broadcast(cities.withColumnRenamed("country", "_cc")),
-                 (F.col("country") == F.col("_cc")) & (out["_j"] == cities["_j"]), "left")
-           .drop("_cc").drop(cities["_j"]).drop("_j"))
-    addrs = (locations.select("city", "address")
-             .withColumn("_k", F.row_number().over(Window.partitionBy("city").orderBy("address")) - 1))
-    out = (out.withColumn("_k", hash_index(ADDRESSES_PER_CITY, row_key, seed=seed + 2))
-           .join(F.broadcast(addrs.withColumnRenamed("city", "_ci")),
-                 (F.col("city") == F.col("_ci")) & (out["_k"] == addrs["_k"]), "left")
-           .drop("_ci").drop(addrs["_k"]).drop("_k"))
-    return out
+    candidate tables are the fixed 260-row location table, so they are broadcast."""
+    def level(out: DataFrame, parent: Column, cands: DataFrame, child: str, salt: int) -> DataFrame:
+        c = (cands.select(F.col("p").alias("_lp"), F.col("c").alias("_lc")).distinct()
+             .withColumn("_li", F.row_number().over(Window.partitionBy("_lp").orderBy("_lc")) - 1))
+        sizes = c.groupBy(F.col("_lp").alias("_sp")).agg(F.count(F.lit(1)).alias("_ln"))
+        out = (out.join(F.broadcast(sizes), parent == F.col("_sp"), "left")
+               .withColumn("_pick", hash_index(F.col("_ln"), row_key, seed=seed + salt)))
+        out = out.join(F.broadcast(c), (parent == F.col("_lp")) & (F.col("_pick") == F.col("_li")), "left")
+        return out.withColumnRenamed("_lc", child).drop("_sp", "_ln", "_pick", "_lp", "_li")
+
+    out = level(df, F.col(region), locations.select(F.col("region").alias("p"), F.col("country").alias("c")),
+                "country", 0)
+    out = level(out, F.col("country"), locations.select(F.col("country").alias("p"), F.col("city").alias("c")),
+                "city", 1)
+    return level(out, F.col("city"), locations.select(F.col("city").alias("p"), F.col("address").alias("c")),
+                 "address", 2)
 
 
 def card_details(df: DataFrame, *, row_key: str, method: str = "payment_method", seed: int = SEED) -> DataFrame:
@@ -200,29 +198,31 @@ def employee_roster(spark, locations: DataFrame, bounds: list[_dt.datetime], *,
     that city per period. Periods are exploded per employee (a short literal list), not joined."""
     cities = (locations.select("region", "country", "city").distinct()
               .withColumn("_ci", F.row_number().over(Window.orderBy("region", "country", "city")) - 1))
-    n_cities = len(REGION_COUNTRIES and [c for cs in REGION_COUNTRIES.values() for c in cs]) * CITIES_PER_COUNTRY
+    n_cities = sum(len(cs) for cs in REGION_COUNTRIES.values()) * CITIES_PER_COUNTRY
     emp = (spark.range(*EMPLOYEE_IDS).withColumnRenamed("id", "employee_id")
            .withColumn("_ci", hash_index(n_cities, "employee_id", seed=seed))
            .join(F.broadcast(cities), "_ci").drop("_ci")
            .withColumn("employee_first_name", F.initcap(pick(WORDS, "employee_id", seed=seed + 3)))
            .withColumn("employee_last_name", F.initcap(pick(WORDS, "employee_id", seed=seed + 4))))
-    pairs = F.array(*[F.struct(F.lit(i).alias("period_no"), F.lit(a).cast("timestamp_ntz").alias("period_start"),
-                               F.lit(b).cast("timestamp_ntz").alias("period_end"))
+    pairs = F.array(*[F.struct(F.lit(i).alias("period_no"), _ts_lit(a).alias("period_start"),
+                               _ts_lit(b).alias("period_end"))
                       for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]))])
     roster = emp.withColumn("_p", F.explode(pairs)).select("*", "_p.*").drop("_p")
-    addrs = (locations.select("city", "address")
-             .withColumn("_k", F.row_number().over(Window.partitionBy("city").orderBy("address")) - 1))
+    addrs = (locations.select(F.col("city").alias("_c2"), "address")
+             .withColumn("_ak", F.row_number().over(Window.partitionBy("_c2").orderBy("address")) - 1))
     roster = roster.withColumn("_k", hash_index(ADDRESSES_PER_CITY, "employee_id", "period_no", seed=seed + 5))
-    return (roster.join(F.broadcast(addrs.withColumnRenamed("city", "_c2")),
-                        (F.col("city") == F.col("_c2")) & (roster["_k"] == addrs["_k"]))
-            .drop("_c2").drop(addrs["_k"]).drop("_k"))
+    return (roster.join(F.broadcast(addrs), (F.col("city") == F.col("_c2")) & (F.col("_k") == F.col("_ak")))
+            .drop("_c2", "_ak", "_k"))
 
 
 def period_index(ts, bounds: list[_dt.datetime]) -> Column:
-    """Index of the first period ``[b_i, b_i+1]`` (closed) holding ``ts``."""
-    arr = F.array(*[F.lit(b).cast("timestamp_ntz") for b in bounds])
-    below = F.size(F.filter(arr, lambda b: b < _c(ts)))
-    return F.greatest(below - 1, F.lit(0))
+    """Index of the first period ``[b_i, b_i+1]`` (closed) holding ``ts``: the number of bounds
+    strictly before ``ts``, minus one, at least 0 (a short CASE chain over the bounds)."""
+    t = _c(ts)
+    expr = F.when(t.isNull(), F.lit(None).cast("int")).when(t <= _ts_lit(bounds[0]), F.lit(0))
+    for i, b in enumerate(bounds[1:]):
+        expr = expr.when(t <= _ts_lit(b), F.lit(i))
+    return expr.otherwise(F.lit(max(len(bounds) - 1, 0)))
 
 
 def assign_employees(sales: DataFrame, roster: DataFrame, bounds: list[_dt.datetime], *, row_key: str,

@@ -178,7 +178,9 @@ def product_map(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "source_system string, source_entity string, hash_value string, "
                                       "load_dt timestamp_ntz")
     m1 = map_or_mint(rec1, empty, "product_src_id", "product_id", attrs, BATCH1_TS, offset=0)
-    m2 = map_or_mint(product_records(feed, t.part), m1.table, "product_src_id", "product_id", attrs, BATCH2_TS)
+    # the map as written by the first load (materialised, like the append in the pipeline)
+    m2 = map_or_mint(product_records(feed, t.part), cut_lineage(m1.table), "product_src_id", "product_id", attrs,
+                     BATCH2_TS)
     return m2.table.select(*MAP_COLS)
 
 

@@ -7,13 +7,28 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.session import estimated_bytes
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+SPREAD_MIN_BYTES = 2 << 20   # smaller inputs are not worth a shuffle
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan split into fewer tasks than the session's default parallelism (e.g. one file with
+    a single row group) is spread round-robin over the cores; a large input, whose scan already
+    has many splits, is returned unchanged. Column pruning and filters still reach the scan."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(df) >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < par:
+        return df.repartition(par)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table (``<sf_dir>/<name>.parquet``)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 class Tables:
