@@ -15,6 +15,7 @@ from strata.session import cut_lineage, estimated_bytes, partitions_for
 
 UNKNOWN_ID = -1
 SMALL_INPUT_BYTES = 32 << 20   # inputs estimated below this are ranked in a single task
+BROADCAST_KEYS_MAX = 2_000_000  # counted key sets up to this size are broadcast to probe a big table
 _POS_BITS = 33  # monotonically_increasing_id = (partition index << 33) + position in partition
 
 
@@ -129,3 +130,13 @@ def map_or_mint(batch: DataFrame, existing: DataFrame, key: str, id_col: str, at
     cols = existing.columns
     rows = rows.select(*cols)
     return MintResult(rows=rows, table=existing.unionByName(rows), batch=resolved)
+
+
+def probe(big: DataFrame, keys: DataFrame, key: str, n_keys: int | None = None) -> DataFrame:
+    """Rows of ``big`` whose ``key`` occurs in ``keys`` (semi join), for probing a large stored
+    table with a batch. The distinct batch keys are counted (or ``n_keys`` is given) and broadcast
+    when there are at most ``BROADCAST_KEYS_MAX`` of them, so the big side is scanned but never
+    shuffled; a larger key set falls back to a shuffled semi join."""
+    k = keys.select(key).distinct()
+    n = k.count() if n_keys is None else n_keys
+    return big.join(F.broadcast(k) if n <= BROADCAST_KEYS_MAX else k, key, "left_semi")
