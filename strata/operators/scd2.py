@@ -33,6 +33,7 @@ Two paths:
 
 from __future__ import annotations
 
+import bisect
 import datetime as _dt
 from collections.abc import Sequence
 
@@ -121,9 +122,11 @@ def fold_key(versions: list[dict], events: list[dict], attrs: Sequence[str], *,
     A new key's id (or, with ``new_id_per_version``, every inserted version's id) is ``None``
     and filled in by the caller. Versions that would end before they start (an event in the
     last minute before a version change, quirk Q8) are not inserted but counted.
+    Versions are kept ordered by start, so ``cur`` and ``nxt`` are binary searches.
     Returns the final versions and counts (inserted, updated, skipped).
     """
-    vs = [dict(v, _orig=True, _dirty=False) for v in versions]
+    vs = sorted((dict(v, _orig=True, _dirty=False) for v in versions), key=lambda v: v["start_dt"])
+    starts = [v["start_dt"] for v in vs]
     stats = {"inserted": 0, "updated": 0, "skipped": 0}
 
     def insert(ev, start, end, active, vid):
@@ -136,7 +139,9 @@ def fold_key(versions: list[dict], events: list[dict], attrs: Sequence[str], *,
         for k, val in ev.items():
             if k not in row and k != ts:
                 row[k] = val
-        vs.append(row)
+        i = bisect.bisect_right(starts, start)
+        starts.insert(i, start)
+        vs.insert(i, row)
         stats["inserted"] += 1
 
     def touch(v):
@@ -146,20 +151,20 @@ def fold_key(versions: list[dict], events: list[dict], attrs: Sequence[str], *,
 
     for ev in events:
         t = ev[ts]
-        cur = next((v for v in vs if v["start_dt"] <= t <= v["end_dt"]), None)
-        later = [v for v in vs if v["start_dt"] > t]
-        nxt = min(later, key=lambda v: v["start_dt"]) if later else None
+        i = bisect.bisect_right(starts, t)            # vs[:i] start at or before t
+        cur = vs[i - 1] if i > 0 and vs[i - 1]["end_dt"] >= t else None
+        nxt = vs[i] if i < len(vs) else None
         if cur is not None and _differs(cur, ev, attrs):
             cur["end_dt"], cur["is_active"] = t - ONE_MIN, False
             touch(cur)
             if nxt is not None and _same(nxt, ev, attrs):
-                nxt["start_dt"] = t
+                nxt["start_dt"] = starts[i] = t       # moves back, stays in order
                 touch(nxt)
             else:
                 insert(ev, t, nxt["start_dt"] - ONE_MIN if nxt else HIGH, nxt is None, cur[id_col])
         elif cur is None and nxt is not None:
             if _same(nxt, ev, attrs):
-                nxt["start_dt"] = t
+                nxt["start_dt"] = starts[i] = t
                 touch(nxt)
             else:
                 insert(ev, t, nxt["start_dt"] - ONE_MIN, False, nxt[id_col])
