@@ -24,12 +24,17 @@ def dq_foreign_key(child: DataFrame, child_col: str, parent: DataFrame, parent_c
     return orphans.groupBy(F.col("_v").alias(child_col)).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def dq_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """D3: NULL count per column (one row per column with NULLs)."""
+def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """NULL count of every column in ``cols`` (one aggregate pass, one row per column)."""
     agg = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols])
     stacked = agg.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"),
                                                       F.col(c).alias("n_nulls")) for c in cols])).alias("s"))
-    return stacked.select("s.column_name", "s.n_nulls").filter(F.col("n_nulls") > 0)
+    return stacked.select("s.column_name", "s.n_nulls")
+
+
+def dq_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """D3: columns declared NOT NULL that hold NULLs, with their count."""
+    return null_counts(df, cols).filter(F.col("n_nulls") > 0)
 
 
 def dq_max_length(df: DataFrame, limits: dict[str, int]) -> DataFrame:

@@ -190,6 +190,13 @@ def dim_dates_q(spark, d):
     return dim_dates(spark, lo, hi)
 
 
+def dim_times_q(spark, d):
+    """The minute-of-day dimension rows of every minute at which an event happened."""
+    ev = Tables(spark, d).events.select(
+        (F.hour("ts") * 60 + F.minute("ts")).cast("smallint").alias("time_id")).distinct()
+    return dim_times(spark).join(ev, "time_id", "left_semi")
+
+
 # ---- fact --------------------------------------------------------------------------------------
 
 def fact_transform(spark, d):
@@ -234,6 +241,19 @@ def dq_fk(spark, d):
     return quality.dq_foreign_key(sales, "date_id", dim_dates(spark, "1995-01-01", "2000-12-31"), "date_id")
 
 
+def dq_not_null(spark, d):
+    """D3: NULL count of each NOT NULL column of the sales source (the report behind the check)."""
+    f = S.channel_sales(S.sales_feed(spark, d))
+    return quality.null_counts(f, ["sale_src_id", "event_dt", "customer_id", "product_id", "employee_id",
+                                   "quantity", "price", "discount", "total_amount"])
+
+
+def dq_max_length(spark, d):
+    """Values longer than the declared widths (customer / product / employee keys of width 3)."""
+    f = S.channel_sales(S.sales_feed(spark, d))
+    return quality.dq_max_length(f, {"customer_id": 3, "product_id": 3, "employee_id": 3, "sale_src_id": 255})
+
+
 def dq_scd(spark, d):
     return quality.dq_scd_report(S.employee_versions(spark, d), "employee_src_id")
 
@@ -340,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "dim_locations": dim_locations_q,
     "dim_payment_details": dim_payment_details_q,
     "dim_dates": dim_dates_q,
+    "dim_times": dim_times_q,
     "fact_transform": fact_transform,
     "fact_merge": fact_merge,
     "rolling_window": rolling_window,
@@ -347,6 +368,8 @@ QUERIES: dict[str, Query] = {
     "dq_unique": dq_unique,
     "dq_fk": dq_fk,
     "dq_scd": dq_scd,
+    "dq_not_null": dq_not_null,
+    "dq_max_length": dq_max_length,
     "prep_conform_first": prep_conform_first,
     "prep_pick_by_hash": prep_pick_by_hash,
     "prep_interval_assign": prep_interval_assign,

@@ -596,3 +596,27 @@ ORACLE_SQL["mart_assignment_history"] = f"""
 WITH {versions('v', 'TRUE')}
 SELECT * FROM v WHERE start_dt <= TIMESTAMP '2024-01-15 12:00:00' AND TIMESTAMP '2024-01-15 12:00:00' <= end_dt
 """
+
+ORACLE_SQL["dim_times"] = f"""
+WITH tm AS ({TIMES})
+SELECT * FROM tm
+WHERE time_id IN (SELECT DISTINCT CAST(hour(ts) * 60 + minute(ts) AS SMALLINT) FROM events)
+"""
+
+_NN_COLS = ["sale_src_id", "event_dt", "customer_id", "product_id", "employee_id", "quantity", "price", "discount",
+            "total_amount"]
+ORACLE_SQL["dq_not_null"] = f"""
+WITH feed AS ({FEED}), ch AS ({channel_sales('feed')}),
+     c AS (SELECT {', '.join(f"CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS {c}" for c in _NN_COLS)} FROM ch)
+SELECT column_name, n_nulls FROM (
+  {' UNION ALL '.join(f"SELECT '{c}' AS column_name, {c} AS n_nulls FROM c" for c in _NN_COLS)})
+"""
+
+_LEN = {"customer_id": 3, "product_id": 3, "employee_id": 3, "sale_src_id": 255}
+ORACLE_SQL["dq_max_length"] = f"""
+WITH feed AS ({FEED}), ch AS ({channel_sales('feed')}),
+     c AS (SELECT {', '.join(f"CAST(sum(CASE WHEN length({c}) > {n} THEN 1 ELSE 0 END) AS BIGINT) AS {c}" for c, n in _LEN.items())} FROM ch)
+SELECT column_name, n_too_long FROM (
+  {' UNION ALL '.join(f"SELECT '{c}' AS column_name, {c} AS n_too_long FROM c" for c in _LEN)})
+WHERE n_too_long > 0
+"""

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.text import ckey, fingerprint
@@ -28,16 +28,14 @@ from strata.operators.latest import latest_by
 from strata.plans.marts import sales_by_category_month
 from strata.session import cut_lineage
 from strata.sources.tables import Tables
-from strata.functions.dates import LOW_TS, high_ts, low_ts, time_id
-from strata.functions.pick import md5_index
+from strata.functions.dates import high_ts, low_ts, time_id
 from strata.functions.text import na, std
-from strata.operators import control, partitions, prepare, quality
-from strata.operators.keys import assign_keys, ensure_default, lookup, lookup_first, map_or_mint, max_id
+from strata.operators import partitions
+from strata.operators.keys import assign_keys, lookup, map_or_mint
 from strata.operators.pit import point_in_time_join
-from strata.operators.scd2 import scd2_merge, versions_from_events
+from strata.operators.scd2 import versions_from_events
 from strata.operators.staging import stage_append
 from strata.operators.upsert import merge_fact, upsert
-from strata.plans import marts
 
 # Fixed parameters of the stand-in runs.
 BATCH1_CUTOFF = "1998-01-01 00:00:00"

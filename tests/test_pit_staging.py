@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from strata.operators.pit import point_in_time_join
 from strata.operators.staging import stage_append, stage_rows
 

@@ -1,8 +1,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
-
 from strata.operators import partitions, prepare, quality
 
 

@@ -5,8 +5,6 @@ import datetime as dt
 from collections.abc import Sequence
 import random
 
-from pyspark.sql import functions as F
-
 from strata.operators.scd2 import HIGH, ONE_MIN, _differs, _same, fold_key, scd2_merge, versions_from_events
 
 D0 = dt.datetime(2024, 1, 1)

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from strata.operators.upsert import merge_fact, upsert
 
 T = "id long, k string, a string, b int, source_system string, insert_dt timestamp_ntz, update_dt timestamp_ntz"
