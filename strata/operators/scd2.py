@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import bisect
 import datetime as _dt
+import sys
 from collections.abc import Sequence
 
 import pandas as pd
@@ -49,6 +50,14 @@ from strata.session import cut_lineage
 HIGH = _dt.datetime.fromisoformat(HIGH_TS)
 ONE_MIN = _dt.timedelta(minutes=1)
 
+# The late-event fold runs in Python workers; ship this module's functions with the task
+# (pickled by value) so executors need no installed copy of the package.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # noqa: BLE001 — older cloudpickle: the package must then be installed on executors
+    pass
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
