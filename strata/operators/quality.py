@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.sequence import with_next
+
 
 def dq_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their count."""
@@ -45,16 +47,20 @@ def dq_max_length(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     return stacked.select("s.column_name", "s.n_too_long").filter(F.col("n_too_long") > 0)
 
 
+def _scd_flags(versions: DataFrame, key: str, start: str, end: str, active: str) -> DataFrame:
+    # next version start per key via a bucketed lead, so a key with very many versions is not one task
+    v = with_next(versions.select(key, start, end, active), key, start, "_nxt", bucket="month")
+    return v.select(key,
+                    F.coalesce(F.col("_nxt") <= F.col(end), F.lit(False)).cast("long").alias("_overlap"),
+                    F.col(active).cast("long").alias("_active"),
+                    (F.col(end) < F.col(start)).cast("long").alias("_inverted"))
+
+
 def dq_scd_report(versions: DataFrame, key: str, start: str = "start_dt", end: str = "end_dt",
                   active: str = "is_active") -> DataFrame:
-    """D4 per key: versions, active versions, overlaps with the next version, inverted versions."""
-    w = Window.partitionBy(key).orderBy(start)
-    flagged = versions.select(
-        key,
-        F.coalesce((F.lead(start).over(w) <= F.col(end)), F.lit(False)).cast("long").alias("_overlap"),
-        F.col(active).cast("long").alias("_active"),
-        (F.col(end) < F.col(start)).cast("long").alias("_inverted"))
-    return flagged.groupBy(key).agg(
+    """D4 per key: versions, active versions, overlaps with the next version, inverted versions
+    (per-key partial aggregates)."""
+    return _scd_flags(versions, key, start, end, active).groupBy(key).agg(
         F.count(F.lit(1)).alias("n_versions"), F.sum("_active").alias("n_active"),
         F.sum("_overlap").alias("n_overlaps"), F.sum("_inverted").alias("n_inverted"))
 
@@ -63,14 +69,6 @@ def dq_scd(versions: DataFrame, key: str, start: str = "start_dt", end: str = "e
            active: str = "is_active") -> DataFrame:
     """SCD2 sanity per key — overlapping versions, more or less than one active version,
     versions ending before they start. One row per key with any violation."""
-    w = Window.partitionBy(key).orderBy(start)
-    flagged = versions.select(
-        key,
-        (F.lead(start).over(w) <= F.col(end)).cast("int").alias("_overlap"),
-        F.col(active).cast("int").alias("_active"),
-        (F.col(end) < F.col(start)).cast("int").alias("_inverted"))
-    per_key = flagged.groupBy(key).agg(
-        F.coalesce(F.sum("_overlap"), F.lit(0)).cast("long").alias("n_overlaps"),
-        F.sum("_active").cast("long").alias("n_active"),
-        F.sum("_inverted").cast("long").alias("n_inverted"))
+    per_key = dq_scd_report(versions, key, start, end, active).select(
+        key, "n_overlaps", "n_active", "n_inverted")
     return per_key.filter((F.col("n_overlaps") > 0) | (F.col("n_active") != 1) | (F.col("n_inverted") > 0))

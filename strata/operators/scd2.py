@@ -45,6 +45,7 @@ from pyspark.sql import types as T
 
 from strata.functions.dates import HIGH_TS, high_ts, minus_minute
 from strata.functions.text import ckey, differs
+from strata.operators.sequence import with_next
 from strata.session import cut_lineage
 
 HIGH = _dt.datetime.fromisoformat(HIGH_TS)
@@ -96,15 +97,9 @@ def versions_from_events(events: DataFrame, key: str, ts: str, attrs: Sequence[s
     # The version starts are materialised once (reliable checkpoint): both the in-bucket lead and
     # the per-bucket summary below read them, and the event windows are not run twice.
     v = cut_lineage(e.filter(change).select(key, F.col(ts).alias("start_dt"), *attrs, *extra, "_b"))
-    # End of a version: one minute before the next version of the key; the next version is in
-    # the same bucket, else it is the first version of the next bucket that has one.
-    wv = Window.partitionBy(key, "_b").orderBy("start_dt")
-    v = v.withColumn("_next", F.lead("start_dt").over(wv))
-    firsts = v.groupBy(key, "_b").agg(F.min("start_dt").alias("_first"))
-    firsts = (firsts.withColumn("_next_b", F.lead("_first").over(Window.partitionBy(key).orderBy("_b")))
-              .select(key, "_b", "_next_b"))
-    v = v.join(firsts, [key, "_b"], "left")
-    nxt = F.coalesce(F.col("_next"), F.col("_next_b"))
+    # End of a version: one minute before the next version of the key (bucketed lead).
+    v = with_next(v.drop("_b"), key, "start_dt", "_nxt", bucket=bucket)
+    nxt = F.col("_nxt")
     return v.select(key, *attrs, *extra, "start_dt",
                     F.when(nxt.isNull(), high_ts()).otherwise(minus_minute(nxt)).alias("end_dt"),
                     nxt.isNull().alias("is_active"))
