@@ -13,7 +13,7 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-SPREAD_MIN_BYTES = 2 << 20   # smaller inputs are not worth a shuffle
+SPREAD_MIN_BYTES = int(os.environ.get("STRATA_SPREAD_MIN_BYTES", 2 << 20))  # smaller inputs: no shuffle
 
 
 def spread(df: DataFrame) -> DataFrame:
