@@ -575,7 +575,7 @@ ORACLE_SQL["mart_rollup_geo"] = f"""
 WITH li AS ({LATEST_LINEITEM})
 SELECT r_name AS region_name, n_name AS nation_name,
        CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS sum_amount, count(*) AS n_lines,
-       CAST(GROUPING(r_name, n_name) AS INTEGER) AS grouping_level
+       CAST(GROUPING(r_name, n_name) AS BIGINT) AS grouping_level
 FROM li JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey
 GROUP BY ROLLUP (r_name, n_name)
