@@ -24,6 +24,10 @@ def _norm(v):
     return repr(v)
 
 
+DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "string": "VARCHAR", "boolean": "BOOLEAN",
+        "date": "DATE", "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}
+
+
 def _rows(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
@@ -53,4 +57,6 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
+    otypes = dict(zip(*[con.sql(sql).columns, [str(t) for t in con.sql(sql).types]]))
+    assert {c: DUCK.get(t, t.upper()) for c, t in df.dtypes} == otypes
     assert _rows(df.columns, rows) == _rows(ocols, res.fetchall())
