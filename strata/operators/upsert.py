@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.text import differs
-from strata.operators.keys import assign_keys, max_id
+from strata.operators.keys import BROADCAST_KEYS_MAX, assign_keys, max_id
 
 ACTION = "_action"
 
@@ -98,6 +98,26 @@ def upsert(target: DataFrame, source: DataFrame, key: str, compare: Sequence[str
     return UpsertResult(tagged=kept.unionByName(inserted), processed=source)
 
 
+def upsert_probed(target: DataFrame, source: DataFrame, key: str, compare: Sequence[str], batch_ts, *,
+                  id_col: str, touch_update_dt: bool = True) -> UpsertResult:
+    """:func:`upsert` that joins only the target rows whose key occurs in the batch.
+
+    The batch's distinct keys are counted; up to ``BROADCAST_KEYS_MAX`` of them are broadcast to
+    split the target into rows that can change (semi join) and rows that cannot (anti join),
+    neither of which shuffles the target. A larger batch falls back to the plain shuffled upsert.
+    """
+    keys = source.select(key).distinct()
+    if keys.count() > BROADCAST_KEYS_MAX:
+        return upsert(target, source, key, compare, batch_ts, id_col=id_col, touch_update_dt=touch_update_dt)
+    bk = F.broadcast(keys)
+    hit = target.join(bk, key, "left_semi").select(*target.columns)
+    rest = target.join(bk, key, "left_anti").select(*target.columns)
+    res = upsert(hit, source, key, compare, batch_ts, id_col=id_col, touch_update_dt=touch_update_dt,
+                 offset=max_id(target, id_col))
+    tagged = rest.withColumn(ACTION, F.lit("keep")).unionByName(res.tagged)
+    return UpsertResult(tagged=tagged.select(*target.columns, ACTION), processed=source)
+
+
 def insert_absent(target: DataFrame, source: DataFrame, key: Sequence[str] | str) -> UpsertResult:
     """``INSERT ... ON CONFLICT DO NOTHING`` (U4)."""
     keys = [key] if isinstance(key, str) else list(key)

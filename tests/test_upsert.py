@@ -1,6 +1,6 @@
 import datetime as dt
 
-from strata.operators.upsert import merge_fact, upsert
+from strata.operators.upsert import merge_fact, upsert, upsert_probed
 
 T = "id long, k string, a string, b int, source_system string, insert_dt timestamp_ntz, update_dt timestamp_ntz"
 OLD = dt.datetime(2024, 1, 1)
@@ -48,3 +48,12 @@ def test_merge_fact_touched_months(spark):
     assert sorted(r.month_id for r in res.touched_months().collect()) == [202401, 202403]
     rows = {r.src: r for r in res.rewrite().collect()}
     assert set(rows) == {"s1", "s3"} and rows["s1"].q == 11 and rows["s1"].month_id == 202401
+
+
+def test_probed_upsert_equals_plain(spark):
+    src = spark.createDataFrame([("x", "A", 1, "S2"), ("y", "B", 5, "S2"), ("z", "Q", 3, "S2"), ("w", "N", 0, "S2")],
+                                "k string, a string, b int, source_system string")
+    a = upsert(_target(spark), src, "k", ["a", "b"], "2024-02-01 00:00:00", id_col="id")
+    b = upsert_probed(_target(spark), src, "k", ["a", "b"], "2024-02-01 00:00:00", id_col="id")
+    rows = lambda r: sorted(tuple(sorted(x.asDict().items())) for x in r.tagged.collect())
+    assert rows(a) == rows(b)
