@@ -26,3 +26,13 @@ def test_scans_are_pruned(spark):
 def test_calendar_is_broadcast(spark):
     plan = _plan(Q.mart_time_of_day(spark, "/root/testdata/sf0.001"))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_scd2_windows_are_per_key_and_day(spark):
+    import re
+    plan = _plan(Q.scd2_history(spark, "/root/testdata/sf0.001"))
+    # every event-level window is partitioned by (key, day bucket); only the per-bucket summaries
+    # (one row per key and day) are windowed by key alone
+    parts = re.findall(r"Window \[[^\]]*\], \[([^\]]*)\]", plan)
+    assert parts and any("_b" in p for p in parts)
+    assert "hashpartitioning(employee_src_id" in plan and "_b" in plan[plan.find("hashpartitioning(employee_src_id"):]
