@@ -325,6 +325,18 @@ def mart_rollup_geo(spark, d):
     return marts.rollup_totals(fact, ["region_name", "nation_name"], F.col("l_extendedprice").cast("decimal(12,2)"))
 
 
+def mart_cube_product(spark, d):
+    """Z3 as a cube: product category x brand x order status, all subtotals."""
+    t = Tables(spark, d)
+    li = S.latest_lineitem(t.lineitem)
+    fact = (li.join(t.part.select("p_partkey", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+            .join(t.orders.select("o_orderkey", "o_orderstatus"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .select(F.col("p_type").alias("product_category"), F.col("p_brand").alias("product_brand"),
+                    F.col("o_orderstatus").alias("order_status"), "l_extendedprice"))
+    return marts.cube_totals(fact, ["product_category", "product_brand", "order_status"],
+                             F.col("l_extendedprice").cast("decimal(12,2)"))
+
+
 def mart_time_of_day(spark, d):
     ev = Tables(spark, d).events
     lo, hi = S.calendar_bounds_from(ev, "ts")
@@ -376,6 +388,7 @@ QUERIES: dict[str, Query] = {
     "prep_split": prep_split,
     "mart_employee_location": mart_employee_location,
     "mart_rollup_geo": mart_rollup_geo,
+    "mart_cube_product": mart_cube_product,
     "mart_time_of_day": mart_time_of_day,
     "mart_assignment_history": mart_assignment_history,
 }

@@ -43,13 +43,22 @@ def sales_by_category_month(fact: DataFrame, products: DataFrame, dates: DataFra
 
 def rollup_totals(fact: DataFrame, levels: Sequence[str], amount, name: str = "sum_amount") -> DataFrame:
     """Z3: ``ROLLUP`` over a hierarchy (e.g. region > country > city); subtotal rows carry NULL in
-    the rolled-up levels and ``grouping_level`` tells how many levels were rolled up."""
+    the rolled-up levels and ``grouping_level`` is the bit mask of the rolled-up levels."""
     return (fact.rollup(*levels)
             .agg(F.sum(_c(amount)).cast(MONEY).alias(name),
                  F.count(F.lit(1)).alias("n_lines"),
                  F.grouping_id().alias("grouping_level")))
 
 
+def cube_totals(fact: DataFrame, dims: Sequence[str], amount, name: str = "sum_amount") -> DataFrame:
+    """Z3: ``CUBE`` over independent dimensions (every combination of subtotals); ``grouping_level``
+    is the bit mask of the rolled-up dimensions."""
+    return (fact.cube(*dims)
+            .agg(F.sum(_c(amount)).cast(MONEY).alias(name),
+                 F.count(F.lit(1)).alias("n_lines"),
+                 F.grouping_id().alias("grouping_level")))
+
+
 def sales_by_time_of_day(fact: DataFrame, times: DataFrame, dates: DataFrame, *, ts, amount) -> DataFrame:
     """Totals by part of day, working hours and weekend."""
     f = fact.select(F.to_date(_c(ts)).alias("_d"),

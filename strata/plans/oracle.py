@@ -620,3 +620,12 @@ SELECT column_name, n_too_long FROM (
   {' UNION ALL '.join(f"SELECT '{c}' AS column_name, {c} AS n_too_long FROM c" for c in _LEN)})
 WHERE n_too_long > 0
 """
+
+ORACLE_SQL["mart_cube_product"] = f"""
+WITH li AS ({LATEST_LINEITEM})
+SELECT p_type AS product_category, p_brand AS product_brand, o_orderstatus AS order_status,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS sum_amount, count(*) AS n_lines,
+       CAST(GROUPING(p_type, p_brand, o_orderstatus) AS BIGINT) AS grouping_level
+FROM li JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+GROUP BY CUBE (p_type, p_brand, o_orderstatus)
+"""
