@@ -226,7 +226,8 @@ def period_index(ts, bounds: list[_dt.datetime]) -> Column:
 
 
 def assign_employees(sales: DataFrame, roster: DataFrame, bounds: list[_dt.datetime], *, row_key: str,
-                     ts: str = "timestamp", seed: int = SEED, index_fn=hash_index) -> DataFrame:
+                     ts: str = "timestamp", seed: int = SEED, index_fn=hash_index,
+                     roster_bounded: bool = False) -> DataFrame:
     """Give each sale an employee working at the sale's (country, city, address) in the
     sale's period, picked at random; if there is none, any employee of the (country, city).
 
@@ -242,6 +243,10 @@ def assign_employees(sales: DataFrame, roster: DataFrame, bounds: list[_dt.datet
     c2 = (cand.select("employee_id", *g2).distinct()
           .withColumn("_n2", F.row_number().over(Window.partitionBy(*g2).orderBy("employee_id")) - 1))
     s2 = c2.groupBy(*g2).agg(F.count(F.lit(1)).alias("_size2"))
+    if roster_bounded:
+        # the caller guarantees a roster of bounded size (e.g. a fixed id range x a few periods):
+        # candidate tables are broadcast, so a city holding a third of the sales causes no skew
+        c1, s1, c2, s2 = (F.broadcast(x) for x in (c1, s1, c2, s2))
     s = (sales.withColumn("period_no", period_index(ts, bounds))
          .join(s1, g1, "left").join(s2, g2, "left")
          .withColumn("_n1", index_fn(F.col("_size1"), row_key, seed=seed))

@@ -58,7 +58,9 @@ def prepare_sales(spark: SparkSession, raw: DataFrame, seed: int = P.SEED) -> tu
     roster = P.employee_roster(spark, locs, bounds, seed=seed)
     sales = (df.withColumn("_ts", ts).withColumnRenamed("customer_country", "country")
                .withColumnRenamed("customer_city", "city").withColumnRenamed("customer_address", "address"))
-    sales = P.assign_employees(sales, roster, bounds, row_key="transaction_id", ts="_ts", seed=seed)
+    # roster size is fixed: 2,000 employee ids x the quarterly periods of the data's time range
+    sales = P.assign_employees(sales, roster, bounds, row_key="transaction_id", ts="_ts", seed=seed,
+                               roster_bounded=True)
     df = (sales.withColumnRenamed("country", "customer_country").withColumnRenamed("city", "customer_city")
                .withColumnRenamed("address", "customer_address").drop("_ts"))
     names = roster.select("employee_id", "employee_first_name", "employee_last_name").distinct()
