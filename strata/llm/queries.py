@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, quality_rules, simhash
+from strata.llm import mixing, quality_rules, simhash, substring
 from strata.llm.common import table
 
 
@@ -13,6 +13,12 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_d_words").alias("n_words"), F.col("_d_removed").alias("n_removed"),
+                      F.sha2("_d_kept", 256).alias("kept_sha256"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -25,6 +31,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_substring": op3_substring,
     "op6_simhash": op6_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
