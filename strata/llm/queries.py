@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, quality_rules, simhash, substring
-from strata.llm.common import table
-
+from strata.llm import mixing, packing, quality_rules, simhash, substring, token_files
+from strata.llm.common import shared_path, table
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
@@ -19,12 +19,24 @@ def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("_d_kept", 256).alias("kept_sha256"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), digest=True)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write(table(spark, sf_dir, "documents"), shared_path(spark, "token-files"),
+                              public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    read = token_files.read(files)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -32,6 +44,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_substring": op3_substring,
+    "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
+    "op8_token_files": op8_token_files,
     "op10_quality_rules": op10_quality_rules,
 }
