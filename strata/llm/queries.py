@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, packing, quality_rules, simhash, substring, token_files
+from strata.llm import langid, mixing, packing, quality_rules, simhash, substring, token_files
 from strata.llm.common import shared_path, table
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -47,5 +51,6 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
     "op8_token_files": op8_token_files,
+    "op9_language": op9_language,
     "op10_quality_rules": op10_quality_rules,
 }
