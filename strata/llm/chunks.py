@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import stage
+from strata.llm.common import map_arrow, stage
 
 CHUNK_BYTES = 4 << 20
 SCHEMA = "chunk long, n_bytes long, body binary"
@@ -57,7 +57,7 @@ def chunked(docs: DataFrame, text: str = "text", chunk_bytes: int = CHUNK_BYTES)
                      pa.array([body], pa.binary())], names=["chunk", "n_bytes", "body"])
                 number, start = number + 1, end
 
-    return stage(rows.mapInArrow(run, SCHEMA), "chunks")
+    return stage(map_arrow(rows, run, SCHEMA), "chunks")
 
 
 def body_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +106,7 @@ def map_chunks(chunks: DataFrame, work: Callable[[int, pa.RecordBatch, list], It
                 yield from work(batch.column(0)[k].as_py(), unpack(batch.column(1)[k].as_buffer()),
                                 [(x["part"], x["blob"]) for x in known or []])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def merge_parts(found: DataFrame, work: Callable[[list[int], list[bytes]], Iterator[tuple[int, bytes]]]) -> DataFrame:

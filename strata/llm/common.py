@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import strata
 from strata.session import checkpoint_dir
 
 #: A word: a maximal run without ASCII white space (the same split as ``bytes.split()``).
@@ -33,6 +39,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application: none of them need have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_strata_shipped", False):
+        return
+    root = Path(strata.__file__).resolve().parent
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="strata-code-")), "strata_code.zip")
+    with zipfile.ZipFile(path, "w") as out:  # Spark's file server hands it out from the driver
+        for f in sorted(root.rglob("*.py")):
+            out.write(f, Path(root.name) / f.relative_to(root))
+    sc.addPyFile(path)
+    sc._strata_shipped = True
+
+
+def map_arrow(df: DataFrame, work: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(work, schema)`` on executors that have this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(work, schema)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row (a lambda variable is never inlined)."""
     return F.transform(F.array(value), body)[0]

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.chunks import body_of
+from strata.llm.common import map_arrow
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -193,7 +194,7 @@ def predict(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                                  names=["doc_id", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return map_arrow(rows, run, "doc_id long, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

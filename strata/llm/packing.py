@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import stage
+from strata.llm.common import map_arrow, stage
 from strata.llm.tokens import encode_column
 
 CAPACITY = 2048
@@ -56,7 +56,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
                     names=["item", "doc_id", "piece", "start", "length", "ids"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return stage(rows.mapInArrow(run, PIECES), "pieces")
+    return stage(map_arrow(rows, run, PIECES), "pieces")
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:

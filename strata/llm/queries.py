@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import langid, mixing, packing, quality_rules, simhash, substring, token_files
+from strata.llm import ann, langid, mixing, packing, quality_rules, simhash, substring, token_files
 from strata.llm.common import shared_path, table
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("_d_kept", 256).alias("kept_sha256"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), digest=True)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -48,6 +52,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op3_substring": op3_substring,
+    "op4_neighbours": op4_neighbours,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
     "op8_token_files": op8_token_files,

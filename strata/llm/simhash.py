@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stage
+from strata.llm.common import map_arrow, stage
 from strata.llm.graph import components
 
 SHINGLE = 3
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
                                for t in batch.column(1)), dtype=np.uint64, count=batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return map_arrow(rows, run, "doc_id long, fp long")
 
 
 def _segment(fp: Column, k: int) -> Column:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stage
+from strata.llm.common import map_arrow, stage
 from strata.llm.tokens import encode_column
 
 FRAME_IDS = 1 << 16
@@ -157,7 +157,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: str =
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return stage(ranged.mapInArrow(run, MANIFEST), "token-manifest")
+    return stage(map_arrow(ranged, run, MANIFEST), "token-manifest")
 
 
 def read(manifest: DataFrame) -> DataFrame:
@@ -181,7 +181,7 @@ def read(manifest: DataFrame) -> DataFrame:
                              pa.array([reader.ids(k + j) for j in range(len(own))], pa.binary())],
                             names=["doc_id", "start", "n_tokens", "ids"])
 
-    return files.select("path", "base").repartition(n_files).mapInArrow(run, DOCUMENT)
+    return map_arrow(files.select("path", "base").repartition(n_files), run, DOCUMENT)
 
 
 def read_documents(path: str, doc_ids: Sequence[int]) -> dict[int, np.ndarray]:
