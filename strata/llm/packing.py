@@ -42,8 +42,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         item = TaskContext.get().partitionId() << 36
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
+            for k in range(0, batch.num_rows, 1024):
+                part = batch.slice(k, 1024)
                 rows = []
                 for doc, ids in zip(part.column(0).to_pylist(), encode_column(part.column(1), tokenizer, end_id), strict=True):
                     first = (len(ids) - 1) % capacity + 1

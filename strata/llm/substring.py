@@ -9,7 +9,7 @@ Three passes over written chunks of text:
    a bounded array in one task, and no task or driver holds the whole sketch.
 2. A sketch never undercounts, so only windows whose cells are all repeated can repeat. Each chunk
    keeps the earliest start of such a window and removes the later ones; one entry per window and
-   chunk goes to a part chosen by its hash, where windows are grouped by 128-bit hash and all but the
+   chunk goes to a part chosen by its hash, where windows are grouped by 96-bit hash and all but the
    earliest start are sent back. A window in a third of all documents costs one entry per chunk.
 3. Each chunk drops the words that removed windows cover.
 
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm.chunks import BLOBS, blob_rows, body_of, chunked, map_chunks, merge_parts, squeeze, unsqueeze
-from strata.llm.common import stage
 from strata.llm.rolling import window_hashes, windows, word_hashes, words
 
 WINDOW = 20
@@ -103,25 +102,40 @@ def _member(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[at] == values
 
 
-_ENTRY = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("id", "<i8"), ("start", "<u4"), ("row", "<u4")])
-_LOCAL = -1  # the part of what a chunk finds out by itself
+_ENTRY = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("id", "<i8"), ("start", "<u4"), ("row", "<u4")])
+
+
+def _join(blobs: list[bytes]) -> bytes:
+    return struct.pack(f"<{len(blobs)}I", *map(len, blobs)) + b"".join(blobs)
+
+
+def _split(blob: bytes, n: int) -> Iterator[bytes]:
+    at = 4 * n
+    for size in struct.unpack_from(f"<{n}I", blob):
+        yield blob[at:at + size]
+        at += size
+
+
+def _squeeze_places(e: np.ndarray) -> bytes:
+    """Row and start of entries, which are in that order."""
+    return _join([squeeze(np.diff(e["row"], prepend=np.uint32(0))), squeeze(e["start"])])
+
+
+def _unsqueeze_places(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    rows, starts = _split(blob, 2)
+    return np.cumsum(unsqueeze(rows, "<u4"), dtype=np.uint32), unsqueeze(starts, "<u4")
 
 
 def _squeeze_entries(e: np.ndarray) -> bytes:
-    """Entries in row and start order: columns apart, ordered columns as differences."""
-    cols = [squeeze(e["h1"]), squeeze(e["h2"]), squeeze(np.diff(e["id"], prepend=np.int64(0))),
-            squeeze(e["start"]), squeeze(np.diff(e["row"], prepend=np.uint32(0)))]
-    return struct.pack("<5I", *map(len, cols)) + b"".join(cols)
+    return _join([squeeze(e["h1"]), squeeze(e["h2"]), squeeze(np.diff(e["id"], prepend=np.int64(0))), _squeeze_places(e)])
 
 
 def _unsqueeze_entries(blob: bytes) -> np.ndarray:
-    sizes, at, cols = struct.unpack_from("<5I", blob), 20, []
-    for size, kind in zip(sizes, ("<u8", "<u8", "<i8", "<u4", "<u4"), strict=True):
-        cols.append(unsqueeze(blob[at:at + size], kind))
-        at += size
-    e = np.empty(len(cols[0]), dtype=_ENTRY)
-    e["h1"], e["h2"], e["start"] = cols[0], cols[1], cols[3]
-    e["id"], e["row"] = np.cumsum(cols[2]), np.cumsum(cols[4], dtype=np.uint32)
+    h1, h2, ids, places = _split(blob, 4)
+    h1 = unsqueeze(h1, "<u8")
+    e = np.empty(len(h1), dtype=_ENTRY)
+    e["h1"], e["h2"], e["id"] = h1, unsqueeze(h2, "<u4"), np.cumsum(unsqueeze(ids, "<i8"))
+    e["row"], e["start"] = _unsqueeze_places(places)
     return e
 
 
@@ -156,11 +170,11 @@ def _candidates(chunks: DataFrame, repeated: DataFrame, key: str, text: str, len
         ids = np.asarray(batch.column(batch.schema.names.index(key)).cast(pa.int64()).fill_null(_NULL_ID))
         e = np.empty(len(at), dtype=_ENTRY)
         rows = np.searchsorted(first, at, side="right") - 1
-        e["h1"], e["h2"] = h1, window_hashes(word_hashes(body, start, end, 1), at, length, 1)
+        e["h1"], e["h2"] = h1, window_hashes(word_hashes(body, start, end, 1), at, length, 1) >> np.uint64(32)
         e["id"], e["row"], e["start"] = ids[rows], rows, at - first[rows]
         later = _later(e)
         if later.any():
-            yield blob_rows(chunk, np.array([_LOCAL]), [_squeeze_entries(e[later])])
+            yield blob_rows(chunk, np.array([-1 - chunk]), [_squeeze_places(e[later])])  # settled here
         e = e[~later]
         parts = (e["h1"] >> np.uint64(64 - log_parts)).astype(np.int64)
         order = np.argsort(parts, kind="stable")
@@ -172,16 +186,19 @@ def _candidates(chunks: DataFrame, repeated: DataFrame, key: str, text: str, len
 
 
 
-def _not_first(entries: DataFrame) -> DataFrame:
-    """(chunk, part, blob): the entries of each chunk whose window starts earlier elsewhere."""
-    def work(_: int, chunk_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
+def _removed(candidates: DataFrame) -> DataFrame:
+    """(chunk, part, blob): the places in each chunk whose window starts earlier somewhere."""
+    def work(part: int, chunk_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        if part < 0:
+            yield from zip(chunk_ids, blobs, strict=True)
+            return
         lists = [_unsqueeze_entries(b) for b in blobs]
         later = np.split(_later(np.concatenate(lists)), np.cumsum([len(x) for x in lists])[:-1])
         for chunk, e, which in zip(chunk_ids, lists, later, strict=True):
             if which.any():
-                yield chunk, _squeeze_entries(e[which])
+                yield chunk, _squeeze_places(e[which])
 
-    return merge_parts(entries, work)
+    return merge_parts(candidates, work)
 
 
 def _kept(chunks: DataFrame, removed: DataFrame, text: str, length: int, columns: list[str], schema: T.StructType) -> DataFrame:
@@ -190,8 +207,8 @@ def _kept(chunks: DataFrame, removed: DataFrame, text: str, length: int, columns
         start, end, first = words(body, offsets)
         edge = np.zeros(len(start) + 1, dtype=np.int32)
         for _, blob in found:
-            e = _unsqueeze_entries(blob)
-            at = first[e["row"]] + e["start"]
+            rows, starts = _unsqueeze_places(blob)
+            at = first[rows] + starts
             np.add.at(edge, at, 1)
             np.add.at(edge, at + length, -1)
         gone = np.cumsum(edge[:-1]) > 0
@@ -221,9 +238,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     width, part = sketch_shape(n_bytes)
     log_parts = max(4, (n_bytes // PART_BYTES).bit_length())
     repeated = _repeated_cells(_sketch(chunks, text, length, width, part), part)
-    entries = stage(_candidates(chunks, repeated, key, text, length, width, part, log_parts), "windows")
-    removed = entries.filter(F.col("part") == _LOCAL).unionByName(
-        _not_first(entries.filter(F.col("part") != _LOCAL)))
+    removed = _removed(_candidates(chunks, repeated, key, text, length, width, part, log_parts))
     schema = T.StructType([*docs.schema.fields, T.StructField("_d_words", T.LongType()),
                            T.StructField("_d_removed", T.LongType()), T.StructField("_d_kept", T.StringType())])
     return _kept(chunks, removed, text, length, docs.columns, schema)

@@ -26,8 +26,12 @@ _PIECES = {
     "byte": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"),
     "word": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+"),
 }
-KNOWN_PIECES = 400_000
-BATCH_CHARS = 1 << 20
+KNOWN_PIECES = 1_200_000
+BATCH_CHARS = 6 << 20
+
+
+def _grown(x: np.ndarray, n: int) -> np.ndarray:
+    return x if n <= len(x) else np.concatenate((x, np.zeros(max(n, 2 * len(x)) - len(x), x.dtype)))
 
 
 class Encoder:
@@ -44,18 +48,22 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)
-        self.at = [0]
+        self.ids, self.n_ids = np.zeros(1 << 16, dtype=np.uint32), 0
+        self.at, self.size = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
 
     def _learn(self, new: list[str]) -> None:
-        encoded = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
-        end = self.at[-1] + sum(map(len, encoded))
-        if end > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros(max(end, 2 * len(self.ids)) - len(self.ids), np.uint32)))
-        self.ids[self.at[-1]:end] = np.fromiter(chain.from_iterable(encoded), dtype=np.uint32, count=end - self.at[-1])
-        for piece, own in zip(new, encoded, strict=True):
-            self.known[piece] = len(self.at) - 1
-            self.at.append(self.at[-1] + len(own))
+        groups = [new[k:k + 512] for k in range(0, len(new), 512)]
+        encoded = self.library.encode_batch(groups, is_pretokenized=True, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in encoded])
+        size = np.concatenate([np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(g))
+                               for e, g in zip(encoded, groups, strict=True)])
+        n, end = len(self.known), self.n_ids + len(ids)
+        self.ids, self.at, self.size = _grown(self.ids, end), _grown(self.at, n + len(new)), _grown(self.size, n + len(new))
+        self.ids[self.n_ids:end] = ids
+        self.at[n:n + len(new)] = self.n_ids + np.cumsum(size) - size
+        self.size[n:n + len(new)] = size
+        self.known.update(zip(new, range(n, n + len(new)), strict=True))
+        self.n_ids = end
 
     def _split(self, text: str) -> list[str] | None:
         if self.pieces is None or "<|" in text or _PLAIN.fullmatch(text) is None:
@@ -67,20 +75,21 @@ class Encoder:
         split = [self._split(t) for t in texts]
         whole = [t for t, s in zip(texts, split, strict=True) if s is None]
         whole = iter([e.ids for e in self.library.encode_batch_fast(whole, add_special_tokens=False)] if whole else [])
-        pieces = list(chain.from_iterable(s for s in split if s is not None))
-        got = list(map(self.known.get, pieces))
+        met = pa.array(list(chain.from_iterable(s for s in split if s is not None)), pa.string()).dictionary_encode()
+        distinct = met.dictionary.to_numpy(zero_copy_only=False)
+        got = list(map(self.known.get, distinct))
         if None in got:
-            new = dict.fromkeys(p for p, k in zip(pieces, got, strict=True) if k is None)
+            new = [p for p, k in zip(distinct, got, strict=True) if k is None]
             if len(self.known) + len(new) > KNOWN_PIECES:
                 self._forget()
-                new = dict.fromkeys(pieces)
-            self._learn(list(new))
-            got = list(map(self.known.__getitem__, pieces))
-        k = np.array(got, dtype=np.int64)
-        at = np.array(self.at, dtype=np.int64)
-        size = at[k + 1] - at[k]
+                new = list(distinct)
+            self._learn(new)
+            got = list(map(self.known.get, distinct)) if len(new) == len(distinct) else [
+                self.known[p] if k is None else k for p, k in zip(distinct, got, strict=True)]
+        k = np.array(got, dtype=np.int64)[np.asarray(met.indices)]
+        at, size = self.at[k], self.size[k]
         ends = np.cumsum(size)
-        flat = self.ids[np.repeat(at[k] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        flat = self.ids[np.repeat(at - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
         bounds = np.concatenate(([0], ends))
         out, n, last = [], 0, np.array([end_id], dtype=np.uint32)
         for s in split:
