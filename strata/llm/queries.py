@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, langid, mixing, packing, quality_rules, simhash, substring, token_files
+from strata.llm import ann, classifier, langid, mixing, packing, quality_rules, simhash, substring, suffix, token_files
 from strata.llm.common import shared_path, table
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_x_bytes").alias("n_bytes"), F.col("_x_removed").alias("n_removed"),
+                      F.col("_x_spans").alias("n_spans"), F.sha2("_x_kept", 256).alias("kept_sha256"))
+
+
 def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("_d_words").alias("n_words"), F.col("_d_removed").alias("n_removed"),
@@ -34,6 +40,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op7_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write(table(spark, sf_dir, "documents"), shared_path(spark, "token-files"),
                               public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -51,10 +61,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_suffix_array": op2_suffix_array,
     "op3_substring": op3_substring,
     "op4_neighbours": op4_neighbours,
     "op5_packing": op5_packing,
     "op6_simhash": op6_simhash,
+    "op7_classifier": op7_classifier,
     "op8_token_files": op8_token_files,
     "op9_language": op9_language,
     "op10_quality_rules": op10_quality_rules,

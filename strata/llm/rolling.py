@@ -80,3 +80,26 @@ def windows(hashes: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
 
 def window_hashes(hashes: np.ndarray, at: np.ndarray, length: int, which: int = 0) -> np.ndarray:
     return mix(spans(hashes, at, at + length, BASES[which]))
+
+
+def all_windows(values: np.ndarray, length: int, base: int) -> np.ndarray:
+    """Hash of every run of ``length`` values, by its start."""
+    if len(values) < length:
+        return np.zeros(0, dtype=np.uint64)
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * powers(base, len(values)), out=total[1:])
+    own = total[length:] - total[:-length]
+    own *= powers(pow(base, -1, 1 << 64), len(own))
+    return mix(own)
+
+
+def sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
+    """``best`` (np.minimum or np.maximum) over every run of ``width`` values: running bests from the
+    left and from the right of blocks of ``width``, joined at the block border inside each run."""
+    n = len(values)
+    if n < width:
+        return values[:0]
+    padded = np.concatenate((values, np.full(-n % width, values[-1], dtype=values.dtype))).reshape(-1, width)
+    left = best.accumulate(padded, axis=1).reshape(-1)
+    right = best.accumulate(padded[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+    return best(right[:n - width + 1], left[width - 1:n])
