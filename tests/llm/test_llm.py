@@ -311,7 +311,7 @@ def test_classifier(spark, docs, rows, empty):
     bad = [got[d] for d, q in truth.items() if not q]
     assert np.mean(good) > 0.97 and np.mean(bad) < 0.2
     out = classifier.classify(docs).collect()
-    assert bag(r["doc_id"] for r in out) == bag(r[0] for r in rows) and all(0 <= r["score"] <= 1 for r in out)
+    assert Counter(r["doc_id"] for r in out) == Counter(r[0] for r in rows) and all(0 <= r["score"] <= 1 for r in out)
     assert classifier.classify(empty).count() == 0
 
 
@@ -388,7 +388,7 @@ def test_quality_rules(spark, docs, rows, empty):
         assert r["base_failed"] == failed and not (failed and r["kept"])
     kept = quality_rules.keep_good(docs)
     assert kept.columns == docs.columns
-    assert bag(r["doc_id"] for r in kept.collect()) == bag(r["doc_id"] for r in out.collect() if r["kept"])
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r["doc_id"] for r in out.collect() if r["kept"])
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     got = {r["doc_id"]: r["kept"] for r in queries.op10_quality_rules(spark, "/root/testdata/sf0.01").collect()}
@@ -434,7 +434,7 @@ def test_pipeline(spark, docs, rows):
             assert len({i for i in ids if i is not None}) == sum(r["doc_id"] is not None for r in after)
         if name == "substring_dedup":
             want = [k for _, n, r, k in C.repeats_of_words([(r["doc_id"], r["text"]) for r in before]) if not r or r < n]
-            assert bag(b" ".join(C.words(r["text"])) for r in after) == bag(want)
+            assert Counter(b" ".join(C.words(r["text"])) for r in after) == Counter(want)
     assert after
 
 
