@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, packing, quality_rules, simhash, substring
+from strata.llm import mixing, packing, quality_rules, simhash, substring, tokens
 from strata.llm.common import stage, table
 
 
@@ -41,7 +41,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in the training sequences."""
-    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), digest=True)
+    # the workers of the earlier stages live on beside the JVM, so the tokenizer keeps less in memory
+    packed = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), digest=True, limits=tokens.SMALL)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", F.col("offset"))
 
 

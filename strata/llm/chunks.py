@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.llm import rolling
 from strata.llm.common import map_arrow, stage
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 SCHEMA = "chunk long, n_bytes long, body binary"
 _IPC = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
 
@@ -105,6 +106,7 @@ def map_chunks(chunks: DataFrame, work: Callable[[int, pa.RecordBatch, list], It
                 known = batch.column(2)[k].as_py() if batch.num_columns > 2 else None
                 yield from work(batch.column(0)[k].as_py(), unpack(batch.column(1)[k].as_buffer()),
                                 [(x["part"], x["blob"]) for x in known or []])
+        rolling.release()  # the worker process lives on
 
     return map_arrow(rows, run, schema)
 

@@ -36,7 +36,7 @@ PIECES = "item long, doc_id long, piece int, start long, length long, ids binary
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, key: str = "doc_id",
-           text: str = "text") -> DataFrame:
+           text: str = "text", limits: tuple[int, int] | None = None) -> DataFrame:
     """The pieces of all documents, ids as little-endian unsigned 32-bit integers. A document over the
     capacity is cut so that all its pieces but the first are full."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
             for k in range(0, batch.num_rows, 1024):
                 part = batch.slice(k, 1024)
                 rows = []
-                for doc, ids in zip(part.column(0).to_pylist(), encode_column(part.column(1), tokenizer, end_id), strict=True):
+                for doc, ids in zip(part.column(0).to_pylist(), encode_column(part.column(1), tokenizer, end_id, limits), strict=True):
                     first = (len(ids) - 1) % capacity + 1
                     cuts = [0, *range(first, len(ids) + 1, capacity)]
                     for piece, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
@@ -148,9 +148,10 @@ def places(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, key: str = "doc_id",
-         text: str = "text", digest: bool = False) -> DataFrame:
-    """Every piece with its ids (or, with ``digest``, their CRC-32) and its place."""
-    cut = pieces(docs, tokenizer, capacity, end_id, key, text)
+         text: str = "text", digest: bool = False, limits: tuple[int, int] | None = None) -> DataFrame:
+    """Every piece with its ids (or, with ``digest``, their CRC-32) and its place. ``limits`` bound the
+    tokenizer's memory (see ``tokens``)."""
+    cut = pieces(docs, tokenizer, capacity, end_id, key, text, limits)
     where = places(cut.select("item", "length"), capacity)
     ids = F.crc32("ids").alias("ids_crc32") if digest else F.col("ids")
     return cut.select("item", "doc_id", "piece", "start", "length", ids).join(where, "item").drop("item")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -40,6 +41,12 @@ def powers(base: int, n: int) -> np.ndarray:
     return _POWERS[base][:n]
 
 
+def release() -> None:
+    """Give the tables of powers back."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """Hash of ``values[start:end]`` for each span: equal spans have equal hashes wherever they lie."""
     total = np.zeros(len(values) + 1, dtype=np.uint64)

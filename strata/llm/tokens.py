@@ -26,8 +26,11 @@ _PIECES = {
     "byte": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+"),
     "word": re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+"),
 }
+#: What a worker process holds at most: pieces with known ids, characters encoded at a time. Together
+#: about 500 MB; smaller numbers cost time (see ``SMALL``, about 300 MB), never results.
 KNOWN_PIECES = 1_200_000
 BATCH_CHARS = 6 << 20
+SMALL = (300_000, 1 << 20)
 
 
 def _grown(x: np.ndarray, n: int) -> np.ndarray:
@@ -37,7 +40,8 @@ def _grown(x: np.ndarray, n: int) -> np.ndarray:
 class Encoder:
     """Token ids by the vocabulary file at ``path``."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known_pieces: int | None = None):
+        self.known_pieces = known_pieces or KNOWN_PIECES
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
@@ -52,11 +56,13 @@ class Encoder:
         self.at, self.size = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
 
     def _learn(self, new: list[str]) -> None:
-        groups = [new[k:k + 512] for k in range(0, len(new), 512)]
-        encoded = self.library.encode_batch(groups, is_pretokenized=True, add_special_tokens=False)
-        ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in encoded])
-        size = np.concatenate([np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(g))
-                               for e, g in zip(encoded, groups, strict=True)])
+        ids, size = [], []
+        for k in range(0, len(new), 8192):  # encodings are large: few at a time
+            groups = [new[j:j + 512] for j in range(k, min(k + 8192, len(new)), 512)]
+            for e, g in zip(self.library.encode_batch(groups, is_pretokenized=True, add_special_tokens=False), groups, strict=True):
+                ids.append(np.array(e.ids, dtype=np.uint32))
+                size.append(np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(g)))
+        ids, size = np.concatenate(ids), np.concatenate(size)
         n, end = len(self.known), self.n_ids + len(ids)
         self.ids, self.at, self.size = _grown(self.ids, end), _grown(self.at, n + len(new)), _grown(self.size, n + len(new))
         self.ids[self.n_ids:end] = ids
@@ -80,7 +86,7 @@ class Encoder:
         got = list(map(self.known.get, distinct))
         if None in got:
             new = [p for p, k in zip(distinct, got, strict=True) if k is None]
-            if len(self.known) + len(new) > KNOWN_PIECES:
+            if len(self.known) + len(new) > self.known_pieces:
                 self._forget()
                 new = list(distinct)
             self._learn(new)
@@ -102,20 +108,22 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and vocabulary."""
-    return Encoder(path)
+@lru_cache(maxsize=1)
+def encoder(path: str, known_pieces: int | None = None) -> Encoder:
+    """One encoder per worker process."""
+    return Encoder(path, known_pieces)
 
 
-def encode_column(column: pa.Array, path: str, end_id: int) -> Iterator[np.ndarray]:
-    """Ids of each text of a string column (a null is empty), a bounded number of characters at a time."""
-    own, texts, chars = encoder(path), [], 0
+def encode_column(column: pa.Array, path: str, end_id: int, limits: tuple[int, int] | None = None) -> Iterator[np.ndarray]:
+    """Ids of each text of a string column (a null is empty), a bounded number of characters at a time.
+    ``limits`` are (known pieces, characters); the module's own by default."""
+    known_pieces, batch_chars = limits or (KNOWN_PIECES, BATCH_CHARS)
+    own, texts, chars = encoder(path, known_pieces), [], 0
     for value in column:
         text = value.as_py() or ""
         texts.append(text)
         chars += len(text)
-        if chars >= BATCH_CHARS:
+        if chars >= batch_chars:
             yield from own.encode(texts, end_id)
             texts, chars = [], 0
     if texts:
