@@ -47,7 +47,3 @@ def time_id(ts) -> Column:
 def month_id(d) -> Column:
     """``yyyyMM`` integer of a date, the fact's partition column."""
     return (F.year(_c(d)) * 100 + F.month(_c(d))).cast("int")
-
-
-def month_start(d) -> Column:
-    return F.trunc(_c(d), "MM")

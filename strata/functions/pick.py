@@ -22,17 +22,10 @@ def hash_index(n, *keys, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *[_c(k) for k in keys]), n_col.cast("long"))
 
 
-def pick(choices: Sequence[str], *keys, seed: int = 42) -> Column:
-    """Pick one literal from ``choices`` by hash of ``keys``."""
+def pick(choices: Sequence[str], *keys, seed: int = 42, index_fn=None) -> Column:
+    """Pick one literal from ``choices`` by hash of ``keys`` (``hash_index``, or ``index_fn``)."""
     arr = F.array(*[F.lit(c) for c in choices])
-    return F.element_at(arr, (hash_index(len(choices), *keys, seed=seed) + 1).cast("int"))
-
-
-def pick_from_array(arr, *keys, seed: int = 42) -> Column:
-    """Pick one element of an array column (e.g. a choice list that depends on a category)."""
-    a = _c(arr)
-    return F.when(F.size(a) > 0,
-                  F.element_at(a, (hash_index(F.size(a), *keys, seed=seed) + 1).cast("int")))
+    return F.element_at(arr, ((index_fn or hash_index)(len(choices), *keys, seed=seed) + 1).cast("int"))
 
 
 def md5_index(n, *keys, seed: int = 42) -> Column:

@@ -11,53 +11,40 @@ from pyspark.sql import functions as F
 
 from strata.functions.text import fingerprint
 from strata.operators.latest import first_per_key
-from strata.session import cut_lineage, estimated_bytes, partitions_for
+from strata.session import stage
 
 UNKNOWN_ID = -1
-SMALL_INPUT_BYTES = 32 << 20   # inputs estimated below this are ranked in a single task
-BROADCAST_KEYS_MAX = 2_000_000  # counted key sets up to this size are broadcast to probe a big table
-_POS_BITS = 33  # monotonically_increasing_id = (partition index << 33) + position in partition
+UNKNOWN_KEYS = ("N/A", "-1")  # business keys (as text) of the unknown member
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def assign_keys(keys: DataFrame, order_cols: Sequence[str], id_col: str, offset: int = 0,
-                num_partitions: int | None = None) -> DataFrame:
+def assign_keys(keys: DataFrame, order_cols: Sequence[str], id_col: str, offset: int = 0) -> DataFrame:
     """Give each row of ``keys`` (distinct natural keys) a dense id ``offset+1 .. offset+n`` in
     ``order_cols`` order — a distributed ``zipWithIndex``.
 
-    Plan: range-partition and sort on the key (one shuffle, parallel), count rows per
-    partition (one number per partition), turn the counts into start offsets over that tiny
-    table, and add the in-partition position. There is no single-partition window over the
-    data, and because the ids follow the global key order (keys must be distinct) they are the
-    same on any re-run.
+    The key columns alone are range-partitioned, sorted and written to the shared folder; a key's id
+    is the number of rows in the files before its own plus its row number there, so only one count
+    per file passes through a single task. The ids follow the global key order (keys must be
+    distinct), so they are the same on any re-run. Other columns are joined back on the key.
     """
-    if num_partitions is None and estimated_bytes(keys) <= SMALL_INPUT_BYTES:
-        # A small input (by the optimizer's own upper-bound estimate) is ranked in one task; the
-        # ranks follow the unique key, so any re-run gives the same ids without materialising.
-        w = Window.orderBy(*order_cols)
-        return keys.withColumn(id_col, (F.lit(int(offset)) + F.row_number().over(w)).cast("long"))
-    n = num_partitions or partitions_for(keys)
-    # The range bounds come from a sample of the input; if the input is itself the output of
-    # a shuffle its row order (hence the sample) can differ between two evaluations. The
-    # sorted ranges are therefore written once to the reliable checkpoint folder, and both the
-    # per-partition counts and the positions are read from that copy.
-    staged = keys.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).persist()
-    try:
-        ranged = cut_lineage(staged)
-    finally:
-        staged.unpersist()
-    ranged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # At most ``n`` rows (one per partition): a bounded table, safe to broadcast.
-    bases = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _POS_BITS)
-    return (ranged.join(F.broadcast(bases), "_pid")
-            .withColumn(id_col, (F.lit(int(offset)) + F.col("_base") + pos + 1).cast("long"))
-            .drop("_pid", "_mid", "_base"))
+    order = list(order_cols)
+    ranged = stage(keys.select(*order).repartitionByRange(*order).sortWithinPartitions(*order), "keys")
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int")
+    ranged = ranged.select(*order, number.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    counts = ranged.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per written file: bounded by the number of tasks that wrote them, safe to broadcast.
+    bases = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    ids = ranged.join(F.broadcast(bases), "_file").select(
+        *order, (F.lit(int(offset)) + F.col("_base") + F.col("_row") + 1).cast("long").alias(id_col))
+    if set(keys.columns) == set(order):
+        return ids
+    ids = ids.select(*[F.col(c).alias(f"_k_{c}") for c in order], id_col)
+    same = [keys[c].eqNullSafe(ids[f"_k_{c}"]) for c in order]
+    return keys.join(ids, same).drop(*[f"_k_{c}" for c in order])
 
 
 def max_id(df: DataFrame, id_col: str) -> int:
@@ -83,11 +70,27 @@ def lookup(df: DataFrame, dim: DataFrame, left_on, right_on: str, id_col: str, o
     unique; for non-unique keys use :func:`lookup_first`.
     """
     d = dim.select(F.col(right_on).alias("_lk"), F.col(id_col).alias("_lid"))
-    out = df.join(d, _c(left_on) == F.col("_lk"), "left")
+    if default == UNKNOWN_ID:
+        # Half of all sales carry the unknown key in each lookup. Its answer is known, so those rows
+        # join on nothing and are spread by a hash of the row instead of meeting in one task.
+        key, salt = spread_unknown(_c(left_on), df.columns)
+        out = df.withColumn("_jk", key).withColumn("_js", salt)
+        out = out.join(d.withColumn("_ds", F.pmod(F.xxhash64("_lk"), F.lit(1))),  # 0, but no constant to fold
+                       (F.col("_jk") == F.col("_lk")) & (F.col("_js") == F.col("_ds")), "left").drop("_jk", "_js", "_ds")
+    else:
+        out = df.join(d, _c(left_on) == F.col("_lk"), "left")
     filled = F.col("_lid") if default is None else F.coalesce(F.col("_lid"), F.lit(default))
     return out.withColumn(out_col, filled.cast("long")).drop("_lk", "_lid")
 
 
+def spread_unknown(key: Column, columns: Sequence[str]) -> tuple[Column, Column]:
+    """(join key, salt): the key of the unknown member becomes NULL with a salt from the row's
+    columns; every other key keeps salt 0."""
+    unknown = key.isNull() | key.cast("string").isin(*UNKNOWN_KEYS)
+    return (F.when(~unknown, key),
+            F.when(unknown, F.xxhash64(*columns)).otherwise(F.lit(0)).cast("long"))
+
+
 def lookup_first(df: DataFrame, dim: DataFrame, left_on, right_on: str, id_col: str, out_col: str,
                  order: Sequence[Column] | None = None, default: int | None = UNKNOWN_ID) -> DataFrame:
     """Lateral top-1 (J3): ``LEFT JOIN LATERAL (SELECT ... WHERE k = outer.k LIMIT 1)``.
@@ -132,11 +135,7 @@ def map_or_mint(batch: DataFrame, existing: DataFrame, key: str, id_col: str, at
     return MintResult(rows=rows, table=existing.unionByName(rows), batch=resolved)
 
 
-def probe(big: DataFrame, keys: DataFrame, key: str, n_keys: int | None = None) -> DataFrame:
+def probe(big: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of ``big`` whose ``key`` occurs in ``keys`` (semi join), for probing a large stored
-    table with a batch. The distinct batch keys are counted (or ``n_keys`` is given) and broadcast
-    when there are at most ``BROADCAST_KEYS_MAX`` of them, so the big side is scanned but never
-    shuffled; a larger key set falls back to a shuffled semi join."""
-    k = keys.select(key).distinct()
-    n = k.count() if n_keys is None else n_keys
-    return big.join(F.broadcast(k) if n <= BROADCAST_KEYS_MAX else k, key, "left_semi")
+    table with a batch. The planner, and AQE from the measured bytes, broadcast a small batch."""
+    return big.join(keys.select(key).distinct(), key, "left_semi")

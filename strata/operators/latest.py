@@ -30,3 +30,8 @@ def latest_by(df: DataFrame, keys: Sequence, order: Sequence[Column]) -> DataFra
 def first_per_key(df: DataFrame, key, order: Sequence[Column]) -> DataFrame:
     """"Any one row" lookup (``LIMIT 1`` / lateral top-1, J3/L2) made deterministic."""
     return latest_by(df, [key], order)
+
+
+def map_recency() -> list[Column]:
+    """Order of a mapping table's rows for one id: the latest load first (ties: source system, hash — Q13)."""
+    return [F.col("load_dt").desc(), F.col("source_system").asc(), F.col("hash_value").asc()]

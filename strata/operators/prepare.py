@@ -8,13 +8,13 @@ Name/company generators of the notebook are replaced by rule-built word lists.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.pick import hash_index, pick
-from strata.operators.keys import assign_keys
 
 SEED = 42
 
@@ -63,6 +63,7 @@ PERIOD_MONTHS, PERIOD_JITTER_DAYS = 3, 28
 # Rule-built word stock for generated names (syllable pairs), not a copied list.
 _SYL = ["ka", "lo", "mi", "ra", "te", "vo", "sa", "ne", "ti", "po", "da", "ru"]
 WORDS = [a + b for a in _SYL for b in _SYL if a != b]
+COLOURS = ["red", "green", "blue", "black", "white", "grey", "brown", "yellow"]
 
 
 def _c(x) -> Column:
@@ -121,17 +122,17 @@ def location_table(spark, seed: int = SEED) -> DataFrame:
 
 
 def assign_locations(df: DataFrame, locations: DataFrame, *, row_key: str, region: str,
-                     seed: int = SEED) -> DataFrame:
+                     seed: int = SEED, index_fn=hash_index) -> DataFrame:
     """Per row, a country of its region, a city of that country and an address of that city.
-    Done with indexed candidate lists (``idx = hash mod count``) and equi joins — the
-    candidate tables are the fixed 260-row location table, so they are broadcast."""
+    Done with indexed candidate lists (``idx = hash mod count``) and equi joins; the planner
+    broadcasts the candidates when they are small, like the job's own 260-row location table."""
     def level(out: DataFrame, parent: Column, cands: DataFrame, child: str, salt: int) -> DataFrame:
         c = (cands.select(F.col("p").alias("_lp"), F.col("c").alias("_lc")).distinct()
              .withColumn("_li", F.row_number().over(Window.partitionBy("_lp").orderBy("_lc")) - 1))
         sizes = c.groupBy(F.col("_lp").alias("_sp")).agg(F.count(F.lit(1)).alias("_ln"))
-        out = (out.join(F.broadcast(sizes), parent == F.col("_sp"), "left")
-               .withColumn("_pick", hash_index(F.col("_ln"), row_key, seed=seed + salt)))
-        out = out.join(F.broadcast(c), (parent == F.col("_lp")) & (F.col("_pick") == F.col("_li")), "left")
+        out = (out.join(sizes, parent == F.col("_sp"), "left")
+               .withColumn("_pick", index_fn(F.col("_ln"), row_key, seed=seed + salt)))
+        out = out.join(c, (parent == F.col("_lp")) & (F.col("_pick") == F.col("_li")), "left")
         return out.withColumnRenamed("_lc", child).drop("_sp", "_ln", "_pick", "_lp", "_li")
 
     out = level(df, F.col(region), locations.select(F.col("region").alias("p"), F.col("country").alias("c")),
@@ -142,43 +143,48 @@ def assign_locations(df: DataFrame, locations: DataFrame, *, row_key: str, regio
                  "address", 2)
 
 
-def card_details(df: DataFrame, *, row_key: str, method: str = "payment_method", seed: int = SEED) -> DataFrame:
+def card_details(df: DataFrame, *, row_key: str, method: str = "payment_method", seed: int = SEED,
+                 index_fn=hash_index) -> DataFrame:
     """Card type and verification method, NULL when the payment method is not a card."""
     ct = F.element_at(_map_of_lists(CARD_TYPES), F.col(method))
     vm = F.element_at(_map_of_lists(VERIFICATION_METHODS), F.col(method))
     return (df.withColumn("card_type", F.when(ct.isNotNull(), F.element_at(
-                ct, (hash_index(F.size(ct), row_key, seed=seed) + 1).cast("int"))))
+                ct, (index_fn(F.size(ct), row_key, seed=seed) + 1).cast("int"))))
               .withColumn("verification_method", F.when(vm.isNotNull(), F.element_at(
-                vm, (hash_index(F.size(vm), row_key, seed=seed + 1) + 1).cast("int")))))
+                vm, (index_fn(F.size(vm), row_key, seed=seed + 1) + 1).cast("int")))))
 
 
-def devices(df: DataFrame, *, row_key: str, seed: int = SEED) -> DataFrame:
+def devices(df: DataFrame, *, row_key: str, seed: int = SEED, index_fn=hash_index) -> DataFrame:
     """E5: uniform device type and browser per row."""
-    return (df.withColumn("device_type", pick(DEVICE_TYPES, row_key, seed=seed))
-              .withColumn("browser_used", pick(BROWSERS, row_key, seed=seed + 1)))
+    return (df.withColumn("device_type", pick(DEVICE_TYPES, row_key, seed=seed, index_fn=index_fn))
+              .withColumn("browser_used", pick(BROWSERS, row_key, seed=seed + 1, index_fn=index_fn)))
 
 
 def product_names(df: DataFrame, *, key: str, category: str, subcategory: str, manufacturer: str,
-                  seed: int = SEED) -> DataFrame:
-    """Product name by category template, title-cased."""
-    w1, w2 = pick(WORDS, key, seed=seed), pick(WORDS, key, seed=seed + 1)
+                  seed: int = SEED, index_fn=hash_index) -> DataFrame:
+    """Product name by category template, title-cased: books "The <word> <word>", clothing
+    "<colour> <subcategory> <word>", everything else "<manufacturer> <subcategory> <word>"."""
+    w1, w2 = (pick(WORDS, key, seed=seed + i, index_fn=index_fn) for i in (0, 1))
+    colour = pick(COLOURS, key, seed=seed + 2, index_fn=index_fn)
     name = (F.when(F.col(category) == "Books", F.concat_ws(" ", F.lit("The"), w1, w2))
+            .when(F.col(category) == "Clothing", F.concat_ws(" ", colour, F.col(subcategory), w1))
             .otherwise(F.concat_ws(" ", F.col(manufacturer), F.col(subcategory), w1)))
     return df.withColumn("product_name", F.initcap(name))
 
 
-def emails(df: DataFrame, *, key: str, first: str, last: str, out: str, seed: int = SEED) -> DataFrame:
+def emails(df: DataFrame, *, key: str, first: str, last: str, out: str, seed: int = SEED, index_fn=hash_index) -> DataFrame:
     """``first.last<id>@domain`` in lower case, domain picked per key."""
     return df.withColumn(out, F.concat(F.lower(F.col(first)), F.lit("."), F.lower(F.col(last)),
                                        F.col(key).cast("string"), F.lit("@"),
-                                       pick(EMAIL_DOMAINS, key, seed=seed)))
+                                       pick(EMAIL_DOMAINS, key, seed=seed, index_fn=index_fn)))
 
 
 def period_bounds(start: _dt.datetime, end: _dt.datetime, seed: int = SEED) -> list[_dt.datetime]:
     """Start, every 3rd month end between start and end shifted by a seeded +-28 days, end.
     A handful of dates (one per quarter), computed from the two data bounds."""
-    import random
-    rnd = random.Random(seed)
+    def jitter(i: int) -> int:
+        digest = hashlib.md5(f"{seed}|{i}".encode()).hexdigest()
+        return int(digest[:15], 16) % (2 * PERIOD_JITTER_DAYS + 1) - PERIOD_JITTER_DAYS
     out = [start]
     y, m = start.year, start.month
     while True:
@@ -188,7 +194,7 @@ def period_bounds(start: _dt.datetime, end: _dt.datetime, seed: int = SEED) -> l
         month_end = _dt.datetime.combine(nxt_first - _dt.timedelta(days=1), start.time())
         if month_end > end:
             break
-        out.append(month_end + _dt.timedelta(days=rnd.randint(-PERIOD_JITTER_DAYS, PERIOD_JITTER_DAYS)))
+        out.append(month_end + _dt.timedelta(days=jitter(len(out))))
     out.append(end)
     return sorted(out)
 
@@ -226,8 +232,7 @@ def period_index(ts, bounds: list[_dt.datetime]) -> Column:
 
 
 def assign_employees(sales: DataFrame, roster: DataFrame, bounds: list[_dt.datetime], *, row_key: str,
-                     ts: str = "timestamp", seed: int = SEED, index_fn=hash_index,
-                     roster_bounded: bool = False) -> DataFrame:
+                     ts: str = "timestamp", seed: int = SEED, index_fn=hash_index) -> DataFrame:
     """Give each sale an employee working at the sale's (country, city, address) in the
     sale's period, picked at random; if there is none, any employee of the (country, city).
 
@@ -243,10 +248,6 @@ def assign_employees(sales: DataFrame, roster: DataFrame, bounds: list[_dt.datet
     c2 = (cand.select("employee_id", *g2).distinct()
           .withColumn("_n2", F.row_number().over(Window.partitionBy(*g2).orderBy("employee_id")) - 1))
     s2 = c2.groupBy(*g2).agg(F.count(F.lit(1)).alias("_size2"))
-    if roster_bounded:
-        # the caller guarantees a roster of bounded size (e.g. a fixed id range x a few periods):
-        # candidate tables are broadcast, so a city holding a third of the sales causes no skew
-        c1, s1, c2, s2 = (F.broadcast(x) for x in (c1, s1, c2, s2))
     s = (sales.withColumn("period_no", period_index(ts, bounds))
          .join(s1, g1, "left").join(s2, g2, "left")
          .withColumn("_n1", index_fn(F.col("_size1"), row_key, seed=seed))
@@ -257,18 +258,25 @@ def assign_employees(sales: DataFrame, roster: DataFrame, bounds: list[_dt.datet
             .drop("_n1", "_n2", "_size1", "_size2", "_e1", "_e2", "period_no"))
 
 
-def split_half(df: DataFrame, *, row_key: str, seed: int = SEED, rank_col: str = "_rank"):
-    """Exact half split after a seeded shuffle — rows ranked by ``md5(seed|key)`` (a
-    distributed rank, no single-partition window); the first ``n // 2`` go online."""
-    n = df.count()
-    keyed = df.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(row_key).cast("string"))))
-    ranked = assign_keys(keyed, ["_h", row_key], rank_col)
-    online = ranked.filter(F.col(rank_col) <= n // 2).drop("_h", rank_col)
-    offline = ranked.filter(F.col(rank_col) > n // 2).drop("_h", rank_col)
-    return online, offline
-
+def split_half(df: DataFrame, *, row_key: str, seed: int = SEED):
+    """Exact half split after a seeded shuffle — the first ``n // 2`` rows in the order of
+    ``md5(seed|key)`` (then key) go online.
 
-ONLINE_DROP = ["purchase_region", "purchase_country", "purchase_city", "purchase_address", "employee_id",
-               "employee_first_name", "employee_last_name", "employee_email"]
-OFFLINE_DROP = ["customer_id", "customer_first_name", "customer_last_name", "customer_email", "customer_age",
-                "customer_gender", "device_type", "browser_used"]
+    Rows are counted per hash prefix; only the prefix that holds the middle row is ordered, to find
+    the last online row, and both halves are filters on the hash: no row is shuffled or ranked.
+    ``row_key`` must be unique.
+    """
+    key = F.col(row_key).cast("string")
+    place = F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), key)).alias("h"), key.alias("k"))
+    prefix = F.substring(place["h"], 1, 4)
+    counts = {r[0]: r[1] for r in df.groupBy(prefix).count().collect()}  # 16**4 rows at most
+    left = sum(counts.values()) // 2
+    if not left:
+        return df.filter(F.lit(False)), df
+    for p in sorted(counts):
+        if left <= counts[p]:
+            break
+        left -= counts[p]
+    last = df.filter(prefix == p).select(place.alias("p")).orderBy("p").limit(left).agg(F.max("p").alias("p")).first()["p"]
+    online = place <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k"))
+    return df.filter(online), df.filter(~online)

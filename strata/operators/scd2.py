@@ -34,6 +34,7 @@ Two paths:
 from __future__ import annotations
 
 import bisect
+import hashlib
 import datetime as _dt
 import sys
 from collections.abc import Sequence
@@ -46,7 +47,7 @@ from pyspark.sql import types as T
 from strata.functions.dates import HIGH_TS, high_ts, minus_minute
 from strata.functions.text import ckey, differs
 from strata.operators.sequence import with_next
-from strata.session import cut_lineage
+from strata.session import stage
 
 HIGH = _dt.datetime.fromisoformat(HIGH_TS)
 ONE_MIN = _dt.timedelta(minutes=1)
@@ -94,9 +95,9 @@ def versions_from_events(events: DataFrame, key: str, ts: str, attrs: Sequence[s
     e = e.join(last, [key, "_b"], "left")
     prev = F.coalesce(F.col("_prev"), F.col("_seam"))
     change = prev.isNull() | differs([prev[a] for a in attrs], [F.col(a) for a in attrs])
-    # The version starts are materialised once (reliable checkpoint): both the in-bucket lead and
+    # The version starts are materialised once (written to the shared folder): both the in-bucket lead and
     # the per-bucket summary below read them, and the event windows are not run twice.
-    v = cut_lineage(e.filter(change).select(key, F.col(ts).alias("start_dt"), *attrs, *extra, "_b"))
+    v = stage(e.filter(change).select(key, F.col(ts).alias("start_dt"), *attrs, *extra, "_b"), "versions")
     # End of a version: one minute before the next version of the key (bucketed lead).
     v = with_next(v.drop("_b"), key, "start_dt", "_nxt", bucket=bucket)
     nxt = F.col("_nxt")
@@ -118,6 +119,11 @@ def _same(a: dict, b: dict, attrs) -> bool:
     return all(a[x] is not None and b[x] is not None and a[x] == b[x] for x in attrs)
 
 
+def _fingerprint(row: dict, attrs) -> str:
+    """``md5(concat_ws('|', attrs))``, as ``dedupe_same_time`` orders by."""
+    return hashlib.md5("|".join(str(row[a]) for a in attrs if row[a] is not None).encode()).hexdigest()
+
+
 def fold_key(versions: list[dict], events: list[dict], attrs: Sequence[str], *,
              ts: str = "ts", id_col: str = "id", new_id_per_version: bool = False) -> tuple[list[dict], dict]:
     """Apply ``events`` (sorted by time) to one key's ``versions`` with the event rule.
@@ -156,6 +162,14 @@ def fold_key(versions: list[dict], events: list[dict], attrs: Sequence[str], *,
     for ev in events:
         t = ev[ts]
         i = bisect.bisect_right(starts, t)            # vs[:i] start at or before t
+        if i > 0 and starts[i - 1] == t:
+            # Q9 against stored versions: (key, start) is unique, so of a version and an event at
+            # the same instant the greater fingerprint stays
+            at = vs[i - 1]
+            if _differs(at, ev, attrs) and _fingerprint(ev, attrs) > _fingerprint(at, attrs):
+                at.update({a: ev[a] for a in attrs})
+                touch(at)
+            continue
         cur = vs[i - 1] if i > 0 and vs[i - 1]["end_dt"] >= t else None
         nxt = vs[i] if i < len(vs) else None
         if cur is not None and _differs(cur, ev, attrs):
@@ -256,11 +270,3 @@ def scd2_merge(existing: DataFrame, events: DataFrame, key: str, ts: str, attrs:
                              else F.col(c) for c in vcols])
     untouched_late = late_v.join(first_late, key).filter(F.col("end_dt") < F.col("_first")).select(*vcols)
     return fresh.unionByName(older).unionByName(folded).unionByName(untouched_late)
-
-
-def version_schema(key_type: T.DataType, attrs: dict[str, T.DataType], id_col: str) -> T.StructType:
-    fields = [T.StructField(id_col, T.LongType()), T.StructField("key", key_type)]
-    fields += [T.StructField(a, t) for a, t in attrs.items()]
-    fields += [T.StructField("start_dt", T.TimestampNTZType()), T.StructField("end_dt", T.TimestampNTZType()),
-               T.StructField("is_active", T.BooleanType())]
-    return T.StructType(fields)

@@ -17,9 +17,11 @@ from strata.functions.text import ckey, na, std
 from strata.operators import control, partitions, prepare, quality
 from strata.operators.calendar import dim_dates, dim_times
 from strata.operators.keys import assign_keys, ensure_default, lookup, lookup_first, max_id
-from strata.operators.latest import latest_by
+from strata.operators.latest import latest_by, map_recency
 from strata.operators.pit import point_in_time_join
 from strata.operators.scd2 import scd2_merge
+from strata.operators.upsert import ACTION, insert_absent
+from strata.operators.staging import stage_rows
 from strata.plans import marts, standin as S
 from strata.sources.tables import Tables
 
@@ -29,9 +31,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 # ---- staging, latest record, union ----------------------------------------------------------
 
 def stage_fingerprint(spark, d):
+    """Required fields and the fingerprint over every column but the time."""
     f = S.sales_feed(spark, d)
-    return (f.filter(F.col("transaction_id").isNotNull() & F.col("event_dt").isNotNull())
-            .select("transaction_id", "event_dt", "source_system", "hash_value"))
+    columns = ["transaction_id", "customer_id", "product_id", "employee_id", "payment_method", "card_type",
+               "verification_method", "quantity", "price", "discount", "total_amount", "source_system", "event_dt"]
+    rows = stage_rows(f, columns, S.BATCH1_TS, required=("transaction_id", "event_dt"), unhashed=("event_dt",))
+    return rows.select("transaction_id", "event_dt", "source_system", "hash_value")
 
 
 def stage_append_dedup(spark, d):
@@ -141,7 +146,9 @@ def scd2_late_merge(spark, d):
     first = first.join(keys, "employee_src_id")
     late = ev.filter(F.col("event_type") == "PURCHASE").select("employee_src_id", "ts", "event_type")
     out = scd2_merge(first, late, "employee_src_id", "ts", ["event_type"], id_col="employee_id")
-    return out.select("employee_id", "employee_src_id", "event_type", "start_dt", "end_dt", "is_active")
+    cols = ["employee_id", "employee_src_id", "event_type", "start_dt", "end_dt", "is_active"]
+    untouched = first.join(late.select("employee_src_id").distinct(), "employee_src_id", "left_anti")
+    return out.select(*cols).unionByName(untouched.select(*cols))
 
 
 def versions_with_surrogates(spark, d):
@@ -162,11 +169,9 @@ def point_in_time_join_bucketed(spark, d):
     """Same join, evaluated with month buckets on both sides (the hot-key form)."""
     v = versions_with_surrogates(spark, d)
     probes = S.employee_events(spark, d).filter(F.col("event_type") == "PURCHASE")
-    lo, hi = probes.agg(F.min("ts"), F.max("ts")).first()
-    rng = (lo.year * 100 + lo.month, hi.year * 100 + hi.month) if lo else (190001, 190001)
     out = point_in_time_join(probes, v, fact_key="employee_src_id", fact_ts="ts", version_key="employee_src_id",
                              take=["event_type"], id_col="employee_surr_id", out_id="employee_surr_id",
-                             bucket_months=True, month_range=rng)
+                             bucket_months=True)
     return out.select("event_id", "employee_src_id", "ts",
                       F.coalesce("v_event_type", F.lit("N/A")).alias("version_event_type"), "employee_surr_id")
 
@@ -191,10 +196,10 @@ def dim_dates_q(spark, d):
 
 
 def dim_times_q(spark, d):
-    """The minute-of-day dimension rows of every minute at which an event happened."""
-    ev = Tables(spark, d).events.select(
-        (F.hour("ts") * 60 + F.minute("ts")).cast("smallint").alias("time_id")).distinct()
-    return dim_times(spark).join(ev, "time_id", "left_semi")
+    """All 1,440 rows of the minute-of-day dimension, with the events that happened in each minute."""
+    ev = Tables(spark, d).events.groupBy(
+        (F.hour("ts") * 60 + F.minute("ts")).cast("smallint").alias("time_id")).agg(F.count(F.lit(1)).alias("n_events"))
+    return dim_times(spark).join(ev, "time_id", "left").withColumn("n_events", F.coalesce("n_events", F.lit(0)))
 
 
 # ---- fact --------------------------------------------------------------------------------------
@@ -208,6 +213,26 @@ def fact_merge(spark, d):
     return S.Star(spark, d).fact_merged().table
 
 
+def touched_months(spark, d):
+    """A2: the months that the merge of the second batch has to rewrite."""
+    return S.Star(spark, d).fact_merged().touched_months()
+
+
+def insert_absent_q(spark, d):
+    """U4: customers known from the first orders, then all customers offered again."""
+    t = Tables(spark, d)
+    offered = t.customer.select(F.col("c_custkey").cast("string").alias("customer_src_id"), na("c_name").alias("customer_name"))
+    first = t.orders.filter(F.col("o_orderdate") < S.ts_lit(S.BATCH1_CUTOFF)).select(
+        F.col("o_custkey").cast("string").alias("customer_src_id")).distinct()
+    known = first.join(offered, "customer_src_id").select("customer_src_id", F.lit("KNOWN").alias("customer_name"))
+    return insert_absent(known, offered, "customer_src_id").tagged.withColumnRenamed(ACTION, "action")
+
+
+def map_latest(spark, d):
+    """Per mapped id the row of the latest load (ties: source system, then hash)."""
+    return latest_by(S.product_map(spark, d), ["product_id"], map_recency()).select(*S.MAP_COLS)
+
+
 def rolling_window(spark, d):
     return partitions.month_states(S.Star(spark, d).fact_merged().table)
 
@@ -219,16 +244,17 @@ def audit_counts(spark, d):
     feed = S.sales_feed(spark, d).filter(F.col("transaction_id").isNotNull() & F.col("event_dt").isNotNull())
     r1, r2 = S.staged(spark, d)
 
-    def row(name, processed: DataFrame, inserted: DataFrame, updated_expr=None):
-        p = processed.agg(F.count(F.lit(1)).alias("rows_processed"), F.lit(1).alias("_one"))
-        i = inserted.agg(F.count(F.lit(1)).alias("rows_inserted"), F.lit(1).alias("_one"))
-        return p.join(i, "_one").select(F.lit(name).alias("procedure_name"), "rows_processed", "rows_inserted",
-                                        F.lit(0).cast("long").alias("rows_updated"))
-    s1 = row("SP_SA_LOAD_SRC_RETAIL_SALES#1", S.batch1(feed), r1.new_rows)
-    s2 = row("SP_SA_LOAD_SRC_RETAIL_SALES#2", feed, r2.new_rows)
+    def tagged(name, rows: DataFrame, kind: str):
+        return rows.select(F.lit(name).alias("procedure_name"), F.lit(kind).alias("_kind"))
+    one, two = "SP_SA_LOAD_SRC_RETAIL_SALES#1", "SP_SA_LOAD_SRC_RETAIL_SALES#2"
+    rows = tagged(one, S.batch1(feed), "p").unionByName(tagged(one, r1.new_rows, "i")).unionByName(
+        tagged(two, feed, "p")).unionByName(tagged(two, r2.new_rows, "i"))
+    staged = rows.groupBy("procedure_name").agg(F.count_if(F.col("_kind") == "p").alias("rows_processed"),
+                                                F.count_if(F.col("_kind") == "i").alias("rows_inserted"),
+                                                F.lit(0).cast("long").alias("rows_updated"))
     cu = S.customer_upsert(spark, d).counts().select(F.lit("SP_3NF_LOAD_CE_CUSTOMERS").alias("procedure_name"),
                                                      "rows_processed", "rows_inserted", "rows_updated")
-    return s1.unionByName(s2).unionByName(cu)
+    return staged.unionByName(cu)
 
 
 def dq_unique(spark, d):
@@ -298,6 +324,59 @@ def prep_interval_assign(spark, d):
     return out.select("transaction_id", "ts", "city", "employee_id")
 
 
+def prep_locations(spark, d):
+    """Each customer gets a nation of its region, a city of that nation and an address of that city;
+    the suppliers make up the location table."""
+    t = Tables(spark, d)
+    nr = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    locs = t.supplier.join(nr, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("r_name").alias("region"), F.col("n_name").alias("country"),
+        F.concat_ws(" ", "n_name", (F.col("s_suppkey") % 5).cast("string")).alias("city"), F.col("s_name").alias("address"))
+    cust = t.customer.join(nr, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("r_name").alias("_region"))
+    out = prepare.assign_locations(cust, locs, row_key="c_custkey", region="_region", index_fn=md5_index)
+    return out.select("c_custkey", F.col("_region").alias("region"), "country", "city", "address")
+
+
+def prep_cards(spark, d):
+    """Card type and verification of orders paid by card (the priority plays the method)."""
+    method = F.when(F.col("o_orderpriority").startswith("1"), "Credit Card").when(
+        F.col("o_orderpriority").startswith("2"), "Debit Card").otherwise("Cash")
+    o = Tables(spark, d).orders.select("o_orderkey", method.alias("payment_method"))
+    return prepare.card_details(o, row_key="o_orderkey", index_fn=md5_index)
+
+
+def prep_devices(spark, d):
+    """E5: device and browser of each order line."""
+    li = Tables(spark, d).lineitem.select(ckey("l_orderkey", "l_linenumber").alias("transaction_id"))
+    return prepare.devices(li, row_key="transaction_id", index_fn=md5_index)
+
+
+def prep_names(spark, d):
+    """Product names by category template (books, clothing, everything else)."""
+    category = F.element_at(F.array(F.lit("Books"), F.lit("Clothing"), F.lit("Electronics")), (F.col("p_partkey") % 3 + 1).cast("int"))
+    p = Tables(spark, d).part.select("p_partkey", category.alias("product_category"), "p_brand", "p_type")
+    out = prepare.product_names(p, key="p_partkey", category="product_category", subcategory="p_brand", manufacturer="p_type",
+                                index_fn=md5_index)
+    return out.select("p_partkey", "product_category", F.lower("product_name").alias("product_name"))
+
+
+def prep_emails(spark, d):
+    """An e-mail address for each customer."""
+    c = Tables(spark, d).customer.select("c_custkey", "c_mktsegment", "c_name")
+    return prepare.emails(c, key="c_custkey", first="c_mktsegment", last="c_name", out="email", index_fn=md5_index).select("c_custkey", "email")
+
+
+def prep_periods(spark, d):
+    """The period grid over the range of the orders, with the orders dated in each period."""
+    o = Tables(spark, d).orders.select(F.to_date("o_orderdate").cast("timestamp_ntz").alias("ts"))
+    lo, hi = o.agg(F.min("ts"), F.max("ts")).first()
+    bounds = prepare.period_bounds(lo, hi) if lo else [_dt.datetime(1900, 1, 1)] * 2
+    rows = [(i, a, b) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]  # one per quarter
+    grid = spark.createDataFrame(rows, "period_no int, period_start timestamp_ntz, period_end timestamp_ntz")
+    seen = o.groupBy(prepare.period_index("ts", bounds).alias("period_no")).agg(F.count(F.lit(1)).alias("n_orders"))
+    return grid.join(seen, "period_no", "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0).cast("long")))
+
+
 def prep_split(spark, d):
     f = S.sales_feed(spark, d).withColumn("_row_key", ckey("transaction_id", "hash_value"))
     online, offline = prepare.split_half(f, row_key="_row_key")
@@ -310,9 +389,9 @@ def prep_split(spark, d):
 
 def mart_employee_location(spark, d):
     star = S.Star(spark, d)
-    fact = star.fact_rows(star.feed)
+    fact = star.fact_rows(star.feed, keys=("employee",))
     return marts.employee_performance(fact, star.dim_employees, star.dim_locations,
-                                      dim_dates(spark, S.CALENDAR_START, S.CALENDAR_END))
+                                      dim_dates(spark, *S.calendar_bounds_from(star.t.lineitem, "l_shipdate")))
 
 
 def mart_rollup_geo(spark, d):
@@ -385,7 +464,16 @@ QUERIES: dict[str, Query] = {
     "prep_conform_first": prep_conform_first,
     "prep_pick_by_hash": prep_pick_by_hash,
     "prep_interval_assign": prep_interval_assign,
+    "prep_locations": prep_locations,
+    "prep_cards": prep_cards,
+    "prep_devices": prep_devices,
+    "prep_names": prep_names,
+    "prep_emails": prep_emails,
+    "prep_periods": prep_periods,
     "prep_split": prep_split,
+    "touched_months": touched_months,
+    "insert_absent": insert_absent_q,
+    "map_latest": map_latest,
     "mart_employee_location": mart_employee_location,
     "mart_rollup_geo": mart_rollup_geo,
     "mart_cube_product": mart_cube_product,

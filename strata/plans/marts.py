@@ -34,7 +34,8 @@ def sales_by_category_month(fact: DataFrame, products: DataFrame, dates: DataFra
          .join(prod, F.col("_fp") == F.col("_pk"), "left")
          .withColumn("product_category", F.coalesce("product_category", F.lit(NA))))
     cal = F.broadcast(dates.select("date_id", "year_value", "month_value"))
-    return (f.join(cal, F.col("_d") == F.col("date_id"))
+    # left: a sale without a calendar day is counted under NULL year and month, not lost
+    return (f.join(cal, F.col("_d") == F.col("date_id"), "left")
             .groupBy("year_value", "month_value", "product_category")
             .agg(F.sum("_q").cast(MONEY).alias("sum_quantity"),
                  F.sum("_a").cast(MONEY).alias("sum_amount"),
@@ -66,7 +67,7 @@ def sales_by_time_of_day(fact: DataFrame, times: DataFrame, dates: DataFrame, *,
                     _c(amount).alias("_a"))
     tm = F.broadcast(times.select("time_id", "time_of_day", "working_hours_flag"))
     cal = F.broadcast(dates.select("date_id", "weekend_flag"))
-    return (f.join(tm, F.col("_t") == F.col("time_id")).join(cal, F.col("_d") == F.col("date_id"))
+    return (f.join(tm, F.col("_t") == F.col("time_id"), "left").join(cal, F.col("_d") == F.col("date_id"), "left")
             .groupBy("time_of_day", "working_hours_flag", "weekend_flag")
             .agg(F.count(F.lit(1)).alias("n_sales"), F.sum("_a").cast(MONEY).alias("sum_amount")))
 
@@ -80,7 +81,7 @@ def employee_performance(fact: DataFrame, employees: DataFrame, locations: DataF
     cal = F.broadcast(dates.select("date_id", "year_value", "month_value"))
     f = (fact.join(emp, "employee_surr_id", "left")
          .join(loc, "location_surr_id", "left")
-         .join(cal, "date_id"))
+         .join(cal, "date_id", "left"))
     return (f.groupBy(*group_cols)
             .agg(F.countDistinct("employee_surr_id").alias("n_employee_versions"),
                  F.count(F.lit(1)).alias("n_sales"),

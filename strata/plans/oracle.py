@@ -7,6 +7,8 @@ Ids assigned by ``assign_keys`` are ``row_number() OVER (ORDER BY <natural key>)
 
 from __future__ import annotations
 
+from strata.operators import prepare
+
 CUTOFF = "TIMESTAMP '1998-01-01 00:00:00'"
 B1 = "TIMESTAMP '2024-01-01 00:00:00'"
 B2 = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -53,10 +55,6 @@ def calendar_from(series: str) -> str:
   FROM {series}"""
 
 
-def calendar(lo: str, hi: str) -> str:
-    return calendar_from(f"generate_series({lo}, {hi}, INTERVAL 1 DAY) AS g(d)")
-
-
 TIMES = """
   SELECT CAST(i AS SMALLINT) AS time_id, CAST(i % 60 AS SMALLINT) AS minute_value,
          CAST(i // 60 AS SMALLINT) AS hour_value,
@@ -355,14 +353,15 @@ ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["mart_category_month"] = f"""
 WITH li AS ({LATEST_LINEITEM}),
-     cal AS ({calendar("DATE '1995-01-01'", "DATE '2001-12-31'")})
+     b AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders),
+     cal AS ({calendar_from("(SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM b)")})
 SELECT cal.year_value, cal.month_value, COALESCE(p.p_type, 'N/A') AS product_category,
        CAST(SUM(CAST(li.l_quantity AS DECIMAL(10,2))) AS DECIMAL(18,2)) AS sum_quantity,
        CAST(SUM(CAST(li.l_extendedprice AS DECIMAL(12,2))) AS DECIMAL(18,2)) AS sum_amount,
        COUNT(*) AS n_lines
 FROM li LEFT JOIN orders o ON li.l_orderkey = o.o_orderkey
         LEFT JOIN part p ON li.l_partkey = p.p_partkey
-        JOIN cal ON CAST(o.o_orderdate AS DATE) = cal.date_id
+        LEFT JOIN cal ON CAST(o.o_orderdate AS DATE) = cal.date_id
 GROUP BY 1, 2, 3
 """
 
@@ -562,12 +561,13 @@ SELECT transaction_id, hash_value, CASE WHEN rn <= n // 2 THEN 'ONLINE' ELSE 'OF
 
 ORACLE_SQL["mart_employee_location"] = f"""
 WITH feed AS ({FEED}), {STAR}, {fact('ft', 'feed')},
-     cal AS ({calendar("DATE '1995-01-01'", "DATE '2001-12-31'")})
+     b AS (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem),
+     cal AS ({calendar_from("(SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM b)")})
 SELECT l.country_name, cal.year_value, count(DISTINCT ft.employee_surr_id) AS n_employee_versions,
        count(*) AS n_sales, CAST(sum(ft.total_amount) AS DECIMAL(18,2)) AS sum_amount
 FROM ft LEFT JOIN demp e ON ft.employee_surr_id = e.employee_surr_id
         LEFT JOIN dloc l ON ft.location_surr_id = l.location_surr_id
-        JOIN cal ON ft.date_id = cal.date_id
+        LEFT JOIN cal ON ft.date_id = cal.date_id
 GROUP BY 1, 2
 """
 
@@ -599,8 +599,8 @@ SELECT * FROM v WHERE start_dt <= TIMESTAMP '2024-01-15 12:00:00' AND TIMESTAMP
 
 ORACLE_SQL["dim_times"] = f"""
 WITH tm AS ({TIMES})
-SELECT * FROM tm
-WHERE time_id IN (SELECT DISTINCT CAST(hour(ts) * 60 + minute(ts) AS SMALLINT) FROM events)
+SELECT tm.*, (SELECT count(*) FROM events e WHERE CAST(hour(e.ts) * 60 + minute(e.ts) AS SMALLINT) = tm.time_id) AS n_events
+FROM tm
 """
 
 _NN_COLS = ["sale_src_id", "event_dt", "customer_id", "product_id", "employee_id", "quantity", "price", "discount",
@@ -629,3 +629,92 @@ SELECT p_type AS product_category, p_brand AS product_brand, o_orderstatus AS or
 FROM li JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
 GROUP BY CUBE (p_type, p_brand, o_orderstatus)
 """
+
+
+# ---- preparation operators on the driver tables -----------------------------------------------
+
+def PICK(choices, key: str, seed: int = 42) -> str:
+    items = ", ".join("'" + c.replace("'", "''") + "'" for c in choices)
+    return f"[{items}][{MD5IDX(str(len(choices)), key, seed)} + 1]"
+
+
+def _level(name: str, parent: str, child: str) -> str:
+    return (f"{name} AS (SELECT {parent} AS p, list_sort(list(DISTINCT {child})) AS l FROM locs GROUP BY 1)")
+
+
+def _at(l: str, seed: int) -> str:
+    return f"{l}.l[{MD5IDX(f'len({l}.l)', 'c_custkey', seed)} + 1]"
+
+
+ORACLE_SQL["prep_locations"] = f"""
+WITH nr AS (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey),
+     locs AS (SELECT r_name AS region, n_name AS country, concat_ws(' ', n_name, CAST(s_suppkey % 5 AS VARCHAR)) AS city,
+                     s_name AS address FROM supplier JOIN nr ON s_nationkey = n_nationkey),
+     {_level('l1', 'region', 'country')}, {_level('l2', 'country', 'city')}, {_level('l3', 'city', 'address')},
+     a AS (SELECT c_custkey, r_name AS region, {_at('l1', 42)} AS country
+           FROM customer JOIN nr ON c_nationkey = n_nationkey LEFT JOIN l1 ON r_name = l1.p),
+     b AS (SELECT a.*, {_at('l2', 43)} AS city FROM a LEFT JOIN l2 ON a.country = l2.p)
+SELECT b.*, {_at('l3', 44)} AS address FROM b LEFT JOIN l3 ON b.city = l3.p
+"""
+
+ORACLE_SQL["prep_cards"] = f"""
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1%' THEN 'Credit Card' WHEN o_orderpriority LIKE '2%' THEN 'Debit Card'
+                                   ELSE 'Cash' END AS payment_method FROM orders)
+SELECT o.*, CASE payment_method WHEN 'Credit Card' THEN {PICK(prepare.CARD_TYPES['Credit Card'], 'o_orderkey')}
+                                WHEN 'Debit Card' THEN {PICK(prepare.CARD_TYPES['Debit Card'], 'o_orderkey')} END AS card_type,
+       CASE payment_method WHEN 'Credit Card' THEN {PICK(prepare.VERIFICATION_METHODS['Credit Card'], 'o_orderkey', 43)}
+                           WHEN 'Debit Card' THEN {PICK(prepare.VERIFICATION_METHODS['Debit Card'], 'o_orderkey', 43)} END AS verification_method
+FROM o
+"""
+
+ORACLE_SQL["prep_devices"] = f"""
+WITH li AS (SELECT concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS transaction_id FROM lineitem)
+SELECT transaction_id, {PICK(prepare.DEVICE_TYPES, 'transaction_id')} AS device_type,
+       {PICK(prepare.BROWSERS, 'transaction_id', 43)} AS browser_used FROM li
+"""
+
+ORACLE_SQL["prep_names"] = f"""
+WITH p AS (SELECT p_partkey, ['Books', 'Clothing', 'Electronics'][p_partkey % 3 + 1] AS product_category, p_brand, p_type FROM part)
+SELECT p_partkey, product_category, lower(CASE product_category
+    WHEN 'Books' THEN concat_ws(' ', 'The', {PICK(prepare.WORDS, 'p_partkey')}, {PICK(prepare.WORDS, 'p_partkey', 43)})
+    WHEN 'Clothing' THEN concat_ws(' ', {PICK(prepare.COLOURS, 'p_partkey', 44)}, p_brand, {PICK(prepare.WORDS, 'p_partkey')})
+    ELSE concat_ws(' ', p_type, p_brand, {PICK(prepare.WORDS, 'p_partkey')}) END) AS product_name
+FROM p
+"""
+
+ORACLE_SQL["prep_emails"] = f"""
+SELECT c_custkey, lower(c_mktsegment) || '.' || lower(c_name) || CAST(c_custkey AS VARCHAR) || '@'
+       || {PICK(prepare.EMAIL_DOMAINS, 'c_custkey')} AS email FROM customer
+"""
+
+ORACLE_SQL["prep_periods"] = f"""
+WITH o AS (SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS ts FROM orders),
+     b AS (SELECT min(ts) AS lo, max(ts) AS hi FROM o),
+     ends AS (SELECT i, CAST(last_day(CAST(lo AS DATE) + to_months(CAST(3 * i AS INTEGER))) AS TIMESTAMP) AS e, hi
+              FROM b, range(1, 400) AS r(i)),
+     marks AS (SELECT lo AS t FROM b UNION ALL SELECT hi FROM b UNION ALL
+               SELECT e + to_days(CAST({MD5IDX('57', 'i')} - 28 AS INTEGER)) FROM ends WHERE e <= hi),
+     grid AS (SELECT CAST(row_number() OVER (ORDER BY t) - 1 AS INTEGER) AS period_no, t AS period_start,
+                     lead(t) OVER (ORDER BY t) AS period_end FROM marks),
+     per AS (SELECT o.ts, greatest((SELECT count(*) FROM marks WHERE t < o.ts) - 1, 0) AS period_no FROM (SELECT DISTINCT ts FROM o) o),
+     n AS (SELECT period_no, count(*) AS n_orders FROM o JOIN per USING (ts) GROUP BY 1)
+SELECT grid.*, coalesce(n_orders, 0) AS n_orders FROM grid LEFT JOIN n USING (period_no) WHERE period_end IS NOT NULL
+"""
+
+ORACLE_SQL["touched_months"] = f"""
+WITH feed AS ({FEED}), {MERGED} SELECT DISTINCT month_id FROM merged WHERE update_dt = TIMESTAMP '2024-02-01 00:00:00'
+"""
+
+ORACLE_SQL["insert_absent"] = f"""
+WITH known AS (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS customer_src_id FROM orders WHERE o_orderdate < {CUTOFF}),
+     offered AS (SELECT CAST(c_custkey AS VARCHAR) AS customer_src_id, {NA('c_name')} AS customer_name FROM customer)
+SELECT customer_src_id, CASE WHEN k.customer_src_id IS NULL THEN o.customer_name ELSE 'KNOWN' END AS customer_name,
+       CASE WHEN k.customer_src_id IS NULL THEN 'insert' ELSE 'keep' END AS action
+FROM offered o LEFT JOIN known k USING (customer_src_id)
+"""
+
+ORACLE_SQL["map_latest"] = f"""
+WITH feed AS ({FEED}), {PRODUCT_MAP}
+SELECT * EXCLUDE (rk) FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY load_dt DESC, source_system, hash_value) AS rk FROM pmap) WHERE rk = 1
+"""

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from strata.functions.pick import pick
 from strata.operators import prepare as P
-from strata.sources.tables import OFFLINE_COLUMNS, ONLINE_COLUMNS, write_csv
+from strata.sources.tables import OFFLINE_COLUMNS, ONLINE_COLUMNS, read_sales_csv, text_schema, write_csv
 
-# Column order of the enriched data set before the split.
+# Column order of the enriched data set before the split, and its renames.
 ENRICHED = [
     "transaction_id", "timestamp", "customer_id", "customer_first_name", "customer_last_name", "customer_email",
     "customer_age", "customer_gender", "product_id", "product_name", "price", "product_manufacturer",
@@ -30,9 +30,19 @@ RENAMES = {"customer_location": "purchase_region", "customer_country": "purchase
            "customer_city": "purchase_city", "customer_address": "purchase_address"}
 
 
+def read_raw(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The raw sales files with ``_row``: file path, then block, then position. Splits are scheduled by
+    size, so the position alone is no file order."""
+    df = read_sales_csv(spark, path, text_schema(columns))
+    return df.withColumn("_row", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                                          F.monotonically_increasing_id().alias("n")))
+
+
 def prepare_sales(spark: SparkSession, raw: DataFrame, seed: int = P.SEED) -> tuple[DataFrame, DataFrame]:
     """Returns (online, offline) with the 22 columns of each channel's file."""
-    df = raw.withColumn("_row", F.monotonically_increasing_id())          # file order for "first"
+    df = raw
+    if "_row" not in df.columns:  # the order of rows for "first"; read_raw gives the order of the files
+        df = df.withColumn("_row", F.struct(F.monotonically_increasing_id().alias("n")))
     # One age and gender per customer, one category per product (first seen)
     df = P.conform_first(df, "customer_id", ["customer_age", "customer_gender"], "_row")
     df = P.conform_first(df, "product_id", ["product_category"], "_row")
@@ -58,9 +68,7 @@ def prepare_sales(spark: SparkSession, raw: DataFrame, seed: int = P.SEED) -> tu
     roster = P.employee_roster(spark, locs, bounds, seed=seed)
     sales = (df.withColumn("_ts", ts).withColumnRenamed("customer_country", "country")
                .withColumnRenamed("customer_city", "city").withColumnRenamed("customer_address", "address"))
-    # roster size is fixed: 2,000 employee ids x the quarterly periods of the data's time range
-    sales = P.assign_employees(sales, roster, bounds, row_key="transaction_id", ts="_ts", seed=seed,
-                               roster_bounded=True)
+    sales = P.assign_employees(sales, roster, bounds, row_key="transaction_id", ts="_ts", seed=seed)
     df = (sales.withColumnRenamed("country", "customer_country").withColumnRenamed("city", "customer_city")
                .withColumnRenamed("address", "customer_address").drop("_ts"))
     names = roster.select("employee_id", "employee_first_name", "employee_last_name").distinct()

@@ -26,7 +26,7 @@ from strata.functions.text import ckey, fingerprint
 from strata.operators.calendar import dim_dates
 from strata.operators.latest import latest_by
 from strata.plans.marts import sales_by_category_month
-from strata.session import cut_lineage
+from strata.session import stage
 from strata.sources.tables import Tables
 from strata.functions.dates import high_ts, low_ts, time_id
 from strata.functions.text import na, std
@@ -41,7 +41,6 @@ from strata.operators.upsert import merge_fact, upsert
 BATCH1_CUTOFF = "1998-01-01 00:00:00"
 BATCH1_TS = "2024-01-01 00:00:00"
 BATCH2_TS = "2024-02-01 00:00:00"
-CALENDAR_START, CALENDAR_END = "1995-01-01", "2001-12-31"
 
 
 def ts_lit(s: str):
@@ -62,7 +61,7 @@ def category_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = latest_lineitem(t.lineitem)
     fact = li.join(t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
     return sales_by_category_month(
-        fact, t.part, dim_dates(spark, CALENDAR_START, CALENDAR_END),
+        fact, t.part, dim_dates(spark, *calendar_bounds_from(t.orders, "o_orderdate")),
         fact_date=F.to_date("o_orderdate"), fact_product="l_partkey", product_key="p_partkey",
         category="p_type", quantity=F.col("l_quantity").cast("decimal(10,2)"),
         amount=F.col("l_extendedprice").cast("decimal(12,2)"))
@@ -137,20 +136,18 @@ def staged(spark: SparkSession, sf_dir: str):
 
 def channel_sales(feed: DataFrame) -> DataFrame:
     """CE_SALES source: per channel the latest record of each transaction, standardised and
-    padded to the common layout, then UNION ALL of the two channels."""
-    def one(src: str, online: bool) -> DataFrame:
-        ch = feed.filter(F.col("source_system") == src)
-        ch = latest_by(ch, [std("transaction_id")], by_recency())
-        return ch.select(
-            std("transaction_id").alias("sale_src_id"), "event_dt",
-            (na("customer_id") if online else F.lit("N/A")).alias("customer_id"),
-            na("product_id").alias("product_id"),
-            (F.lit("N/A") if online else na("employee_id")).alias("employee_id"),
-            na("payment_method").alias("payment_method"), na("card_type").alias("card_type"),
-            na("verification_method").alias("verification_method"),
-            "quantity", "price", "discount", "total_amount",
-            F.lit(src).alias("source_system"), F.lit(SRC_ENTITY).alias("source_entity"))
-    return one("SA_ONLINE", True).unionByName(one("SA_OFFLINE", False))
+    padded to the common layout. Both channels are one pass: the channel is part of the key."""
+    ch = latest_by(feed, ["source_system", std("transaction_id")], by_recency())
+    online = F.col("source_system") == "SA_ONLINE"
+    none = F.lit("N/A")
+    return ch.select(
+        std("transaction_id").alias("sale_src_id"), "event_dt",
+        F.when(online, na("customer_id")).otherwise(none).alias("customer_id"),
+        na("product_id").alias("product_id"),
+        F.when(online, none).otherwise(na("employee_id")).alias("employee_id"),
+        na("payment_method").alias("payment_method"), na("card_type").alias("card_type"),
+        na("verification_method").alias("verification_method"),
+        "quantity", "price", "discount", "total_amount", "source_system", F.lit(SRC_ENTITY).alias("source_entity"))
 
 
 def product_records(feed: DataFrame, part: DataFrame) -> DataFrame:
@@ -177,7 +174,7 @@ def product_map(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "load_dt timestamp_ntz")
     m1 = map_or_mint(rec1, empty, "product_src_id", "product_id", attrs, BATCH1_TS, offset=0)
     # the map as written by the first load (materialised, like the append in the pipeline)
-    m2 = map_or_mint(product_records(feed, t.part), cut_lineage(m1.table), "product_src_id", "product_id", attrs,
+    m2 = map_or_mint(product_records(feed, t.part), stage(m1.table, "t_map_products"), "product_src_id", "product_id", attrs,
                      BATCH2_TS)
     return m2.table.select(*MAP_COLS)
 
@@ -228,20 +225,18 @@ def _ids(df: DataFrame, key: str, id_col: str) -> DataFrame:
 
 
 class Star:
-    """The stand-in warehouse layers. Each layer is built once per run and materialised to the
-    reliable checkpoint folder — the analogue of the source writing each layer to a table — so
-    later layers read a short plan instead of re-deriving every parent."""
+    """The stand-in warehouse layers. Each layer is built once per run and written to the shared
+    folder — the analogue of the source writing each layer to a table — so later layers read a
+    short plan instead of re-deriving every parent."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self.t = spark, sf_dir, Tables(spark, sf_dir)
         self._kept: dict[str, DataFrame] = {}
 
-    def keep(self, name: str, build, materialise: bool = False) -> DataFrame:
-        """Build a layer once per run. Dimension layers are short plans over the checkpointed
-        key assignment; the two fact layers are materialised to the checkpoint folder."""
+    def keep(self, name: str, build) -> DataFrame:
+        """Build a layer once per run and write it (the source writes each layer to a table)."""
         if name not in self._kept:
-            df = build()
-            self._kept[name] = cut_lineage(df) if materialise else df
+            self._kept[name] = stage(build(), name)
         return self._kept[name]
 
     @property
@@ -343,9 +338,9 @@ class Star:
 
     # payment details: priority | returnflag | linestatus
     def _payment_records(self) -> DataFrame:
-        return self.feed.select(na("payment_method").alias("payment_method_name"),
+        return self.keep("payment_records", lambda: self.feed.select(na("payment_method").alias("payment_method_name"),
                                 na("card_type").alias("card_type_name"),
-                                na("verification_method").alias("verification_method")).distinct()
+                                na("verification_method").alias("verification_method")).distinct())
 
     @property
     def ce_payment_methods(self) -> DataFrame:
@@ -417,30 +412,50 @@ class Star:
             return assign_keys(emp, ["employee_src_id", "start_dt"], "employee_surr_id")
         return self.keep("dim_employees", build)
 
-    def fact_rows(self, feed: DataFrame) -> DataFrame:
-        """FN_DM_TRANSFORM_SALES on the stand-ins: date/time split, cost, six dimension keys."""
+    def fact_rows(self, feed: DataFrame, keys: tuple[str, ...] = ("product", "customer", "payment", "employee")) -> DataFrame:
+        """FN_DM_TRANSFORM_SALES on the stand-ins: date/time split, cost, six dimension keys (or only
+        those of ``keys``, the others being unknown, for a query that needs no more)."""
         sales = channel_sales(feed)
+        if "product" in keys:
+            sales = self._product_key(sales)
+        if "customer" in keys:
+            sales = self._customer_key(sales)
+        if "payment" in keys:
+            sales = self._payment_key(sales)
+        if "employee" in keys:
+            sales = self._employee_key(sales)
+        for c in ("customer_surr_id", "product_surr_id", "employee_surr_id", "location_surr_id", "payment_detail_surr_id"):
+            if c not in sales.columns:
+                sales = sales.withColumn(c, F.lit(-1).cast("long"))
+        return sales.select(
+            F.col("sale_src_id"), F.to_date("event_dt").alias("date_id"), time_id("event_dt").alias("time_id"),
+            "customer_surr_id", "product_surr_id", "employee_surr_id", "location_surr_id", "payment_detail_surr_id",
+            F.lit(-1).cast("long").alias("device_surr_id"), "quantity", "price",
+            (F.col("quantity") * F.col("price")).cast("decimal(10,2)").alias("cost"), "discount", "total_amount",
+            F.lit("BL_3NF").alias("source_system"), F.lit("CE_SALES").alias("source_entity"))
+
+    def _product_key(self, sales: DataFrame) -> DataFrame:
         sales = lookup(sales, self.ce_products, "product_id", "product_src_id", "product_id", "_ce_prod")
-        sales = lookup(sales, self.dim_products, F.col("_ce_prod").cast("string"), "product_src_id",
-                       "product_surr_id", "product_surr_id")
+        return lookup(sales, self.dim_products, F.col("_ce_prod").cast("string"), "product_src_id",
+                      "product_surr_id", "product_surr_id")
+
+    def _customer_key(self, sales: DataFrame) -> DataFrame:
         sales = lookup(sales, self.ce_customers, "customer_id", "customer_src_id", "customer_id", "_ce_cus")
-        sales = lookup(sales, self.dim_customers, F.col("_ce_cus").cast("string"), "customer_src_id",
-                       "customer_surr_id", "customer_surr_id")
+        return lookup(sales, self.dim_customers, F.col("_ce_cus").cast("string"), "customer_src_id",
+                      "customer_surr_id", "customer_surr_id")
+
+    def _payment_key(self, sales: DataFrame) -> DataFrame:
         sales = lookup(sales, self.ce_payment_details, ckey("payment_method", "card_type", "verification_method"),
                        "payment_detail_src_id", "payment_detail_id", "_ce_pay")
-        sales = lookup(sales, self.dim_payment_details, F.col("_ce_pay").cast("string"), "payment_detail_src_id",
-                       "payment_detail_surr_id", "payment_detail_surr_id")
+        return lookup(sales, self.dim_payment_details, F.col("_ce_pay").cast("string"), "payment_detail_src_id",
+                      "payment_detail_surr_id", "payment_detail_surr_id")
+
+    def _employee_key(self, sales: DataFrame) -> DataFrame:
         sales = point_in_time_join(sales, self.dim_employees, fact_key="employee_id", fact_ts="event_dt",
                                    version_key="employee_src_id", take=["location_id"],
                                    id_col="employee_surr_id", out_id="employee_surr_id")
-        sales = lookup(sales, self.dim_locations, "v_location_id", "location_surr_id", "location_surr_id",
-                       "location_surr_id")
-        return sales.select(
-            F.col("sale_src_id"), F.to_date("event_dt").alias("date_id"), time_id("event_dt").alias("time_id"),
-            "customer_surr_id", "product_surr_id", "employee_surr_id", "location_surr_id", "payment_detail_surr_id",
-            F.lit(-1).cast("long").alias("device_surr_id"), "quantity", "price",
-            (F.col("quantity") * F.col("price")).cast("decimal(10,2)").alias("cost"), "discount", "total_amount",
-            F.lit("BL_3NF").alias("source_system"), F.lit("CE_SALES").alias("source_entity"))
+        return lookup(sales, self.dim_locations, "v_location_id", "location_surr_id", "location_surr_id",
+                      "location_surr_id")
 
     def fact_merged(self):
         """Fact after batch 1, then the batch-2 fact rows merged into it."""
@@ -449,8 +464,8 @@ class Star:
             f = f.select("sale_surr_id", *[c for c in f.columns if c != "sale_surr_id"],
                          ts_lit(BATCH1_TS).alias("insert_dt"), ts_lit(BATCH1_TS).alias("update_dt"))
             return partitions.with_month(f)
-        target = self.keep("fct_batch1", first, materialise=True)
-        source = self.keep("fct_source2", lambda: partitions.with_month(self.fact_rows(self.feed)), materialise=True)
+        target = self.keep("fct_batch1", first)
+        source = self.keep("fct_source2", lambda: partitions.with_month(self.fact_rows(self.feed)))
         return merge_fact(target, source, "sale_src_id", FACT_COMPARE, BATCH2_TS, id_col="sale_surr_id")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,7 +45,8 @@ def get_spark(master: str | None = None, app: str = "strata",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local runs, tests) do we create a scratch folder.
+    Only a local session that names none (tests) gets a scratch folder; on a cluster that would be
+    each machine's own disk, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -64,16 +68,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (no job is run)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 — estimate unavailable (e.g. remote session)
-        return 1 << 62
-
-
-def partitions_for(df: DataFrame, target_bytes: int = 128 << 20) -> int:
-    """Partition count for ``df`` from its estimated size (about ``target_bytes`` each), capped
-    by the session's ``spark.sql.shuffle.partitions``."""
-    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(cap, -(-estimated_bytes(df) // target_bytes)))
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back: like :func:`cut_lineage`, but
+    columnar, and the planner knows the size of what it reads."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,28 +7,13 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from strata.session import estimated_bytes
-
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-SPREAD_MIN_BYTES = int(os.environ.get("STRATA_SPREAD_MIN_BYTES", 2 << 20))  # smaller inputs: no shuffle
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A scan split into fewer tasks than the session's default parallelism (e.g. one file with
-    a single row group) is spread round-robin over the cores; a large input, whose scan already
-    has many splits, is returned unchanged. Column pruning and filters still reach the scan."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < par:
-        return df.repartition(par)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table (``<sf_dir>/<name>.parquet``)."""
-    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 class Tables:
@@ -66,13 +51,19 @@ ONLINE_SCHEMA = text_schema(ONLINE_COLUMNS)
 OFFLINE_SCHEMA = text_schema(OFFLINE_COLUMNS)
 
 
+#: The dialect of the sales files, for reading (batch and stream) and writing: a header line, quotes
+#: doubled inside quoted fields, line breaks allowed in them; a row with a wrong number of fields is
+#: an error. Quoted line breaks make one file one task, so large inputs come as many files.
+CSV_READ = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "FAILFAST", "enforceSchema": True}
+CSV_WRITE = {"header": True, "quote": '"', "escape": '"'}
+
+
 def read_sales_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All-text CSV scan with a header (S1/S2). Empty fields are NULL (quirk Q23).
-    Splittable, so a large file is read by many tasks."""
-    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
-            .option("multiLine", False).schema(schema).csv(path))
+    """All-text CSV scan with a header (S1/S2). Empty fields are NULL (quirk Q23); a malformed row
+    fails the load."""
+    return spark.read.options(**CSV_READ).schema(schema).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV sink with header."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_WRITE).csv(path)

@@ -9,7 +9,7 @@ def test_assign_keys_dense_ordered_with_offset(spark):
     keys = [f"k{i:04d}" for i in range(500)]
     random.Random(1).shuffle(keys)
     df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(7)
-    out = {r.k: r.id for r in assign_keys(df, ["k"], "id", offset=100, num_partitions=5).collect()}
+    out = {r.k: r.id for r in assign_keys(df, ["k"], "id", offset=100).collect()}
     assert sorted(out.values()) == list(range(101, 601))
     assert [out[k] for k in sorted(out)] == list(range(101, 601))
 
@@ -53,3 +53,24 @@ def test_map_or_mint_reuses_ids_and_appends_new_hashes(spark):
     m2 = map_or_mint(b2, t1, "product_src_id", "product_id", ["name"], "2024-02-01 00:00:00")
     rows = m2.rows.collect()
     assert sorted((r.product_src_id, r.name, r.product_id) for r in rows) == [("P1", "LAMP2", 1), ("P3", "SOFA", 3)]
+
+
+def test_assign_keys_joins_other_columns_back(spark):
+    df = spark.createDataFrame([("b", 2), ("a", 1), (None, 3)], "k string, v int")
+    assert {r.k: (r.v, r.id) for r in assign_keys(df, ["k"], "id").collect()} == {None: (3, 1), "a": (1, 2), "b": (2, 3)}
+
+
+def test_lookup_spreads_the_unknown_key(spark):
+    """The unknown key joins on NULL with a salt, so its rows do not meet in one task."""
+    facts = spark.createDataFrame([(i, "N/A") for i in range(1000)] + [(-1, "a")], "i long, k string")
+    dim = spark.createDataFrame([("a", 10), ("N/A", -1)], "k string, id long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = lookup(facts, dim, "k", "k", "id", "x")
+        per_task = [r[0] for r in out.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        assert len(per_task) > 1 and max(per_task) < 500
+        assert out.filter("x = 10").count() == 1 and out.filter("x = -1").count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")

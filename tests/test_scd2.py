@@ -3,6 +3,7 @@ against the plain-Python fold."""
 
 import datetime as dt
 from collections.abc import Sequence
+import hashlib
 import random
 
 from strata.operators.scd2 import HIGH, ONE_MIN, _differs, _same, fold_key, scd2_merge, versions_from_events
@@ -175,6 +176,13 @@ def reference_fold(versions: list[dict], events: list[dict], attrs: Sequence[str
 
     for ev in events:
         t = ev[ts]
+        at = [v for v in vs if v["start_dt"] == t]
+        if at:  # (key, start) is unique: the greater of the two fingerprints stays
+            text = {x: hashlib.md5(str(x).encode()).hexdigest() for x in (at[0]["a"], ev["a"])}
+            if text[ev["a"]] > text[at[0]["a"]]:
+                at[0]["a"] = ev["a"]
+                touch(at[0])
+            continue
         cur = next((v for v in vs if v["start_dt"] <= t <= v["end_dt"]), None)
         later = [v for v in vs if v["start_dt"] > t]
         nxt = min(later, key=lambda v: v["start_dt"]) if later else None
