@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.pick import hash_index, pick
+from strata.session import stage
 
 SEED = 42
 
@@ -262,21 +263,22 @@ def split_half(df: DataFrame, *, row_key: str, seed: int = SEED):
     """Exact half split after a seeded shuffle — the first ``n // 2`` rows in the order of
     ``md5(seed|key)`` (then key) go online.
 
-    Rows are counted per hash prefix; only the prefix that holds the middle row is ordered, to find
-    the last online row, and both halves are filters on the hash: no row is shuffled or ranked.
-    ``row_key`` must be unique.
+    The rows are written once with their place; they are counted per hash prefix, only the prefix that
+    holds the middle row is ordered, to find the last online row, and both halves are filters on the
+    written rows: no row is shuffled or ranked. ``row_key`` must be unique.
     """
     key = F.col(row_key).cast("string")
     place = F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), key)).alias("h"), key.alias("k"))
-    prefix = F.substring(place["h"], 1, 4)
+    df = stage(df.withColumn("_place", place), "split")
+    prefix = F.substring("_place.h", 1, 4)
     counts = {r[0]: r[1] for r in df.groupBy(prefix).count().collect()}  # 16**4 rows at most
     left = sum(counts.values()) // 2
     if not left:
-        return df.filter(F.lit(False)), df
+        return df.filter(F.lit(False)).drop("_place"), df.drop("_place")
     for p in sorted(counts):
         if left <= counts[p]:
             break
         left -= counts[p]
-    last = df.filter(prefix == p).select(place.alias("p")).orderBy("p").limit(left).agg(F.max("p").alias("p")).first()["p"]
-    online = place <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k"))
-    return df.filter(online), df.filter(~online)
+    last = df.filter(prefix == p).select("_place").orderBy("_place").limit(left).agg(F.max("_place").alias("p")).first()["p"]
+    online = F.col("_place") <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k"))
+    return df.filter(online).drop("_place"), df.filter(~online).drop("_place")

@@ -257,6 +257,15 @@ def audit_counts(spark, d):
     return staged.unionByName(cu)
 
 
+def run_log(spark, d):
+    """The audit rows that ``RunLog`` writes for those steps, and for a step that fails."""
+    log = control.RunLog(spark, _dt.datetime.fromisoformat(S.BATCH2_TS))
+    for r in audit_counts(spark, d).collect():  # one row per step
+        log.ok(r["procedure_name"], r["rows_processed"], r["rows_inserted"], r["rows_updated"])
+    log.error("SP_3NF_LOAD_CE_SALES", "ce_sales", ValueError("first line\nsecond line"))
+    return log.frame()
+
+
 def dq_unique(spark, d):
     return quality.dq_unique(S.sales_feed(spark, d), ["transaction_id"])
 
@@ -456,6 +465,7 @@ QUERIES: dict[str, Query] = {
     "fact_merge": fact_merge,
     "rolling_window": rolling_window,
     "audit_counts": audit_counts,
+    "run_log": run_log,
     "dq_unique": dq_unique,
     "dq_fk": dq_fk,
     "dq_scd": dq_scd,

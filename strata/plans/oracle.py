@@ -718,3 +718,13 @@ WITH feed AS ({FEED}), {PRODUCT_MAP}
 SELECT * EXCLUDE (rk) FROM (
   SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY load_dt DESC, source_system, hash_value) AS rk FROM pmap) WHERE rk = 1
 """
+
+ORACLE_SQL["run_log"] = f"""
+SELECT TIMESTAMP '2024-02-01 00:00:00' AS execution_dt, procedure_name, 'BL_CL' AS procedure_schema,
+       'LOAD PERFORMED SUCCESSFULLY' AS log_message, rows_processed, rows_inserted, rows_updated,
+       'N/A' AS error_code, 'N/A' AS error_message
+FROM ({ORACLE_SQL["audit_counts"]})
+UNION ALL
+SELECT TIMESTAMP '2024-02-01 00:00:00', 'SP_3NF_LOAD_CE_SALES', 'BL_CL', 'ERROR LOADING CE_SALES', -1, -1, -1, 'XX000',
+       'FIRST LINE' || chr(10) || 'SECOND LINE'
+"""

@@ -225,18 +225,19 @@ def _ids(df: DataFrame, key: str, id_col: str) -> DataFrame:
 
 
 class Star:
-    """The stand-in warehouse layers. Each layer is built once per run and written to the shared
-    folder — the analogue of the source writing each layer to a table — so later layers read a
-    short plan instead of re-deriving every parent."""
+    """The stand-in warehouse layers. Each layer is built once per run; its ids, and the layers that
+    read the whole feed, are written to the shared folder — the analogue of the source writing each
+    layer to a table — so later layers read a short plan instead of re-deriving every parent."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self.t = spark, sf_dir, Tables(spark, sf_dir)
         self._kept: dict[str, DataFrame] = {}
 
-    def keep(self, name: str, build) -> DataFrame:
-        """Build a layer once per run and write it (the source writes each layer to a table)."""
+    def keep(self, name: str, build, write: bool = False) -> DataFrame:
+        """Build a layer once per run. Dimension layers are short plans over written keys; what reads
+        the whole feed is written."""
         if name not in self._kept:
-            self._kept[name] = stage(build(), name)
+            self._kept[name] = stage(build(), name) if write else build()
         return self._kept[name]
 
     @property
@@ -340,7 +341,7 @@ class Star:
     def _payment_records(self) -> DataFrame:
         return self.keep("payment_records", lambda: self.feed.select(na("payment_method").alias("payment_method_name"),
                                 na("card_type").alias("card_type_name"),
-                                na("verification_method").alias("verification_method")).distinct())
+                                na("verification_method").alias("verification_method")).distinct(), write=True)
 
     @property
     def ce_payment_methods(self) -> DataFrame:
@@ -464,8 +465,8 @@ class Star:
             f = f.select("sale_surr_id", *[c for c in f.columns if c != "sale_surr_id"],
                          ts_lit(BATCH1_TS).alias("insert_dt"), ts_lit(BATCH1_TS).alias("update_dt"))
             return partitions.with_month(f)
-        target = self.keep("fct_batch1", first)
-        source = self.keep("fct_source2", lambda: partitions.with_month(self.fact_rows(self.feed)))
+        target = self.keep("fct_batch1", first, write=True)
+        source = self.keep("fct_source2", lambda: partitions.with_month(self.fact_rows(self.feed)), write=True)
         return merge_fact(target, source, "sale_src_id", FACT_COMPARE, BATCH2_TS, id_col="sale_surr_id")
 
 
