@@ -36,7 +36,7 @@ from strata.llm.common import map_arrow, stage
 NEIGHBOURS = 5
 CENTROIDS = 32
 SAMPLE = 20_000
-SHARE = 0.45
+SHARE = 0.55
 LEAST_CANDIDATES = 2_000
 BLOCK = 4_096
 SEED = 11
