@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, classifier, langid, mixing, packing, quality_rules, simhash, substring, suffix, token_files
+from strata.llm import (ann, classifier, html_text, langid, lexical, mixing, negatives, packing, quality_rules, simhash, substring,
+                        suffix, token_files)
 from strata.llm.common import shared_path, table
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", F.col("_h_text").alias("text"), F.col("_h_chars").alias("n_chars"))
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_array": op2_suffix_array,
@@ -70,4 +86,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_language": op9_language,
     "op10_quality_rules": op10_quality_rules,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_html_text": op12_html_text,
+    "op13_lexical": op13_lexical,
 }
