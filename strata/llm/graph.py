@@ -12,7 +12,7 @@ MAX_ROUNDS = 60
 
 def components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b: long) -> one row (node, label) per node that has an edge, label being the
-    smallest node of its component.
+    smallest node of its component. An edge from a node to itself, or with a null end, is no edge.
 
     Alternating star contraction: in each round every node hangs its larger neighbours, then its
     smaller ones, onto the smallest node it knows, until the edges are stars around the component

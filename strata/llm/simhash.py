@@ -32,6 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import map_arrow, stage
 from strata.llm.graph import components
@@ -64,17 +65,20 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``; ``fp`` is the fingerprint as a signed long."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-
+def _fingerprinted(rows: DataFrame, shingle: int) -> DataFrame:
+    """The columns of ``rows``, but the last one (a text as bytes) replaced by its fingerprint ``fp``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_buffer().to_pybytes() if t.is_valid else None, shingle)
-                               for t in batch.column(1)), dtype=np.uint64, count=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+                               for t in batch.columns[-1]), dtype=np.uint64, count=batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps.view(np.int64))], names=[*batch.schema.names[:-1], "fp"])
+
+    return map_arrow(rows, run, T.StructType([*rows.schema.fields[:-1], T.StructField("fp", T.LongType())]))
 
-    return map_arrow(rows, run, "doc_id long, fp long")
+
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp): one row per row of ``docs``; ``fp`` is the fingerprint as a signed long."""
+    return _fingerprinted(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text")), shingle)
 
 
 def _segment(fp: Column, k: int) -> Column:
@@ -139,30 +143,34 @@ def _ball_links(fps: DataFrame) -> DataFrame:
         F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
 
 
-def _groups(docs: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, fp) per row, (fp, component_id) per distinct fingerprint), both written."""
-    rows = stage(fingerprints(docs, key, text, shingle), "simhash")
-    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
-    labels = components(links(distinct.select("fp")))
-    found = distinct.join(labels, distinct["fp"] == labels["node"], "left").select(
-        "fp", "least_id", F.coalesce("label", "fp").alias("label"))
-    ids = found.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    return rows, stage(found.join(ids, "label").select("fp", "component_id"), "simhash-components")
+def _labelled(fps: DataFrame) -> DataFrame:
+    """(fp, label) of the distinct fingerprints ``fps`` (fp): the same label for all of a component."""
+    labels = components(links(fps))
+    return fps.join(labels, fps["fp"] == labels["node"], "left").select("fp", F.coalesce("label", "fp").alias("label"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp, component_id): one row per row of ``docs``."""
-    rows, named = _groups(docs, key, text, shingle)
+    rows = stage(fingerprints(docs, key, text, shingle), "simhash")
+    distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-distinct")
+    found = distinct.join(_labelled(distinct.select("fp")), "fp")
+    ids = found.groupBy("label").agg(F.min("least_id").alias("component_id"))
+    named = stage(found.join(ids, "label").select("fp", "component_id"), "simhash-components")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """One row of ``docs`` per component: that of the smallest id (of rows that share it, the one with
-    the least text hash). A null id stands behind all others, by a number hashed from its text."""
-    behind = F.xxhash64(text).bitwiseAND(F.lit((1 << 61) - 1)).bitwiseOR(F.lit(1 << 62))
-    own = docs.withColumn("_s_id", F.coalesce(F.col(key).cast("long"), behind))
-    _, named = _groups(own, "_s_id", text, shingle)
-    keep = named.select(F.col("component_id").alias("_s_id")).distinct()
-    first = Window.partitionBy("_s_id").orderBy(F.xxhash64(text))
-    rows = own.withColumn("_s_no", F.row_number().over(first)).filter("_s_no = 1")
-    return rows.join(keep, "_s_id", "left_semi").select(*[rows[c] for c in docs.columns])
+    """One row of ``docs`` per component: the one with the smallest id, a null id behind all others, and
+    of rows that share that id the one with the least text hash. Rows equal in both are copies, of which
+    one stays; a doc_id on texts of several components stands for each of them."""
+    place = {"_s_null": F.col(key).isNull(), "_s_id": F.coalesce(F.col(key).cast("long"), F.lit(0)),
+             "_s_text": F.xxhash64(text), "_s_size": F.coalesce(F.length(text), F.lit(-1))}
+    rows = _fingerprinted(docs.select(*[c.alias(n) for n, c in place.items()], F.col(text).cast("binary").alias("_s_body")), shingle)
+    rows = stage(rows, "simhash")
+    least = F.min(F.struct(*place)).alias("first")
+    distinct = stage(rows.groupBy("fp").agg(least), "simhash-distinct")
+    firsts = distinct.join(_labelled(distinct.select("fp")), "fp").groupBy("label").agg(F.min("first").alias("first"))
+    firsts = stage(firsts.select("first.*"), "simhash-firsts")
+    own = docs.withColumns(place).join(firsts, list(place), "left_semi")
+    number = F.row_number().over(Window.partitionBy(*place).orderBy(F.lit(0)))
+    return own.withColumn("_s_no", number).filter("_s_no = 1").select(*[own[c] for c in docs.columns])
