@@ -1,4 +1,8 @@
-"""Polynomial hashes over byte and word sequences, for whole arrays at a time (modulo 2**64)."""
+"""Hashes over byte and word sequences, for whole arrays at a time.
+
+Words and windows of words are hashed in steps that mix. Byte runs use polynomials modulo 2**64, whose
+linear structure lets some sequences of over a thousand bytes collide whatever the base (Thue-Morse), so
+they serve runs of at most some hundred bytes."""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -73,9 +78,34 @@ def words(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, np.flatnonzero(finishes) + 1, np.searchsorted(start, offsets)
 
 
+_LANES = 8  # words of up to 8 * _LANES bytes are hashed together, longer ones one by one
+
+
 def word_hashes(body: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
-    h = spans(byte_values(body, which), start, end, BASES[which])
-    return mix(h + (end - start).astype(np.uint64) * np.uint64(BASES[1 - which]))
+    """64-bit hash of every word, eight bytes at a time; each step mixes before it adds, so no sum of
+    byte values decides (long words: XXH64)."""
+    padded = np.concatenate((body, np.zeros(8, dtype=np.uint8)))
+    at8 = np.ndarray(len(body) + 1, dtype="<u8", buffer=padded, strides=(1,))  # the eight bytes from each place on
+    size = end - start
+    h = size.astype(np.uint64) * np.uint64(BASES[which]) + np.uint64(BASES[1 - which])
+    live = np.arange(len(start))
+    for lane in range(_LANES):
+        left = size[live] - 8 * lane
+        live = live[left > 0]
+        left = left[left > 0]
+        if not len(live):
+            break
+        value = at8[start[live] + 8 * lane]
+        value &= _KEEP[np.minimum(left, 8)]
+        value ^= h[live]
+        h[live] = mix(value) * np.uint64(BASES[which])
+    h = mix(h)
+    for i in np.flatnonzero(size > 8 * _LANES).tolist():
+        h[i] = xxhash.xxh64_intdigest(body[start[i]:end[i]].tobytes(), seed=which)
+    return h
+
+
+_KEEP = np.array([0, *((1 << 8 * k) - 1 for k in range(1, 9))], dtype=np.uint64)
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
@@ -86,7 +116,20 @@ def windows(hashes: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
 
 
 def window_hashes(hashes: np.ndarray, at: np.ndarray, length: int, which: int = 0) -> np.ndarray:
-    return mix(spans(hashes, at, at + length, BASES[which]))
+    """Hash of the ``length`` values from each place of ``at`` on: runs of 1, 2, 4, ... values are hashed
+    from pairs of the runs before, and the runs that make up ``length`` are joined; every step mixes."""
+    base = np.uint64(BASES[which])
+    run, width, done, out = hashes, 1, 0, None
+    while True:
+        if length & width:
+            part = run[at + done]
+            out = part.copy() if out is None else mix(out * base + part)
+            done += width
+        if 2 * width > length:
+            return mix(out + np.uint64(length)) if len(out) else out
+        step = run[:-width] * base if len(run) > width else run[:0].copy()
+        step += run[width:] if len(run) > width else run[:0]
+        run, width = mix(step), 2 * width
 
 
 def all_windows(values: np.ndarray, length: int, base: int) -> np.ndarray:
