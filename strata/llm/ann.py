@@ -5,7 +5,8 @@ own, trained by k-means on a bounded sample; a pair of centroids is a cell of th
 vector is in one cell. A query walks the pairs by summed distance with a heap until the cells it has
 seen hold ``SHARE`` of all entries, and these are reranked by the exact cosine of the original vectors.
 The share is what recall needs on vectors without clusters (measured in README); clustered vectors
-reach the same recall with much less.
+reach the same recall with much less. The centroids of a half follow from the number of entries, so that
+cells stay equally full.
 
 Equal vectors are one entry: it keeps the ``neighbours + 1`` smallest ids, more can never be among the
 nearest. Equal queries are searched once. The cells of one first-half centroid are a row of the grid;
@@ -34,10 +35,10 @@ from pyspark.sql import types as T
 from strata.llm.common import map_arrow, stage
 
 NEIGHBOURS = 5
-CENTROIDS = 32
+CELL_ENTRIES = 2       # entries of an average cell; the centroids of a half follow from it
+MOST_CENTROIDS = 128    # of each half, for any table
 SAMPLE = 20_000
-SHARE = 0.55
-LEAST_CANDIDATES = 2_000
+SHARE = 0.65
 BLOCK = 4_096
 SEED = 11
 
@@ -121,7 +122,12 @@ def entries(vectors: DataFrame, key: str, vector: str, neighbours: int = NEIGHBO
     return stage(grouped.select(F.xxhash64("vec").alias("entry"), "vec", "ids"), "ann-entries")
 
 
-def train(found: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) -> Codebooks | None:
+def centroids_for(n_entries: int) -> int:
+    """Centroids of each half: their pairs are cells of ``CELL_ENTRIES`` entries on average."""
+    return min(max(round((n_entries / CELL_ENTRIES) ** 0.5), 2), MOST_CENTROIDS)
+
+
+def train(found: DataFrame, centroids: int, sample: int = SAMPLE) -> Codebooks | None:
     """Codebooks from at most ``sample`` vectors, taken in hash order."""
     rows = found.select("vec", "entry").orderBy(F.xxhash64(F.lit(SEED), "entry"), "entry").limit(sample).collect()
     if not rows:
@@ -201,10 +207,10 @@ def _rerank(left: pa.Table, right: pa.Table, neighbours: int, width: int) -> pa.
 
 
 def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding",
-           neighbours: int = NEIGHBOURS, share: float = SHARE, centroids: int = CENTROIDS) -> DataFrame:
+           neighbours: int = NEIGHBOURS, share: float = SHARE, centroids: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest rows of each row that ``is_query`` selects."""
     found = entries(vectors, key, vector, neighbours)
-    books = train(found, centroids)
+    books = train(found, centroids or centroids_for(found.count()))
     spark = vectors.sparkSession
     if books is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -213,7 +219,8 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
     books.cells = np.zeros((len(books.first), width), dtype=np.int64)  # centroids**2 numbers
     for r in indexed.groupBy("cell").count().collect():
         books.cells[r["cell"] // width, r["cell"] % width] = r["count"]
-    wanted = max(LEAST_CANDIDATES, int(share * books.cells.sum()))
+    # enough for an answer, however small the share
+    wanted = max(neighbours + 1, int(np.ceil(share * books.cells.sum())))
     rows = vectors.filter(is_query).select(F.col(key).cast("long").alias("query_id"), F.col(vector).alias("qvec"))
     rows = rows.filter(F.col("query_id").isNotNull() & _usable(F.col("qvec")))
     rows = rows.select("query_id", "qvec", F.xxhash64("qvec").alias("query"))
@@ -222,7 +229,7 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
     # blocks: the entries of a line over its pieces, its queries over theirs; every piece meets every piece
     pieces = F.element_at(F.lit([max(1, -(-int(n) // BLOCK)) for n in books.cells.sum(1)]), F.col("line") + 1)
     asked = visits.groupBy("line").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("qbs"))
-    asked = F.broadcast(asked)  # one row per centroid
+    asked = F.broadcast(asked)  # one row per centroid of a half
     left = visits.join(asked, "line").withColumn("qb", F.pmod(F.xxhash64("query"), F.col("qbs")).cast("int"))
     left = left.select("line", "qb", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("eb"), "query", "qvec", "cells")
     right = indexed.withColumn("line", F.floor(F.col("cell") / width).cast("int")).join(asked, "line")
