@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.chunks import body_of
@@ -167,7 +167,8 @@ def patterns(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 
 def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SAMPLE) -> DataFrame:
-    """(votes, buckets, values) of ``size`` documents in hash order."""
+    """(votes, buckets, values) of the first ``size`` documents in hash order; rows equal in key and text
+    are one document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, b in _batches(batches):
             doc, bucket, value = features(b)
@@ -178,10 +179,11 @@ def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
                  pa.array([x.tolist() for x in np.split(bucket[order], cut)], pa.list_(pa.int32())),
                  pa.array([x.tolist() for x in np.split(value[order], cut)], pa.list_(pa.float32()))], names=["votes", "buckets", "values"])
 
-    mark = F.xxhash64(F.lit(SEED), F.col(key), F.xxhash64(text))
-    ids = docs.select(mark.alias("mark")).orderBy("mark").limit(size).agg(F.max("mark")).first()[0]
-    chosen = docs.filter(mark <= F.lit(ids)) if ids is not None else docs
-    return map_arrow(_rows(chosen, key, text), run, "votes string, buckets array<int>, values array<float>").limit(2 * size)
+    marked = docs.withColumn("_c_mark", F.xxhash64(F.lit(SEED), F.col(key), F.xxhash64(text)))
+    last = marked.select("_c_mark").distinct().orderBy("_c_mark").limit(size).agg(F.max("_c_mark")).first()[0]
+    chosen = marked.filter(F.col("_c_mark") <= F.lit(last)) if last is not None else marked
+    copy = F.row_number().over(Window.partitionBy("_c_mark").orderBy(F.lit(0)))  # cut in every task first
+    return map_arrow(_rows(chosen.withColumn("_c_no", copy).filter("_c_no = 1"), key, text), run, "votes string, buckets array<int>, values array<float>")
 
 
 @dataclass
