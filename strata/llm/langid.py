@@ -30,6 +30,7 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 PER_LANGUAGE = 800
+SPARE = 4
 CLIPS = 3
 EPOCHS = 8
 BATCH = 128
@@ -52,9 +53,14 @@ def held_out(key: str = "doc_id") -> Column:
 
 def sample(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, clip): the training windows, at most ``PER_LANGUAGE * CLIPS`` of each language, from
-    documents that are not held out. The rank is cut in every task before the shuffle."""
+    documents that are not held out. Before the documents of a language are ranked by hash, a threshold
+    on the hash leaves about ``SPARE`` times as many as are wanted, however large the table is."""
     mark = F.xxhash64(F.lit(SEED), F.col(key), F.col(text))
-    rows = docs.filter(~held_out(key) & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
+    rows = docs.filter(~held_out(key) & F.col(lang).isNotNull())
+    known = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    shares = [F.when(F.col(lang) == F.lit(x), F.lit(SPARE * PER_LANGUAGE / n)) for x, n in sorted(known.items()) if n > SPARE * PER_LANGUAGE]
+    share = F.coalesce(*shares, F.lit(1.0)) if shares else F.lit(1.0)
+    rows = rows.filter((F.shiftrightunsigned(mark, 32) <= share * float(1 << 32)) & F.col(text).rlike(r"\p{L}"))
     size = F.length(text)
     at = [F.pmod(F.xxhash64(F.lit(k), mark), F.greatest(size - WINDOW, F.lit(1))).cast("int") + 1 for k in range(CLIPS)]
     rows = rows.select(F.col(lang).alias("lang"), mark.alias("mark"),
