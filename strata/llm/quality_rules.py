@@ -174,9 +174,9 @@ def verdict(model: RuleModel) -> Column:
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that the rules keep, columns unchanged. The counts are computed in two scans
-    (model, then verdict) instead of joining a verdict back, so no text is shuffled."""
-    features = with_features(docs, text)
+    """The documents that the rules keep, columns unchanged. The documents are written once with their
+    counts, which the model and the verdicts read: nothing is counted twice, and no text is shuffled."""
+    features = stage(with_features(docs, text), "quality-features")
     model = fit(features)
     return features.filter(verdict(model)).select(*[features[c] for c in docs.columns])
 
