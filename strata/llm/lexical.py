@@ -41,6 +41,7 @@ from strata.llm.common import map_arrow, stage
 K = 10
 BLOCK_TERMS = 20_000   # distinct terms of one block of items; a single item may have more
 LEAF = 16
+TASK_DOCS = 8_192
 TREE_CELLS = 1 << 22   # documents of a tree times terms of the block
 #: bytes of a term stay, A-Z become a-z, all others become spaces; bytes from 0x80 on belong to terms
 _FOLD = bytes(c if c >= 0x80 or chr(c).isalnum() and not chr(c).isupper() else ord(chr(c).lower()) if chr(c).isupper() else 0x20
@@ -262,6 +263,7 @@ def rank(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
         place = np.empty(len(df), dtype=np.int64)
         place[order] = np.arange(len(df))
         block = Block([(i, np.array(t, dtype=np.int64)) for i, t in own], number, weight, place)
+        vectors = vectors.repartition(-(-n_docs // TASK_DOCS))  # small on disk, but each row is work
         hits = _ranked(vectors, block, n_docs, n_terms, k)
         n = F.row_number().over(Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc").asc_nulls_last()))
         hits = hits.withColumn("rank", n).filter(F.col("rank") <= k)
