@@ -14,7 +14,10 @@ from strata.operators.latest import first_per_key
 from strata.session import stage
 
 UNKNOWN_ID = -1
-UNKNOWN_KEYS = ("N/A", "-1")  # business keys (as text) of the unknown member
+#: Business keys (as text) that a large part of all facts carry: half of them have no customer, the
+#: other half no employee. They are looked up like any other key, but spread over SALTS tasks.
+HOT_KEYS = ("N/A", "-1")
+SALTS = 64
 
 
 def _c(x) -> Column:
@@ -69,26 +72,26 @@ def lookup(df: DataFrame, dim: DataFrame, left_on, right_on: str, id_col: str, o
     ``left_on`` may be an expression (e.g. an id cast to text). The dimension key must be
     unique; for non-unique keys use :func:`lookup_first`.
     """
-    d = dim.select(F.col(right_on).alias("_lk"), F.col(id_col).alias("_lid"))
-    if default == UNKNOWN_ID:
-        # Half of all sales carry the unknown key in each lookup. Its answer is known, so those rows
-        # join on nothing and are spread by a hash of the row instead of meeting in one task.
-        key, salt = spread_unknown(_c(left_on), df.columns)
-        out = df.withColumn("_jk", key).withColumn("_js", salt)
-        out = out.join(d.withColumn("_ds", F.pmod(F.xxhash64("_lk"), F.lit(1))),  # 0, but no constant to fold
-                       (F.col("_jk") == F.col("_lk")) & (F.col("_js") == F.col("_ds")), "left").drop("_jk", "_js", "_ds")
-    else:
-        out = df.join(d, _c(left_on) == F.col("_lk"), "left")
+    d = salted_rows(dim.select(F.col(right_on).alias("_lk"), F.col(id_col).alias("_lid")), "_lk", "_ds")
+    out = df.withColumn("_jk", _c(left_on))
+    out = out.withColumn("_js", salt_of(F.col("_jk"), df.columns))
+    out = out.join(d, (F.col("_jk") == F.col("_lk")) & (F.col("_js") == F.col("_ds")), "left").drop("_jk", "_js", "_ds")
     filled = F.col("_lid") if default is None else F.coalesce(F.col("_lid"), F.lit(default))
     return out.withColumn(out_col, filled.cast("long")).drop("_lk", "_lid")
 
 
-def spread_unknown(key: Column, columns: Sequence[str]) -> tuple[Column, Column]:
-    """(join key, salt): the key of the unknown member becomes NULL with a salt from the row's
-    columns; every other key keeps salt 0."""
-    unknown = key.isNull() | key.cast("string").isin(*UNKNOWN_KEYS)
-    return (F.when(~unknown, key),
-            F.when(unknown, F.xxhash64(*columns)).otherwise(F.lit(0)).cast("long"))
+def salt_of(key: Column, columns: Sequence[str]) -> Column:
+    """0, but for NULL and the hot keys a number below ``SALTS`` from the row's first columns, so that
+    a key that half of all rows carry does not meet in one task."""
+    hot = key.isNull() | key.cast("string").isin(*HOT_KEYS)
+    return F.when(hot, F.pmod(F.xxhash64(*columns[:2]), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+
+
+def salted_rows(dim: DataFrame, key: str, salt: str) -> DataFrame:
+    """The rows that :func:`salt_of` joins with: those of the hot keys, if the dimension has them, once for
+    every salt."""
+    hot = F.col(key).cast("string").isin(*HOT_KEYS)
+    return dim.withColumn(salt, F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
 
 
 def lookup_first(df: DataFrame, dim: DataFrame, left_on, right_on: str, id_col: str, out_col: str,
@@ -120,7 +123,8 @@ def map_or_mint(batch: DataFrame, existing: DataFrame, key: str, id_col: str, at
     ``batch`` holds the standardised records (key, attrs, lineage); ``existing`` the map
     (id, key, attrs, lineage, hash, load_dt). Ids never change; a key may own several rows.
     """
-    hashed = batch.withColumn(hash_col, fingerprint(key, *attrs, *lineage))
+    # four joins read the batch: it is computed once
+    hashed = stage(batch.withColumn(hash_col, fingerprint(key, *attrs, *lineage)), "map-batch")
     known = existing.groupBy(key).agg(F.min(id_col).alias(id_col))
     new_keys = hashed.select(key).distinct().join(known.select(key), key, "left_anti")
     start = max_id(existing, id_col) if offset is None else offset
