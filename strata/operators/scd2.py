@@ -25,7 +25,7 @@ Two paths:
   attributes differ from the previous event; it ends one minute before the next version. The
   windows run per (key, time bucket), and the bucket seams are stitched with per-bucket
   summaries, so one very busy key is spread over many tasks instead of one.
-* :func:`fold_key` / :func:`scd2_merge` — late events (earlier than a version already stored).
+* :class:`Fold` / :func:`scd2_merge` — late events (earlier than a version already stored).
   The result then depends on the order of arrival (quirk Q7: A@1, A@5, then late B@3 gives
   A[1..3) B[3..), not A,B,A), so it is a per-key sequential fold; only keys that received a
   late event go this way, and only their versions from the earliest late event on.
@@ -33,12 +33,10 @@ Two paths:
 
 from __future__ import annotations
 
-import bisect
 import datetime as _dt
 import hashlib
 import sys
-from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -125,74 +123,164 @@ def _fingerprint(row: dict, attrs) -> str:
     return hashlib.md5("|".join(str(row[a]) for a in attrs if row[a] is not None).encode()).hexdigest()
 
 
+class Fold:
+    """The event rule over one key: stored versions by start and events by time, both read once and in
+    order. Only the open version and the next stored one are held; a version is given out as soon as no
+    later event can change it.
+
+    A new key's id (or, with ``new_id_per_version``, every inserted version's id) is ``None`` and filled
+    in by the caller. Versions that would end before they start (an event in the last minute before a
+    version change, quirk Q8) are not inserted but counted.
+    """
+
+    def __init__(self, stored: Iterable[dict], attrs: Sequence[str], ts: str, id_col: str, new_id_per_version: bool,
+                 stats: dict[str, int]):
+        self.stored, self.attrs, self.ts, self.id_col = iter(stored), attrs, ts, id_col
+        self.new_id_per_version, self.stats = new_id_per_version, stats
+        self.open: dict | None = None
+        self.next = self._read()
+
+    def _read(self) -> dict | None:
+        v = next(self.stored, None)
+        return None if v is None else dict(v, _orig=True, _dirty=False)
+
+    def _start(self, version: dict) -> Iterator[dict]:
+        """``version`` becomes the open one; the one before it is final."""
+        if self.open is not None:
+            yield self._final(self.open)
+        self.open = version
+
+    @staticmethod
+    def _final(version: dict) -> dict:
+        return {k: x for k, x in version.items() if k not in ("_orig", "_dirty")}
+
+    def _touch(self, version: dict) -> None:
+        self.stats["updated"] += version["_orig"] and not version["_dirty"]
+        version["_dirty"] = True
+
+    def _move_back(self, t: _dt.datetime) -> Iterator[dict]:
+        """The next stored version starts at ``t`` already."""
+        self.next["start_dt"] = t
+        self._touch(self.next)
+        yield from self._start(self.next)
+        self.next = self._read()
+
+    def _insert(self, event: dict, end: _dt.datetime, active: bool, version_id) -> Iterator[dict]:
+        t = event[self.ts]
+        if end < t:
+            self.stats["skipped"] += 1
+            return
+        row = {k: x for k, x in event.items() if k != self.ts}
+        row.update(start_dt=t, end_dt=end, is_active=active, _orig=False, _dirty=True)
+        row[self.id_col] = None if self.new_id_per_version else version_id
+        self.stats["inserted"] += 1
+        yield from self._start(row)
+
+    def apply(self, event: dict) -> Iterator[dict]:
+        """Apply the next event in time; gives out the versions that are final now."""
+        t, attrs = event[self.ts], self.attrs
+        while self.next is not None and self.next["start_dt"] <= t:
+            yield from self._start(self.next)
+            self.next = self._read()
+        cur, nxt = self.open, self.next
+        if cur is not None and cur["start_dt"] == t:
+            # Q9 against stored versions: (key, start) is unique, so of a version and an event at the
+            # same instant the greater fingerprint stays
+            if _differs(cur, event, attrs) and _fingerprint(event, attrs) > _fingerprint(cur, attrs):
+                cur.update({a: event[a] for a in attrs})
+                self._touch(cur)
+            return
+        if cur is not None and cur["end_dt"] < t:
+            cur = None
+        if cur is not None and not _differs(cur, event, attrs):
+            return
+        if cur is not None:
+            cur["end_dt"], cur["is_active"] = t - ONE_MIN, False
+            self._touch(cur)
+        if nxt is None:
+            yield from self._insert(event, HIGH, True, cur and cur[self.id_col])
+        elif _same(nxt, event, attrs):
+            yield from self._move_back(t)
+        else:
+            yield from self._insert(event, nxt["start_dt"] - ONE_MIN, False, (cur or nxt)[self.id_col])
+
+    def rest(self) -> Iterator[dict]:
+        while self.next is not None:
+            yield from self._start(self.next)
+            self.next = self._read()
+        if self.open is not None:
+            yield self._final(self.open)
+
+
 def fold_key(versions: list[dict], events: list[dict], attrs: Sequence[str], *,
              ts: str = "ts", id_col: str = "id", new_id_per_version: bool = False) -> tuple[list[dict], dict]:
     """Apply ``events`` (sorted by time) to one key's ``versions`` with the event rule.
 
-    Each version is a dict with ``start_dt, end_dt, is_active``, the attrs and ``id_col``.
-    A new key's id (or, with ``new_id_per_version``, every inserted version's id) is ``None``
-    and filled in by the caller. Versions that would end before they start (an event in the
-    last minute before a version change, quirk Q8) are not inserted but counted.
-    Versions are kept ordered by start, so ``cur`` and ``nxt`` are binary searches.
-    Returns the final versions and counts (inserted, updated, skipped).
+    Each version is a dict with ``start_dt, end_dt, is_active``, the attrs and ``id_col``. Returns the
+    final versions by start and counts (inserted, updated, skipped).
     """
-    vs = sorted((dict(v, _orig=True, _dirty=False) for v in versions), key=lambda v: v["start_dt"])
-    starts = [v["start_dt"] for v in vs]
     stats = {"inserted": 0, "updated": 0, "skipped": 0}
+    fold = Fold(sorted(versions, key=lambda v: v["start_dt"]), attrs, ts, id_col, new_id_per_version, stats)
+    out = [v for e in events for v in fold.apply(e)]
+    return [*out, *fold.rest()], stats
 
-    def insert(ev, start, end, active, vid):
-        if end < start:
-            stats["skipped"] += 1
-            return
-        row = {a: ev[a] for a in attrs}
-        row.update(start_dt=start, end_dt=end, is_active=active, _orig=False, _dirty=True)
-        row[id_col] = None if new_id_per_version else vid
-        for k, val in ev.items():
-            if k not in row and k != ts:
-                row[k] = val
-        i = bisect.bisect_right(starts, start)
-        starts.insert(i, start)
-        vs.insert(i, row)
-        stats["inserted"] += 1
-
-    def touch(v):
-        if v["_orig"] and not v["_dirty"]:
-            stats["updated"] += 1
-        v["_dirty"] = True
-
-    for ev in events:
-        t = ev[ts]
-        i = bisect.bisect_right(starts, t)            # vs[:i] start at or before t
-        if i > 0 and starts[i - 1] == t:
-            # Q9 against stored versions: (key, start) is unique, so of a version and an event at
-            # the same instant the greater fingerprint stays
-            at = vs[i - 1]
-            if _differs(at, ev, attrs) and _fingerprint(ev, attrs) > _fingerprint(at, attrs):
-                at.update({a: ev[a] for a in attrs})
-                touch(at)
+
+ROWS = 1024  # rows that become Python objects at a time
+
+
+def _key_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[object, bool, pa.RecordBatch]]:
+    """(key, whether events, rows): runs of at most ``ROWS`` rows of one key and kind, in order."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS):
+            part = batch.slice(k, ROWS)
+            marks = list(zip(part.column("_key").to_pylist(), part.column("_event").to_pylist(), strict=True))
+            begin = 0
+            for i in range(1, len(marks) + 1):
+                if i == len(marks) or marks[i] != marks[begin]:
+                    yield *marks[begin], part.slice(begin, i - begin)
+                    begin = i
+
+
+def fold_sorted(batches: Iterable[pa.RecordBatch], columns: Sequence[str], attrs: Sequence[str], ts: str, id_col: str,
+                new_id_per_version: bool) -> Iterator[pa.RecordBatch]:
+    """Fold rows sorted by key, then stored versions by start, then events by time. Of the key in hand the
+    stored versions wait as Arrow rows; events and finished versions pass by."""
+    done: list[dict] = []
+    key, stored, fold, schema = None, [], None, None
+    stats = {"inserted": 0, "updated": 0, "skipped": 0}
+
+    def flush() -> pa.RecordBatch:
+        rows = [{c: r.get(c) for c in columns} for r in done]
+        done.clear()
+        return pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    def versions(runs: list[pa.RecordBatch]) -> Iterator[dict]:
+        while runs:
+            yield from ({c: r[c] for c in columns} for r in runs.pop(0).to_pylist())
+
+    def end_of_key() -> Iterator[pa.RecordBatch]:
+        for v in (fold or Fold(versions(stored), attrs, ts, id_col, new_id_per_version, stats)).rest():
+            done.append(v)
+            if len(done) >= ROWS:
+                yield flush()
+
+    for k, is_event, rows in _key_runs(batches):
+        schema = schema or pa.schema([rows.schema.field(c) for c in columns])
+        if k != key:
+            yield from end_of_key()
+            key, stored, fold = k, [], None
+        if not is_event:
+            stored.append(rows)
             continue
-        cur = vs[i - 1] if i > 0 and vs[i - 1]["end_dt"] >= t else None
-        nxt = vs[i] if i < len(vs) else None
-        if cur is not None and _differs(cur, ev, attrs):
-            cur["end_dt"], cur["is_active"] = t - ONE_MIN, False
-            touch(cur)
-            if nxt is not None and _same(nxt, ev, attrs):
-                nxt["start_dt"] = starts[i] = t       # moves back, stays in order
-                touch(nxt)
-            else:
-                insert(ev, t, nxt["start_dt"] - ONE_MIN if nxt else HIGH, nxt is None, cur[id_col])
-        elif cur is None and nxt is not None:
-            if _same(nxt, ev, attrs):
-                nxt["start_dt"] = starts[i] = t
-                touch(nxt)
-            else:
-                insert(ev, t, nxt["start_dt"] - ONE_MIN, False, nxt[id_col])
-        elif cur is None and nxt is None:
-            insert(ev, t, HIGH, True, None)
-    for v in vs:
-        v.pop("_orig", None)
-        v.pop("_dirty", None)
-    return vs, stats
+        fold = fold or Fold(versions(stored), attrs, ts, id_col, new_id_per_version, stats)
+        for event in rows.to_pylist():
+            event = {c: x for c, x in event.items() if c in columns and c not in ("start_dt", "end_dt", "is_active", id_col)} | {ts: event["_at"]}
+            done += fold.apply(event)
+            if len(done) >= ROWS:
+                yield flush()
+    yield from end_of_key()
+    if done:
+        yield flush()
 
 
 def scd2_merge(existing: DataFrame, events: DataFrame, key: str, ts: str, attrs: Sequence[str], *,
@@ -202,7 +290,7 @@ def scd2_merge(existing: DataFrame, events: DataFrame, key: str, ts: str, attrs:
 
     Keys whose every event is later than their newest stored version take the parallel
     gaps-and-islands path (seeded with that newest version); keys with a late event take the
-    sequential fold, key by key within hash buckets (``cogroup().applyInArrow``).
+    sequential fold, as a stream of rows sorted by key and time (``mapInArrow``).
     """
     vcols = [id_col, key, *attrs, *extra, "start_dt", "end_dt", "is_active"]
     existing = existing.select(*vcols)
@@ -236,28 +324,23 @@ def scd2_merge(existing: DataFrame, events: DataFrame, key: str, ts: str, attrs:
     affected = (late_v.join(first_late, key)
                 .filter(F.col("end_dt") >= F.col("_first")).drop("_first"))
     attrs_l = list(attrs)
-    ntz = {c: F.col(c).cast("timestamp_ntz").alias(c) for c in ("start_dt", "end_dt", ts)}
-    # Keys are folded one by one, but handed to Python by the thousand: a group is a hash bucket.
-    buckets = 8 * int(existing.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")
-    v_in = affected.select(bucket, *[ntz.get(c, F.col(c)) for c in vcols])
-    e_in = late_ev.select(bucket, *[ntz.get(c, F.col(c)) for c in late_ev.columns])
-
-    def fold(stored: pa.Table, late: pa.Table) -> pa.Table:
-        versions, evs = defaultdict(list), defaultdict(list)
-        for r in stored.to_pylist():
-            versions[r[key]].append(r)
-        for r in late.to_pylist():
-            r.pop("_bucket")
-            evs[r[key]].append(r)
-        out = []
-        for k, rows in evs.items():
-            rows.sort(key=lambda r: r[ts])
-            out += fold_key(versions[k], rows, attrs_l, ts=ts, id_col=id_col, new_id_per_version=new_id_per_version)[0]
-        return pa.table({c: pa.array([r.get(c) for r in out], stored.schema.field(c).type) for c in vcols})
-
-    schema = T.StructType([T.StructField(f.name, T.TimestampNTZType() if f.name in ntz else f.dataType)
-                           for f in schema.fields])
-    folded = v_in.groupBy("_bucket").cogroup(e_in.groupBy("_bucket")).applyInArrow(fold, schema=schema)
+    # Both are streamed through one sort by key and time; nothing is gathered but the stored versions of
+    # the key in hand (from its earliest late event on).
+    ntz = ("start_dt", "end_dt")
+    typed = {f.name: T.TimestampNTZType() if f.name in ntz else f.dataType for f in schema.fields}
+    rows = affected.select(F.col(key).alias("_key"), F.lit(False).alias("_event"), F.col("start_dt").cast("timestamp_ntz").alias("_at"),
+                           *[F.col(c).cast(typed[c]).alias(c) for c in vcols])
+    given = {key, *attrs, *extra}
+    rows = rows.unionByName(late_ev.select(
+        F.col(key).alias("_key"), F.lit(True).alias("_event"), F.col(ts).cast("timestamp_ntz").alias("_at"),
+        *[(F.col(c) if c in given else F.lit(None)).cast(typed[c]).alias(c) for c in vcols]))
+    rows = rows.repartition("_key").sortWithinPartitions("_key", "_event", "_at")
+    attrs_l = list(attrs)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fold_sorted(batches, vcols, attrs_l, ts, id_col, new_id_per_version)
+
+    schema = T.StructType([T.StructField(c, typed[c]) for c in vcols])
+    folded = rows.mapInArrow(fold, schema)
     untouched_late = late_v.join(first_late, key).filter(F.col("end_dt") < F.col("_first")).select(*vcols)
     return fresh.unionByName(older).unionByName(folded).unionByName(untouched_late)
