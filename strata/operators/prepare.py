@@ -211,15 +211,25 @@ def employee_roster(spark, locations: DataFrame, bounds: list[_dt.datetime], *,
            .join(F.broadcast(cities), "_ci").drop("_ci")
            .withColumn("employee_first_name", F.initcap(pick(WORDS, "employee_id", seed=seed + 3)))
            .withColumn("employee_last_name", F.initcap(pick(WORDS, "employee_id", seed=seed + 4))))
+    return roster_periods(emp, locations, bounds, seed=seed + 5)
+
+
+def roster_periods(employees: DataFrame, locations: DataFrame, bounds: list[_dt.datetime], *, seed: int = SEED,
+                   index_fn=hash_index) -> DataFrame:
+    """Every employee (``employee_id``, ``city``, ...) once per period (closed, neighbours share a
+    bound), each time at an address of its city. Periods are exploded per employee (a short literal
+    list); the addresses of a city are numbered and taken by an equi join, so no pairs are made."""
     pairs = F.array(*[F.struct(F.lit(i).alias("period_no"), _ts_lit(a).alias("period_start"),
                                _ts_lit(b).alias("period_end"))
                       for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]))])
-    roster = emp.withColumn("_p", F.explode(pairs)).select("*", "_p.*").drop("_p")
-    addrs = (locations.select(F.col("city").alias("_c2"), "address")
-             .withColumn("_ak", F.row_number().over(Window.partitionBy("_c2").orderBy("address")) - 1))
-    roster = roster.withColumn("_k", hash_index(ADDRESSES_PER_CITY, "employee_id", "period_no", seed=seed + 5))
-    return (roster.join(F.broadcast(addrs), (F.col("city") == F.col("_c2")) & (F.col("_k") == F.col("_ak")))
-            .drop("_c2", "_ak", "_k"))
+    roster = employees.withColumn("_p", F.explode(pairs)).select("*", "_p.*").drop("_p")
+    addrs = locations.select(F.col("city").alias("_c2"), "address").distinct()
+    addrs = addrs.withColumn("_ak", F.row_number().over(Window.partitionBy("_c2").orderBy("address")) - 1)
+    sizes = addrs.groupBy(F.col("_c2").alias("_c3")).agg(F.count(F.lit(1)).alias("_n"))
+    roster = roster.join(sizes, F.col("city") == F.col("_c3"))
+    roster = roster.withColumn("_k", index_fn(F.col("_n"), "employee_id", "period_no", seed=seed))
+    return (roster.join(addrs, (F.col("city") == F.col("_c2")) & (F.col("_k") == F.col("_ak")))
+            .drop("_c2", "_ak", "_k", "_c3", "_n"))
 
 
 def period_index(ts, bounds: list[_dt.datetime]) -> Column:
@@ -259,26 +269,32 @@ def assign_employees(sales: DataFrame, roster: DataFrame, bounds: list[_dt.datet
             .drop("_n1", "_n2", "_size1", "_size2", "_e1", "_e2", "period_no"))
 
 
-def split_half(df: DataFrame, *, row_key: str, seed: int = SEED):
+SPLIT_SMALL = 4_096  # places that may be ordered at once
+
+
+def split_half(df: DataFrame, *, row_key: str, seed: int = SEED, small: int = SPLIT_SMALL):
     """Exact half split after a seeded shuffle — the first ``n // 2`` rows in the order of
     ``md5(seed|key)`` (then key) go online.
 
-    The rows are written once with their place; they are counted per hash prefix, only the prefix that
-    holds the middle row is ordered, to find the last online row, and both halves are filters on the
-    written rows: no row is shuffled or ranked. ``row_key`` must be unique.
+    The rows are written once with their place. The place of the last online row is found by narrowing:
+    rows are counted by the next four digits of their hash, the digits that hold the middle row are
+    kept, until at most ``small`` rows (or one hash) are left to be ordered. Both halves are filters on
+    the written rows: no row is shuffled or ranked. ``row_key`` must be unique.
     """
     key = F.col(row_key).cast("string")
-    place = F.struct(F.md5(F.concat_ws("|", F.lit(str(seed)), key)).alias("h"), key.alias("k"))
-    df = stage(df.withColumn("_place", place), "split")
-    prefix = F.substring("_place.h", 1, 4)
-    counts = {r[0]: r[1] for r in df.groupBy(prefix).count().collect()}  # 16**4 rows at most
-    left = sum(counts.values()) // 2
+    df = stage(df.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), key))).withColumn("_k", key), "split")
+    left, prefix, size = df.count() // 2, "", None
     if not left:
-        return df.filter(F.lit(False)).drop("_place"), df.drop("_place")
-    for p in sorted(counts):
-        if left <= counts[p]:
-            break
-        left -= counts[p]
-    last = df.filter(prefix == p).select("_place").orderBy("_place").limit(left).agg(F.max("_place").alias("p")).first()["p"]
-    online = F.col("_place") <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k"))
-    return df.filter(online).drop("_place"), df.filter(~online).drop("_place")
+        return df.filter(F.lit(False)).drop("_h", "_k"), df.drop("_h", "_k")
+    while size is None or size > small and len(prefix) < 32:
+        here = df.filter(F.col("_h").startswith(prefix)) if prefix else df
+        counts = {r[0]: r[1] for r in here.groupBy(F.substring("_h", 1, len(prefix) + 4)).count().collect()}  # 16**4 at most
+        for prefix in sorted(counts):
+            if left <= counts[prefix]:
+                break
+            left -= counts[prefix]
+        size = counts[prefix]
+    places = df.filter(F.col("_h").startswith(prefix)).select("_h", "_k").orderBy("_h", "_k").limit(left)
+    last = places.agg(F.max(F.struct("_h", "_k")).alias("p")).first()["p"]
+    online = (F.col("_h") < last["_h"]) | (F.col("_h") == last["_h"]) & (F.col("_k") <= last["_k"])
+    return df.filter(online).drop("_h", "_k"), df.filter(~online).drop("_h", "_k")
