@@ -22,7 +22,9 @@ from strata.operators.pit import point_in_time_join
 from strata.operators.scd2 import scd2_merge
 from strata.operators.upsert import ACTION, insert_absent
 from strata.operators.staging import stage_rows
-from strata.plans import marts, standin as S
+from strata.operators.sequence import with_next
+from strata.plans import marts, standin as S, whole_run
+from strata.session import stage
 from strata.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,7 +68,9 @@ def latest_composite_key(spark, d):
 
 
 def union_sources(spark, d):
-    return S.channel_sales(S.sales_feed(spark, d))
+    """Two channel feeds, ranked and padded each by itself, in one layout."""
+    feed = stage(S.sales_feed(spark, d), "union-feed")
+    return S.union_of_channels(feed.filter(F.col("source_system") == "SA_ONLINE"), feed.filter(F.col("source_system") == "SA_OFFLINE"))
 
 
 # ---- keys --------------------------------------------------------------------------------------
@@ -138,8 +142,8 @@ def scd2_history(spark, d):
 
 
 def scd2_late_merge(spark, d):
-    """Versions from every non-purchase event, then the purchase events arrive late and are
-    folded in by the event rule (order-dependent; checked against a plain-Python fold in tests)."""
+    """H1, H3: versions from every non-purchase event, then the purchase events arrive late and are
+    folded in by the event rule."""
     ev = S.employee_events(spark, d)
     first = S.employee_versions(spark, d, exclude_type="PURCHASE")
     keys = assign_keys(first.select("employee_src_id").distinct(), ["employee_src_id"], "employee_id")
@@ -234,7 +238,8 @@ def map_latest(spark, d):
 
 
 def rolling_window(spark, d):
-    return partitions.month_states(S.Star(spark, d).fact_merged().table)
+    """The months of the merged fact; it needs no dimension keys."""
+    return partitions.month_states(S.Star(spark, d).fact_merged(keys=()).table)
 
 
 # ---- audit and data quality ----------------------------------------------------------------
@@ -386,6 +391,24 @@ def prep_periods(spark, d):
     return grid.join(seen, "period_no", "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0).cast("long")))
 
 
+def prep_roster(spark, d):
+    """Suppliers as employees of their nation, at one of its addresses per period; and per employee
+    how its periods follow each other: neighbours share a bound, nothing else overlaps or is left out."""
+    t = Tables(spark, d)
+    o = t.orders.select(F.to_date("o_orderdate").cast("timestamp_ntz").alias("ts"))
+    lo, hi = o.agg(F.min("ts"), F.max("ts")).first()
+    bounds = prepare.period_bounds(lo, hi) if lo else [_dt.datetime(1900, 1, 1)] * 2
+    employees = t.supplier.select(F.col("s_suppkey").alias("employee_id"), F.col("s_nationkey").alias("city"))
+    places = t.supplier.select(F.col("s_nationkey").alias("city"), F.col("s_name").alias("address"))
+    roster = stage(prepare.roster_periods(employees, places, bounds, index_fn=md5_index), "roster")
+    follow = with_next(roster.select("employee_id", "period_start", "period_end"), "employee_id", "period_start", "_after", bucket="month")
+    checks = follow.groupBy("employee_id").agg(
+        F.count(F.lit(1)).alias("n_periods"), F.count_if(F.col("_after") == F.col("period_end")).alias("n_shared_bounds"),
+        F.count_if(F.col("_after") != F.col("period_end")).alias("n_broken"))
+    return roster.drop("city").join(checks, "employee_id").select(
+        "employee_id", "period_no", "period_start", "period_end", "address", "n_periods", "n_shared_bounds", "n_broken")
+
+
 def prep_split(spark, d):
     f = S.sales_feed(spark, d).withColumn("_row_key", ckey("transaction_id", "hash_value"))
     online, offline = prepare.split_half(f, row_key="_row_key")
@@ -480,6 +503,7 @@ QUERIES: dict[str, Query] = {
     "prep_names": prep_names,
     "prep_emails": prep_emails,
     "prep_periods": prep_periods,
+    "prep_roster": prep_roster,
     "prep_split": prep_split,
     "touched_months": touched_months,
     "insert_absent": insert_absent_q,
@@ -489,4 +513,9 @@ QUERIES: dict[str, Query] = {
     "mart_cube_product": mart_cube_product,
     "mart_time_of_day": mart_time_of_day,
     "mart_assignment_history": mart_assignment_history,
+    "stage_parts": whole_run.stage_parts,
+    "fact_store": whole_run.fact_store,
+    "month_lifecycle": whole_run.month_lifecycle,
+    "warehouse_run": whole_run.warehouse_run,
+    "warehouse_resume": whole_run.warehouse_resume,
 }

@@ -8,6 +8,7 @@ Ids assigned by ``assign_keys`` are ``row_number() OVER (ORDER BY <natural key>)
 from __future__ import annotations
 
 from strata.operators import prepare
+from strata.sources.tables import OFFLINE_COLUMNS, ONLINE_COLUMNS
 
 CUTOFF = "TIMESTAMP '1998-01-01 00:00:00'"
 B1 = "TIMESTAMP '2024-01-01 00:00:00'"
@@ -132,16 +133,14 @@ PRODUCT_MAP = f"""
   newkeys AS (SELECT product_src_id,
                      (SELECT coalesce(max(product_id), 0) FROM m1) + row_number() OVER (ORDER BY product_src_id)
                        AS product_id
-              FROM (SELECT DISTINCT product_src_id FROM r2
-                    WHERE product_src_id NOT IN (SELECT product_src_id FROM m1))),
+              FROM (SELECT DISTINCT product_src_id FROM r2 ANTI JOIN m1 USING (product_src_id))),
   ids AS (SELECT product_src_id, min(product_id) AS product_id FROM m1 GROUP BY 1
           UNION ALL SELECT product_src_id, product_id FROM newkeys),
   h2 AS (SELECT r2.*, md5(concat_ws('|', product_src_id, product_name, manufacturer, subcategory_name,
                                     category_name, source_system, source_entity)) AS hash_value FROM r2),
   m2 AS (SELECT ids.product_id, h2.product_src_id, product_name, manufacturer, subcategory_name, category_name,
                 source_system, source_entity, hash_value, {B2} AS load_dt
-         FROM h2 JOIN ids ON h2.product_src_id = ids.product_src_id
-         WHERE hash_value NOT IN (SELECT hash_value FROM m1)),
+         FROM h2 ANTI JOIN m1 USING (hash_value) JOIN ids ON h2.product_src_id = ids.product_src_id),
   pmap AS (SELECT * FROM m1 UNION ALL SELECT * FROM m2)
 """
 
@@ -176,19 +175,24 @@ CUSTOMERS = f"""
 """
 
 
+def islands(name: str, high: str) -> str:
+    """SCD2 versions ``<name>_v`` of the feed ``<name>_e`` (k, ts, a, h)."""
+    return f"""{name}_d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, ts ORDER BY h DESC) AS r
+                              FROM {name}_e) WHERE r = 1),
+  {name}_l AS (SELECT *, lag(a) OVER (PARTITION BY k ORDER BY ts) AS pa FROM {name}_d),
+  {name}_s AS (SELECT k, a, ts AS start_dt FROM {name}_l WHERE pa IS NULL OR pa <> a),
+  {name}_n AS (SELECT *, lead(start_dt) OVER (PARTITION BY k ORDER BY start_dt) AS nx FROM {name}_s),
+  {name}_v AS (SELECT k, a, start_dt, CASE WHEN nx IS NULL THEN {high} ELSE nx - INTERVAL 1 MINUTE END AS end_dt,
+                      nx IS NULL AS is_active FROM {name}_n)"""
+
+
 def versions(name: str, cond: str) -> str:
     """Gaps-and-islands SCD2 versions of the employee feed (``events`` rows matching ``cond``)."""
     return f"""
   {name}_e AS (SELECT CAST(user_id AS VARCHAR) AS k, ts, {NA('event_type')} AS a,
                       md5({NA('event_type')}) AS h FROM events WHERE {cond}),
-  {name}_d AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, ts ORDER BY h DESC) AS r
-                              FROM {name}_e) WHERE r = 1),
-  {name}_l AS (SELECT *, lag(a) OVER (PARTITION BY k ORDER BY ts) AS pa FROM {name}_d),
-  {name}_s AS (SELECT k, a, ts AS start_dt FROM {name}_l WHERE pa IS NULL OR pa <> a),
-  {name}_n AS (SELECT *, lead(start_dt) OVER (PARTITION BY k ORDER BY start_dt) AS nx FROM {name}_s),
-  {name} AS (SELECT k AS employee_src_id, a AS event_type, start_dt,
-                    CASE WHEN nx IS NULL THEN {HIGH} ELSE nx - INTERVAL 1 MINUTE END AS end_dt,
-                    nx IS NULL AS is_active FROM {name}_n)"""
+  {islands(name, HIGH)},
+  {name} AS (SELECT k AS employee_src_id, a AS event_type, start_dt, end_dt, is_active FROM {name}_v)"""
 
 
 PIT = f"""
@@ -287,10 +291,14 @@ STAR = f"""
                    row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS customer_id FROM customer),
   dcus AS (SELECT CAST(customer_id AS VARCHAR) AS customer_src_id,
                   row_number() OVER (ORDER BY CAST(customer_id AS VARCHAR)) AS customer_surr_id FROM cecus),
+  demp_e AS (SELECT CAST(user_id % (SELECT count(*) FROM supplier) AS VARCHAR) AS k,
+                    TIMESTAMP '1995-01-01' + to_seconds(80 * date_diff('second', TIMESTAMP '2024-01-01', ts)) AS ts,
+                    {NA('s_name')} AS a, md5({NA('s_name')}) AS h
+             FROM events JOIN supplier ON s_suppkey = event_id * 7 % (SELECT count(*) FROM supplier)),
+  {islands('demp', HIGH)},
   demp AS (SELECT e.*, row_number() OVER (ORDER BY employee_src_id, start_dt) AS employee_surr_id
-           FROM (SELECT CAST(s_suppkey AS VARCHAR) AS employee_src_id, coalesce(l.location_surr_id, -1) AS location_id,
-                        {LOW} AS start_dt, {HIGH} AS end_dt, TRUE AS is_active
-                 FROM supplier LEFT JOIN dloc l ON {NA('s_name')} = l.address_name) e)
+           FROM (SELECT n.k AS employee_src_id, coalesce(l.location_surr_id, -1) AS location_id, start_dt, end_dt, is_active
+                 FROM demp_v n LEFT JOIN dloc l ON n.a = l.address_name) e)
 """
 
 
@@ -687,15 +695,17 @@ SELECT c_custkey, lower(c_mktsegment) || '.' || lower(c_name) || CAST(c_custkey
        || {PICK(prepare.EMAIL_DOMAINS, 'c_custkey')} AS email FROM customer
 """
 
-ORACLE_SQL["prep_periods"] = f"""
-WITH o AS (SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS ts FROM orders),
+PERIOD_GRID = f"""o AS (SELECT CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS ts FROM orders),
      b AS (SELECT min(ts) AS lo, max(ts) AS hi FROM o),
      ends AS (SELECT i, CAST(last_day(CAST(lo AS DATE) + to_months(CAST(3 * i AS INTEGER))) AS TIMESTAMP) AS e, hi
               FROM b, range(1, 400) AS r(i)),
      marks AS (SELECT lo AS t FROM b UNION ALL SELECT hi FROM b UNION ALL
                SELECT e + to_days(CAST({MD5IDX('57', 'i')} - 28 AS INTEGER)) FROM ends WHERE e <= hi),
      grid AS (SELECT CAST(row_number() OVER (ORDER BY t) - 1 AS INTEGER) AS period_no, t AS period_start,
-                     lead(t) OVER (ORDER BY t) AS period_end FROM marks),
+                     lead(t) OVER (ORDER BY t) AS period_end FROM marks)"""
+
+ORACLE_SQL["prep_periods"] = f"""
+WITH {PERIOD_GRID},
      per AS (SELECT o.ts, greatest((SELECT count(*) FROM marks WHERE t < o.ts) - 1, 0) AS period_no FROM (SELECT DISTINCT ts FROM o) o),
      n AS (SELECT period_no, count(*) AS n_orders FROM o JOIN per USING (ts) GROUP BY 1)
 SELECT grid.*, coalesce(n_orders, 0) AS n_orders FROM grid LEFT JOIN n USING (period_no) WHERE period_end IS NOT NULL
@@ -728,3 +738,268 @@ UNION ALL
 SELECT TIMESTAMP '2024-02-01 00:00:00', 'SP_3NF_LOAD_CE_SALES', 'BL_CL', 'ERROR LOADING CE_SALES', -1, -1, -1, 'XX000',
        'FIRST LINE' || chr(10) || 'SECOND LINE'
 """
+
+
+# ---- late SCD2 events: the event rule step by step ---------------------------------------------
+# One row of ``fold`` per key and step: the open version (o_*), how many stored versions have been
+# opened (p), and the version that this step closed for good (f_*).
+ORACLE_SQL["scd2_late_merge"] = f"""
+WITH RECURSIVE {versions('v', "coalesce(upper(trim(event_type)), 'N/A') <> 'PURCHASE'")},
+  ids AS (SELECT k, row_number() OVER (ORDER BY k) AS employee_id FROM (SELECT DISTINCT employee_src_id AS k FROM v)),
+  sv AS (SELECT employee_src_id AS k, event_type AS a, start_dt, end_dt, is_active,
+                row_number() OVER (PARTITION BY employee_src_id ORDER BY start_dt) AS i FROM v),
+  ev AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS k, ts AS t, 'PURCHASE' AS a FROM events WHERE {NA('event_type')} = 'PURCHASE'),
+  steps AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY t, i IS NULL) AS n
+            FROM (SELECT k, t, a, NULL AS i FROM ev
+                  UNION ALL SELECT k, start_dt, a, i FROM sv WHERE k IN (SELECT k FROM ev))),
+  todo AS (
+    SELECT s.k, s.n, s.t, s.a, s.i, x.start_dt AS own_start, x.end_dt AS own_end, x.is_active AS own_active
+    FROM steps s LEFT JOIN sv x ON s.k = x.k AND s.i = x.i),
+  fold AS (
+    SELECT k, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS p,
+           CAST(NULL AS TIMESTAMP) AS o_start, CAST(NULL AS TIMESTAMP) AS o_end, CAST(NULL AS VARCHAR) AS o_a, CAST(NULL AS BOOLEAN) AS o_active,
+           CAST(NULL AS TIMESTAMP) AS f_start, CAST(NULL AS TIMESTAMP) AS f_end, CAST(NULL AS VARCHAR) AS f_a, CAST(NULL AS BOOLEAN) AS f_active
+    FROM (SELECT DISTINCT k FROM ev)
+    UNION ALL
+    SELECT k, n, p,
+           CASE action WHEN 'none' THEN o_start WHEN 'replace' THEN o_start WHEN 'close' THEN NULL ELSE t END,
+           CASE action WHEN 'none' THEN o_end WHEN 'replace' THEN o_end WHEN 'close' THEN NULL WHEN 'own' THEN own_end WHEN 'move' THEN x_end
+                       WHEN 'insert' THEN coalesce(x_start - INTERVAL 1 MINUTE, {HIGH}) END,
+           CASE action WHEN 'none' THEN o_a WHEN 'close' THEN NULL ELSE a END,
+           CASE action WHEN 'none' THEN o_active WHEN 'replace' THEN o_active WHEN 'close' THEN NULL WHEN 'own' THEN own_active
+                       WHEN 'move' THEN x_active WHEN 'insert' THEN x_start IS NULL END,
+           CASE WHEN gives THEN o_start END, CASE WHEN gives THEN (CASE WHEN cuts THEN t - INTERVAL 1 MINUTE ELSE o_end END) END,
+           CASE WHEN gives THEN o_a END, CASE WHEN gives THEN (CASE WHEN cuts THEN FALSE ELSE o_active END) END
+    FROM (
+      SELECT k, n, CASE action WHEN 'own' THEN i WHEN 'move' THEN p + 1 ELSE p END AS p, o_start, o_end, o_a, o_active, t, a, action,
+             own_end, own_active, x_start, x_end, x_active,
+             action IN ('own', 'move', 'insert', 'close') AND o_start IS NOT NULL AS gives,
+             i IS NULL AND covered AS cuts
+      FROM (
+        SELECT *, CASE
+            WHEN i IS NOT NULL THEN CASE WHEN i <= p THEN 'none' ELSE 'own' END
+            WHEN o_start IS NOT NULL AND o_start = t THEN CASE WHEN o_a <> a AND md5(a) > md5(o_a) THEN 'replace' ELSE 'none' END
+            WHEN covered AND o_a = a THEN 'none'
+            WHEN x_a = a THEN 'move'
+            WHEN x_start - INTERVAL 1 MINUTE < t THEN CASE WHEN covered THEN 'close' ELSE 'none' END
+            ELSE 'insert' END AS action
+        FROM (
+          SELECT f.k, d.n, f.p, f.o_start, f.o_end, f.o_a, f.o_active, d.t, d.a, d.i, d.own_end, d.own_active,
+                 x.start_dt AS x_start, x.end_dt AS x_end, x.a AS x_a, x.is_active AS x_active,
+                 f.o_start IS NOT NULL AND f.o_end >= d.t AS covered
+          FROM fold f JOIN todo d ON d.k = f.k AND d.n = f.n + 1 LEFT JOIN sv x ON x.k = f.k AND x.i = f.p + 1))))
+SELECT ids.employee_id, r.k AS employee_src_id, r.a AS event_type, r.start_dt, r.end_dt, r.is_active FROM (
+  SELECT k, f_a AS a, f_start AS start_dt, f_end AS end_dt, f_active AS is_active FROM fold WHERE f_start IS NOT NULL
+  UNION ALL
+  SELECT k, o_a, o_start, o_end, o_active FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n DESC) AS r FROM fold) WHERE r = 1 AND o_start IS NOT NULL
+  UNION ALL
+  SELECT employee_src_id, event_type, start_dt, end_dt, is_active FROM v WHERE employee_src_id NOT IN (SELECT k FROM ev)) r
+LEFT JOIN ids ON ids.k = r.k
+"""
+
+
+# ---- the fact store ------------------------------------------------------------------------------
+
+LATE = "(card_type = 'R' AND event_dt >= TIMESTAMP '1997-01-01' AND event_dt < TIMESTAMP '1997-04-01')"
+FACT_COMPARE = ["quantity", "price", "cost", "discount", "total_amount"]
+
+
+def bare_fact(name: str, feed: str) -> str:
+    """Fact rows without dimension keys."""
+    return f"""
+  {name}_ch AS ({channel_sales(feed)}),
+  {name} AS (SELECT sale_src_id, CAST(event_dt AS DATE) AS date_id, CAST(hour(event_dt) * 60 + minute(event_dt) AS SMALLINT) AS time_id,
+                    quantity, price, CAST(quantity * price AS DECIMAL(10,2)) AS cost, discount, total_amount, 'BL_3NF' AS source_system,
+                    CAST(year(event_dt) * 100 + month(event_dt) AS INTEGER) AS month_id FROM {name}_ch)"""
+
+
+TWO_BATCH_FACT = f"""
+  {bare_fact('fa', f"(SELECT * FROM feed WHERE NOT coalesce({LATE}, FALSE))").strip()},
+  {bare_fact('fb', f"(SELECT * FROM feed WHERE {LATE})").strip()},
+  f1 AS (SELECT row_number() OVER (ORDER BY sale_src_id) AS sale_surr_id, * FROM fa),
+  chg AS (SELECT f1.sale_src_id FROM f1 JOIN fb ON f1.sale_src_id = fb.sale_src_id
+          WHERE {' OR '.join(f'f1.{c} <> fb.{c}' for c in FACT_COMPARE)}),
+  stored AS (
+    SELECT f1.sale_surr_id, f1.sale_src_id, f1.date_id, f1.time_id,
+           {', '.join(f'CASE WHEN chg.sale_src_id IS NULL THEN f1.{c} ELSE fb.{c} END AS {c}' for c in FACT_COMPARE)},
+           f1.source_system, {B1} AS insert_dt, CASE WHEN chg.sale_src_id IS NULL THEN {B1} ELSE {B2} END AS update_dt, f1.month_id
+    FROM f1 LEFT JOIN chg ON f1.sale_src_id = chg.sale_src_id LEFT JOIN fb ON chg.sale_src_id = fb.sale_src_id
+    UNION ALL
+    SELECT (SELECT coalesce(max(sale_surr_id), 0) FROM f1) + row_number() OVER (ORDER BY sale_src_id), sale_src_id, date_id, time_id,
+           {', '.join(FACT_COMPARE)}, source_system, {B2}, {B2}, month_id
+    FROM fb WHERE NOT EXISTS (SELECT 1 FROM f1 WHERE f1.sale_src_id = fb.sale_src_id))
+"""
+
+ORACLE_SQL["fact_store"] = f"WITH feed AS ({FEED}), {TWO_BATCH_FACT} SELECT * FROM stored"
+
+MONTH_START = "CAST(strptime(CAST(month_id AS VARCHAR) || '01', '%Y%m%d') AS DATE)"
+ORACLE_SQL["month_lifecycle"] = f"""
+WITH feed AS ({FEED}), {TWO_BATCH_FACT},
+     top AS (SELECT max(CAST(event_dt AS DATE)) AS d FROM feed),
+     late AS (SELECT DISTINCT month_id FROM fb)
+SELECT month_id, n_rows, CASE WHEN active THEN 'ACTIVE' ELSE 'ARCHIVED' END AS state,
+       CASE WHEN NOT active AND month_id IN (SELECT month_id FROM late) AND month_id IN (SELECT month_id FROM fa) THEN {B2} END AS returned_at
+FROM (SELECT month_id, count(*) AS n_rows, {MONTH_START} >= (SELECT d FROM top) - INTERVAL 3 MONTH AS active FROM stored GROUP BY month_id)
+"""
+
+ORACLE_SQL["stage_parts"] = f"""
+WITH feed AS ({FEED}),
+     seen AS (SELECT hash_value, transaction_id, event_dt,
+                     CASE WHEN event_dt < TIMESTAMP '1997-01-01' THEN 1 WHEN event_dt < TIMESTAMP '1999-01-01' THEN 2 ELSE 3 END AS load_no
+              FROM feed)
+SELECT hash_value, transaction_id, event_dt, load_no FROM (
+  SELECT *, row_number() OVER (PARTITION BY hash_value ORDER BY load_no, event_dt) AS rn FROM seen)
+WHERE rn = 1
+"""
+
+# ---- the roster -----------------------------------------------------------------------------------
+
+ORACLE_SQL["prep_roster"] = f"""
+WITH {PERIOD_GRID},
+     addr AS (SELECT nation, address, row_number() OVER (PARTITION BY nation ORDER BY address) - 1 AS no, count(*) OVER (PARTITION BY nation) AS n
+              FROM (SELECT DISTINCT s_nationkey AS nation, s_name AS address FROM supplier)),
+     sizes AS (SELECT DISTINCT nation, n FROM addr),
+     drawn AS (SELECT s_suppkey AS employee_id, s_nationkey AS nation, period_no, period_start, period_end,
+                      {MD5IDX('n', "s_suppkey || '|' || period_no")} AS k
+               FROM supplier CROSS JOIN (SELECT * FROM grid WHERE period_end IS NOT NULL) JOIN sizes ON nation = s_nationkey)
+SELECT d.employee_id, d.period_no, d.period_start, d.period_end, a.address, count(*) OVER (PARTITION BY d.employee_id) AS n_periods,
+       count(*) OVER (PARTITION BY d.employee_id) - 1 AS n_shared_bounds, CAST(0 AS BIGINT) AS n_broken
+FROM drawn d JOIN addr a ON a.nation = d.nation AND a.no = d.k
+"""
+
+
+# ---- whole loads -----------------------------------------------------------------------------------
+
+_COLUMNS = {
+    "transaction_id": "l_orderkey || '-' || l_linenumber",
+    "customer_id": "CASE WHEN o_custkey % 50 <> 0 THEN 'c' || o_custkey END",
+    "customer_first_name": "c_mktsegment", "customer_last_name": "c_name",
+    "customer_email": "CASE WHEN o_custkey % 7 <> 0 THEN 'c' || o_custkey || '@example.org' END",
+    "customer_age": "CAST(18 + o_custkey % 60 AS VARCHAR)",
+    "customer_gender": "CASE WHEN o_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END",
+    "product_id": "'p' || l_partkey", "product_name": "p_name", "price": "CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS VARCHAR)",
+    "product_manufacturer": "p_brand", "product_category": "p_type", "product_subcategory": "'size ' || p_size",
+    "purchase_region": "r_name", "purchase_country": "n_name", "purchase_city": "'city ' || (s_suppkey % 5)", "purchase_address": "s_name",
+    "employee_id": "'e' || l_suppkey", "employee_first_name": "'Emp'", "employee_last_name": "CAST(l_suppkey AS VARCHAR)",
+    "employee_email": "CAST(NULL AS VARCHAR)",
+    "quantity": "CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)", "discount": "CAST(CAST(l_discount AS DECIMAL(3,2)) AS VARCHAR)",
+    "total_amount": "CAST(CAST(CAST(l_extendedprice AS DECIMAL(10,2)) * (1 - CAST(l_discount AS DECIMAL(3,2))) AS DECIMAL(10,2)) AS VARCHAR)",
+    "payment_method": "' ' || o_orderpriority", "card_type": "CASE WHEN l_returnflag <> 'N' THEN l_returnflag END",
+    "verification_method": "l_linestatus", "device_type": "CASE WHEN p_size % 5 <> 0 THEN 'Phone' END",
+    "browser_used": "CASE WHEN l_linenumber % 3 <> 0 THEN 'browser ' || l_linenumber END",
+}
+
+
+def _hashed(columns) -> str:
+    return "concat_ws('|', " + ", ".join(c for c in columns if c != "timestamp") + ")"
+
+
+LOADS = f"""
+  raw AS (
+    SELECT {', '.join(f'{e} AS {c}' for c, e in _COLUMNS.items())},
+           l_shipdate + to_minutes(CAST(l_partkey % 1440 AS INTEGER)) AS ts, l_orderkey % 2 = 0 AS online, l_shipdate < {CUTOFF} AS first
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN customer ON o_custkey = c_custkey
+    JOIN supplier ON s_suppkey = (l_suppkey * 3 + year(l_shipdate)) % (SELECT count(*) FROM supplier)
+    JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+  marked AS (SELECT *, CASE WHEN online THEN {_hashed(ONLINE_COLUMNS)} ELSE {_hashed(OFFLINE_COLUMNS)} END AS fp FROM raw),
+  s1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY online, fp ORDER BY ts) AS r FROM marked WHERE first) WHERE r = 1),
+  s2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY online, fp ORDER BY ts) AS r FROM marked m
+                        WHERE NOT EXISTS (SELECT 1 FROM s1 WHERE s1.online = m.online AND s1.fp = m.fp)) WHERE r = 1),
+  src AS (SELECT *, 1 AS batch FROM s1 UNION ALL SELECT *, 2 FROM s2),
+  moves AS (SELECT upper(trim(employee_id)) AS k, ts, purchase_address AS a, * FROM src WHERE NOT online),
+  turns AS (SELECT *, lag(a) OVER (PARTITION BY k ORDER BY ts) AS pa FROM (SELECT DISTINCT k, ts, a, {', '.join(
+      f"upper(trim({c})) AS {n}" for c, n in (("purchase_address", "address_name"), ("purchase_city", "city_name"),
+                                              ("purchase_country", "country_name"), ("purchase_region", "region_name")))}, batch FROM moves)),
+  emp AS (SELECT k, ts AS start_dt, address_name, city_name, country_name, region_name, batch,
+                 coalesce(lead(ts) OVER (PARTITION BY k ORDER BY ts) - INTERVAL 1 MINUTE, {HIGH}) AS end_dt
+          FROM turns WHERE pa IS NULL OR pa <> a),
+  sales AS (
+    SELECT batch, upper(trim(transaction_id)) AS transaction_id, ts, {', '.join(f'{e} AS {c}' for c, e in {
+        "customer": f"CASE WHEN online THEN {NA('customer_id')} ELSE 'N/A' END", "product": NA("product_id"),
+        "employee": f"CASE WHEN online THEN 'N/A' ELSE {NA('employee_id')} END",
+        "payment_method_name": NA("payment_method"), "card_type_name": NA("card_type"), "verification_method": NA("verification_method"),
+        "device_type": f"CASE WHEN online AND device_type IS NOT NULL AND browser_used IS NOT NULL THEN {NA('device_type')} ELSE 'N/A' END",
+        "browser_used": f"CASE WHEN online AND device_type IS NOT NULL AND browser_used IS NOT NULL THEN {NA('browser_used')} ELSE 'N/A' END",
+        "quantity": "CAST(quantity AS SMALLINT)", "price": "CAST(price AS DECIMAL(10,2))", "discount": "CAST(discount AS DECIMAL(3,2))",
+        "total_amount": "CAST(total_amount AS DECIMAL(10,2))"}.items())}
+    FROM (SELECT *, row_number() OVER (PARTITION BY batch, online, upper(trim(transaction_id)) ORDER BY ts DESC, md5(fp) DESC) AS r2 FROM src)
+    WHERE r2 = 1)
+"""
+_VALUES = ["customer", "product", "employee", "payment_method_name", "card_type_name", "verification_method", "device_type", "browser_used",
+           "quantity", "price", "discount", "total_amount"]
+
+ORACLE_SQL["warehouse_run"] = f"""
+WITH {LOADS},
+  b1 AS (SELECT * FROM sales WHERE batch = 1), b2 AS (SELECT * FROM sales WHERE batch = 2),
+  stored AS (
+    SELECT b1.transaction_id, b1.ts, changed, {', '.join(f'CASE WHEN changed THEN b2.{c} ELSE b1.{c} END AS {c}' for c in _VALUES)},
+           {B1} AS insert_dt, CASE WHEN changed THEN {B2} ELSE {B1} END AS update_dt
+    FROM (SELECT b1.transaction_id, coalesce({' OR '.join(f'b1.{c} <> b2.{c}' for c in _VALUES)}, FALSE) AS changed
+          FROM b1 LEFT JOIN b2 USING (transaction_id)) c
+    JOIN b1 USING (transaction_id) LEFT JOIN b2 USING (transaction_id)
+    UNION ALL
+    SELECT transaction_id, ts, FALSE, {', '.join(_VALUES)}, {B2}, {B2} FROM b2
+    WHERE NOT EXISTS (SELECT 1 FROM b1 WHERE b1.transaction_id = b2.transaction_id)),
+  facts AS (SELECT *, CAST(ts AS DATE) AS date_id, CAST(year(ts) * 100 + month(ts) AS INTEGER) AS month_id FROM stored),
+  goods AS (SELECT DISTINCT {NA('product_id')} AS product, {NA('product_subcategory')} AS product_subcategory_name,
+                   {NA('product_category')} AS product_category_name FROM raw),
+  buyers AS (SELECT DISTINCT {NA('customer_id')} AS customer, CAST(customer_age AS SMALLINT) AS age FROM raw WHERE customer_id IS NOT NULL)
+SELECT f.transaction_id, f.date_id, CAST(hour(f.ts) * 60 + minute(f.ts) AS SMALLINT) AS time_id, f.customer, f.product,
+       g.product_subcategory_name, g.product_category_name, CASE WHEN e.k IS NULL THEN 'N/A' ELSE f.employee END AS employee,
+       {', '.join(f"coalesce(e.{c}, 'N/A') AS {c}" for c in ('address_name', 'city_name', 'country_name', 'region_name'))},
+       f.payment_method_name, f.card_type_name,
+       CASE WHEN f.card_type_name = 'N/A' THEN 'N/A' ELSE f.verification_method END AS verification_method,  -- of the unknown card type
+       f.device_type, f.browser_used,
+       CAST(coalesce(b.age, -1) AS SMALLINT) AS customer_age, coalesce(e.start_dt, {LOW}) AS start_dt, coalesce(e.end_dt, {HIGH}) AS end_dt,
+       f.quantity, f.price, CAST(f.quantity * f.price AS DECIMAL(10,2)) AS cost, f.discount, f.total_amount, f.insert_dt, f.update_dt, f.month_id,
+       CASE WHEN {MONTH_START} >= (SELECT max(date_id) FROM facts) - INTERVAL 3 MONTH THEN 'ACTIVE' ELSE 'ARCHIVED' END AS state
+FROM facts f LEFT JOIN emp e ON f.employee = e.k AND f.ts BETWEEN e.start_dt AND e.end_dt
+LEFT JOIN goods g ON g.product = f.product LEFT JOIN buyers b ON b.customer = f.customer
+"""
+
+_STEP_COUNTS = {  # step -> SQL of its rows in the first load (all of them are inserted)
+    "SP_SA_ONLINE_LOAD_SRC_ONLINE_RETAIL_SALES": "SELECT count(*) FROM marked WHERE first AND online",
+    "SP_SA_OFFLINE_LOAD_SRC_OFFLINE_RETAIL_SALES": "SELECT count(*) FROM marked WHERE first AND NOT online",
+}
+
+
+def _distinct(*columns: str, rows: str = "s1", where: str = "TRUE") -> str:
+    return f"SELECT count(*) FROM (SELECT DISTINCT {', '.join(columns)} FROM {rows} WHERE {where})"
+
+
+for _step, _columns, _where in (
+        ("T_MAP_PRODUCT_CATEGORIES", ("product_category",), "TRUE"),
+        ("T_MAP_PRODUCT_SUBCATEGORIES", ("product_subcategory", "product_category"), "TRUE"), ("T_MAP_PRODUCTS", ("product_id",), "TRUE"),
+        ("T_MAP_PAYMENT_METHODS", ("payment_method",), "TRUE"),
+        ("T_MAP_CARD_TYPES", ("card_type", "verification_method"), "card_type IS NOT NULL"),
+        ("T_MAP_PAYMENT_DETAILS", ("payment_method", "card_type", "verification_method"), "TRUE")):
+    _STEP_COUNTS[f"SP_CL_LOAD_{_step}"] = _distinct("online", *_columns, where=_where)
+    _STEP_COUNTS[f"SP_3NF_LOAD_{_step.replace('T_MAP', 'CE')}"] = _distinct(*_columns, where=_where)
+for _name, _columns, _where in (
+        ("CUSTOMERS", ("customer_id",), "online AND customer_id IS NOT NULL"), ("REGIONS", ("purchase_region",), "NOT online"),
+        ("COUNTRIES", ("purchase_country",), "NOT online"), ("CITIES", ("purchase_city", "purchase_country"), "NOT online"),
+        ("ADDRESSES", ("purchase_address", "purchase_city", "purchase_country"), "NOT online"),
+        ("DEVICES", ("concat_ws('|', device_type, browser_used)",), "online AND coalesce(device_type, browser_used) IS NOT NULL")):
+    _STEP_COUNTS[f"SP_3NF_LOAD_CE_{_name}"] = _distinct(*_columns, where=_where)
+for _dim, _entity in (("CUSTOMERS", "CUSTOMERS"), ("PRODUCTS", "PRODUCTS"), ("LOCATIONS", "ADDRESSES"), ("PAYMENT_DETAILS", "PAYMENT_DETAILS"), ("DEVICES", "DEVICES")):
+    _STEP_COUNTS[f"SP_DM_LOAD_DIM_{_dim}"] = _STEP_COUNTS[f"SP_3NF_LOAD_CE_{_entity}"]
+_VERSIONS1 = f"""SELECT count(*) FROM (SELECT a, lag(a) OVER (PARTITION BY k ORDER BY ts) AS pa FROM (SELECT DISTINCT k, ts, a FROM moves WHERE batch = 1)) WHERE pa IS NULL OR pa <> a"""
+_STEP_COUNTS["SP_DM_LOAD_DIM_EMPLOYEES_SCD"] = _VERSIONS1
+_STEP_COUNTS["SP_DM_LOAD_DIM_DATES"] = "SELECT date_diff('day', DATE '1995-01-01', DATE '2001-12-31') + 1"
+_STEP_COUNTS["SP_DM_LOAD_DIM_TIMES"] = "SELECT 1440"
+_STEP_COUNTS["SP_3NF_LOAD_CE_SALES"] = _STEP_COUNTS["SP_DM_LOAD_FCT_SALES"] = "SELECT count(*) FROM sales WHERE batch = 1"
+_INSERTED = {
+    "SP_SA_ONLINE_LOAD_SRC_ONLINE_RETAIL_SALES": "SELECT count(*) FROM s1 WHERE online",
+    "SP_SA_OFFLINE_LOAD_SRC_OFFLINE_RETAIL_SALES": "SELECT count(*) FROM s1 WHERE NOT online",
+    "SP_3NF_LOAD_CE_EMPLOYEES_SCD": _VERSIONS1,
+}
+_STEP_COUNTS["SP_3NF_LOAD_CE_EMPLOYEES_SCD"] = "SELECT count(*) FROM s1 WHERE NOT online"
+_DEFAULTS = [f"SP_3NF_LOAD_CE_{x}_DEFAULT" for x in ("CUSTOMERS", "PRODUCT_CATEGORIES", "PRODUCT_SUBCATEGORIES", "PRODUCTS", "REGIONS", "COUNTRIES", "CITIES",
+                                                    "ADDRESSES", "EMPLOYEES_SCD", "PAYMENT_METHODS", "CARD_TYPES", "PAYMENT_DETAILS", "DEVICES")]
+_DEFAULTS += [f"SP_DM_LOAD_DIM_{x}_DEFAULT" for x in ("CUSTOMERS", "PRODUCTS", "LOCATIONS", "EMPLOYEES_SCD", "PAYMENT_DETAILS", "DEVICES")]
+_OK = f"{B1} AS execution_dt, '{{}}' AS procedure_name, 'LOAD PERFORMED SUCCESSFULLY' AS log_message"
+ORACLE_SQL["warehouse_resume"] = f"WITH {LOADS}\n" + "\nUNION ALL ".join(
+    [f"SELECT {_OK.format(s)}, CAST(({n}) AS BIGINT) AS rows_processed, CAST(({_INSERTED.get(s, n)}) AS BIGINT) AS rows_inserted, "
+     "CAST(0 AS BIGINT) AS rows_updated, 'N/A' AS error_code, 'N/A' AS error_message" for s, n in _STEP_COUNTS.items()]
+    + [f"SELECT {_OK.format(s)}, 1, 1, 0, 'N/A', 'N/A'" for s in _DEFAULTS]
+    + [f"SELECT {B1}, 'SP_3NF_LOAD_CE_SALES', 'ERROR LOADING CE_SALES', -1, -1, -1, 'XX000', 'LOST CONNECTION'"])

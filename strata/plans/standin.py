@@ -13,6 +13,9 @@ Role mapping (who plays what):
 * location hierarchy  ``supplier`` (address) > ``nation`` (city) > ``region`` (country)
 * payment detail      ``o_orderpriority`` (method) | ``l_returnflag`` (card) | ``l_linestatus``
 * employee SCD2 feed  ``events``: ``user_id`` is the employee, ``event_type`` the tracked attribute
+* employee moves      ``events`` again, for the star: the user, counted round the suppliers, works at the
+                      address of a supplier given by the event's number, from the event's place in the
+                      years of the sales on (``employee_moves``)
 """
 
 from __future__ import annotations
@@ -134,20 +137,31 @@ def staged(spark: SparkSession, sf_dir: str):
     return r1, r2
 
 
-def channel_sales(feed: DataFrame) -> DataFrame:
-    """CE_SALES source: per channel the latest record of each transaction, standardised and
-    padded to the common layout. Both channels are one pass: the channel is part of the key."""
-    ch = latest_by(feed, ["source_system", std("transaction_id")], by_recency())
-    online = F.col("source_system") == "SA_ONLINE"
+def channel_columns(online) -> list:
+    """The common layout of a sale; ``online`` tells the channel of a row (or of all rows, as a literal)."""
     none = F.lit("N/A")
-    return ch.select(
+    return [
         std("transaction_id").alias("sale_src_id"), "event_dt",
         F.when(online, na("customer_id")).otherwise(none).alias("customer_id"),
         na("product_id").alias("product_id"),
         F.when(online, none).otherwise(na("employee_id")).alias("employee_id"),
         na("payment_method").alias("payment_method"), na("card_type").alias("card_type"),
         na("verification_method").alias("verification_method"),
-        "quantity", "price", "discount", "total_amount", "source_system", F.lit(SRC_ENTITY).alias("source_entity"))
+        "quantity", "price", "discount", "total_amount", "source_system", F.lit(SRC_ENTITY).alias("source_entity")]
+
+
+def channel_sales(feed: DataFrame) -> DataFrame:
+    """CE_SALES source: per channel the latest record of each transaction, standardised and
+    padded to the common layout. Both channels are one pass: the channel is part of the key."""
+    ch = latest_by(feed, ["source_system", std("transaction_id")], by_recency())
+    return ch.select(*channel_columns(F.col("source_system") == "SA_ONLINE"))
+
+
+def union_of_channels(online: DataFrame, offline: DataFrame) -> DataFrame:
+    """The same from two feeds, each ranked and padded by itself and then unioned."""
+    def channel(feed: DataFrame, is_online: bool) -> DataFrame:
+        return latest_by(feed, [std("transaction_id")], by_recency()).select(*channel_columns(F.lit(is_online)))
+    return channel(online, True).unionByName(channel(offline, False))
 
 
 def product_records(feed: DataFrame, part: DataFrame) -> DataFrame:
@@ -165,7 +179,7 @@ MAP_COLS = ["product_id", "product_src_id", "product_name", "manufacturer", "sub
 
 def product_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    feed = sales_feed(spark, sf_dir)
+    feed = stage(sales_feed(spark, sf_dir).select("product_id", "source_system", "event_dt", "hash_value"), "map-feed")
     attrs = ["product_name", "manufacturer", "subcategory_name", "category_name"]
     rec1 = product_records(batch1(feed), t.part)
     empty = spark.createDataFrame([], "product_id long, product_src_id string, product_name string, "
@@ -218,6 +232,22 @@ def employee_versions(spark: SparkSession, sf_dir: str, *, exclude_type: str | N
     return versions_from_events(ev, "employee_src_id", "ts", ["event_type"])
 
 
+MOVES_FROM, MOVES_TO, MOVES_PACE = "2024-01-01 00:00:00", "1995-01-01 00:00:00", 80
+
+
+def employee_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(employee_src_id, ts, address_name): every event moves an employee to a supplier's address. The
+    thirty days of the events are stretched to the years of the sales."""
+    t = Tables(spark, sf_dir)
+    n = max(t.supplier.count(), 1)
+    seconds = F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ '{MOVES_FROM}', ts)")
+    moved = t.events.select((F.col("user_id") % n).cast("string").alias("employee_src_id"), seconds.alias("_s"),
+                            (F.col("event_id") * 7 % n).alias("_place"))
+    moved = moved.withColumn("ts", F.expr(f"timestampadd(SECOND, _s * {MOVES_PACE}, TIMESTAMP_NTZ '{MOVES_TO}')"))
+    place = t.supplier.select(F.col("s_suppkey").alias("_place"), na("s_name").alias("address_name"))
+    return moved.join(place, "_place").select("employee_src_id", "ts", "address_name")
+
+
 # ---- hierarchies (CE entities, then denormalised DIM rows) ----------------------------------
 
 def _ids(df: DataFrame, key: str, id_col: str) -> DataFrame:
@@ -402,16 +432,12 @@ class Star:
 
     @property
     def dim_employees(self) -> DataFrame:
-        """Suppliers play employees with one open version each, located at their own address."""
+        """Employees (named like suppliers) with one version per move, located at the address they moved to."""
         def build():
-            emp = self.t.supplier.select(F.col("s_suppkey").cast("string").alias("employee_src_id"),
-                                         na("s_name").alias("_addr"))
-            emp = lookup(emp, self.dim_locations, "_addr", "address_name", "location_surr_id",
-                         "location_id").drop("_addr")
-            emp = (emp.withColumn("start_dt", low_ts()).withColumn("end_dt", high_ts())
-                   .withColumn("is_active", F.lit(True)))
-            return assign_keys(emp, ["employee_src_id", "start_dt"], "employee_surr_id")
-        return self.keep("dim_employees", build)
+            emp = versions_from_events(employee_moves(self.spark, self.sf_dir), "employee_src_id", "ts", ["address_name"], bucket="month")
+            emp = lookup(emp, self.dim_locations, "address_name", "address_name", "location_surr_id", "location_id")
+            return assign_keys(emp.drop("address_name"), ["employee_src_id", "start_dt"], "employee_surr_id")
+        return self.keep("dim_employees", build, write=True)
 
     def fact_rows(self, feed: DataFrame, keys: tuple[str, ...] = ("product", "customer", "payment", "employee")) -> DataFrame:
         """FN_DM_TRANSFORM_SALES on the stand-ins: date/time split, cost, six dimension keys (or only
@@ -454,19 +480,19 @@ class Star:
     def _employee_key(self, sales: DataFrame) -> DataFrame:
         sales = point_in_time_join(sales, self.dim_employees, fact_key="employee_id", fact_ts="event_dt",
                                    version_key="employee_src_id", take=["location_id"],
-                                   id_col="employee_surr_id", out_id="employee_surr_id")
+                                   id_col="employee_surr_id", out_id="employee_surr_id", bucket_months=True)
         return lookup(sales, self.dim_locations, "v_location_id", "location_surr_id", "location_surr_id",
                       "location_surr_id")
 
-    def fact_merged(self):
+    def fact_merged(self, keys: tuple[str, ...] = ("product", "customer", "payment", "employee")):
         """Fact after batch 1, then the batch-2 fact rows merged into it."""
         def first():
-            f = assign_keys(self.fact_rows(batch1(self.feed)), ["sale_src_id"], "sale_surr_id")
+            f = assign_keys(self.fact_rows(batch1(self.feed), keys), ["sale_src_id"], "sale_surr_id")
             f = f.select("sale_surr_id", *[c for c in f.columns if c != "sale_surr_id"],
                          ts_lit(BATCH1_TS).alias("insert_dt"), ts_lit(BATCH1_TS).alias("update_dt"))
             return partitions.with_month(f)
         target = self.keep("fct_batch1", first, write=True)
-        source = self.keep("fct_source2", lambda: partitions.with_month(self.fact_rows(self.feed)), write=True)
+        source = self.keep("fct_source2", lambda: partitions.with_month(self.fact_rows(self.feed, keys)), write=True)
         return merge_fact(target, source, "sale_src_id", FACT_COMPARE, BATCH2_TS, id_col="sale_surr_id")
 
 
