@@ -22,6 +22,7 @@ from strata.llm import rolling
 from strata.llm.common import map_arrow, stage
 
 CHUNK_BYTES = 2 << 20
+TASK_CHUNKS = 2  # chunks whose bodies, or whose share of the parts, a task reads on average
 SCHEMA = "chunk long, n_bytes long, body binary"
 _IPC = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
 
@@ -86,6 +87,11 @@ def unsqueeze(blob: bytes, dtype) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(dtype.itemsize, -1).T).reshape(-1).view(dtype)
 
 
+def tasks_for(chunks: DataFrame) -> int:
+    """Tasks among which what is known about all chunks is dealt: their load stays the same at any size."""
+    return max(1, -(-chunks.count() // TASK_CHUNKS))
+
+
 def found_per_chunk(found: DataFrame, name: str) -> DataFrame:
     """(chunk, found: array of (part, blob)): what was found out about each chunk. A chunk gets at
     most one row from each part, so a list is bounded by the number of parts."""
@@ -98,7 +104,9 @@ def map_chunks(chunks: DataFrame, work: Callable[[int, pa.RecordBatch, list], It
     if found is None:
         rows = chunks.select("chunk", "body")
     else:
-        rows = chunks.select("chunk", "body").join(found_per_chunk(found, "found"), "chunk", "left")
+        n = tasks_for(chunks)
+        rows = chunks.select("chunk", "body").repartition(n, "chunk")
+        rows = rows.join(found_per_chunk(found.repartition(n, "chunk"), "found"), "chunk", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,8 +119,10 @@ def map_chunks(chunks: DataFrame, work: Callable[[int, pa.RecordBatch, list], It
     return map_arrow(rows, run, schema)
 
 
-def merge_parts(found: DataFrame, work: Callable[[list[int], list[bytes]], Iterator[tuple[int, bytes]]]) -> DataFrame:
-    """Per part: ``work(part, chunks, blobs)`` yields (chunk, blob) answers -> (chunk, part, blob)."""
+def merge_parts(found: DataFrame, work: Callable[[list[int], list[bytes]], Iterator[tuple[int, bytes]]],
+                tasks: int) -> DataFrame:
+    """Per part: ``work(part, chunks, blobs)`` yields (chunk, blob) answers -> (chunk, part, blob). The parts
+    are dealt to ``tasks`` tasks."""
     def run(part_table: pa.Table) -> pa.Table:
         part = part_table.column("part")[0].as_py()
         answers = list(work(part, part_table.column("chunk").to_pylist(), part_table.column("blob").to_pylist()))
@@ -120,7 +130,7 @@ def merge_parts(found: DataFrame, work: Callable[[list[int], list[bytes]], Itera
                          "part": pa.array([part] * len(answers), pa.int64()),
                          "blob": pa.array([b for _, b in answers], pa.binary())})
 
-    return found.groupBy("part").applyInArrow(run, "chunk long, part long, blob binary")
+    return found.repartition(tasks, "part").groupBy("part").applyInArrow(run, "chunk long, part long, blob binary")
 
 
 def blob_rows(chunk: int, parts: np.ndarray, blobs: list[bytes]) -> pa.RecordBatch:

@@ -9,7 +9,7 @@ Three passes over written chunks of text:
    a bounded array in one task, and no task or driver holds the whole sketch.
 2. A sketch never undercounts, so only windows whose cells are all repeated can repeat. Each chunk
    keeps the earliest start of such a window and removes the later ones; one entry per window and
-   chunk goes to a part chosen by its hash, where windows are grouped by 96-bit hash and all but the
+   chunk goes to a part chosen by its hash, where windows are grouped by 96-bit hash (its steps mix, see ``rolling``) and all but the
    earliest start are sent back. A window in a third of all documents costs one entry per chunk.
 3. Each chunk drops the words that removed windows cover.
 
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.chunks import BLOBS, blob_rows, body_of, chunked, map_chunks, merge_parts, squeeze, unsqueeze
+from strata.llm.chunks import BLOBS, blob_rows, body_of, chunked, map_chunks, merge_parts, squeeze, tasks_for, unsqueeze
 from strata.llm.rolling import window_hashes, windows, word_hashes, words
 
 WINDOW = 20
@@ -77,7 +77,7 @@ def _sketch(chunks: DataFrame, text: str, length: int, width: int, part: int) ->
     return map_chunks(chunks, work, BLOBS)
 
 
-def _repeated_cells(sketches: DataFrame, part: int) -> DataFrame:
+def _repeated_cells(sketches: DataFrame, part: int, tasks: int) -> DataFrame:
     """(chunk, part, blob): the cells of each chunk that hold two windows or more in the whole corpus."""
     def work(_: int, chunk_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
         merged = np.zeros(1 << part, dtype=np.uint8)  # counts up to 2 are all that is asked of them
@@ -91,7 +91,7 @@ def _repeated_cells(sketches: DataFrame, part: int) -> DataFrame:
             if len(cells):
                 yield chunk, squeeze(np.diff(cells, prepend=np.uint32(0)))
 
-    return merge_parts(sketches, work)
+    return merge_parts(sketches, work, tasks)
 
 
 def _member(values: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
@@ -186,7 +186,7 @@ def _candidates(chunks: DataFrame, repeated: DataFrame, key: str, text: str, len
 
 
 
-def _removed(candidates: DataFrame) -> DataFrame:
+def _removed(candidates: DataFrame, tasks: int) -> DataFrame:
     """(chunk, part, blob): the places in each chunk whose window starts earlier somewhere."""
     def work(part: int, chunk_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
         if part < 0:
@@ -198,7 +198,7 @@ def _removed(candidates: DataFrame) -> DataFrame:
             if which.any():
                 yield chunk, _squeeze_places(e[which])
 
-    return merge_parts(candidates, work)
+    return merge_parts(candidates, work, tasks)
 
 
 def _kept(chunks: DataFrame, removed: DataFrame, text: str, length: int, columns: list[str], schema: T.StructType) -> DataFrame:
@@ -237,8 +237,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
     n_bytes = int(chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0])
     width, part = sketch_shape(n_bytes)
     log_parts = max(4, (n_bytes // PART_BYTES).bit_length())
-    repeated = _repeated_cells(_sketch(chunks, text, length, width, part), part)
-    removed = _removed(_candidates(chunks, repeated, key, text, length, width, part, log_parts))
+    tasks = tasks_for(chunks)
+    repeated = _repeated_cells(_sketch(chunks, text, length, width, part), part, tasks)
+    removed = _removed(_candidates(chunks, repeated, key, text, length, width, part, log_parts), tasks)
     schema = T.StructType([*docs.schema.fields, T.StructField("_d_words", T.LongType()),
                            T.StructField("_d_removed", T.LongType()), T.StructField("_d_kept", T.StringType())])
     return _kept(chunks, removed, text, length, docs.columns, schema)

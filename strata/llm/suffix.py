@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.chunks import BLOBS, blob_rows, body_of, chunked, map_chunks, merge_parts, squeeze, unsqueeze
+from strata.llm.chunks import BLOBS, blob_rows, body_of, chunked, map_chunks, merge_parts, squeeze, tasks_for, unsqueeze
 from strata.llm.common import stage
 from strata.llm.rolling import BASES, all_windows, byte_values, mix, powers, sliding, spans
 from strata.llm.suffix_sort import as_tokens, common_prefix, multikey_sort
@@ -128,7 +128,7 @@ def _anchor_lists(chunks: DataFrame, text: str, length: int, log_parts: int, rat
     return map_chunks(chunks, work, BLOBS)
 
 
-def _repeated_anchors(lists: DataFrame) -> DataFrame:
+def _repeated_anchors(lists: DataFrame, tasks: int) -> DataFrame:
     """(chunk, part, blob): which of each chunk's sorted hashes occur twice or more in the corpus, as bits."""
     def work(_: int, chunk_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
         hashes, many = [], []
@@ -146,7 +146,7 @@ def _repeated_anchors(lists: DataFrame) -> DataFrame:
         for chunk, own in zip(chunk_ids, np.split(twice, np.cumsum([len(h) for h in hashes])[:-1]), strict=True):
             yield chunk, np.packbits(own).tobytes()
 
-    return merge_parts(lists, work)
+    return merge_parts(lists, work, tasks)
 
 
 def splitters(keys: list[bytes], buckets: int, half: int) -> tuple[list[bytes], set[bytes]]:
@@ -348,7 +348,7 @@ class _Bucket:
 _WINDOW = np.dtype([("x", "<u8"), ("y", "<u8"), ("chunk", "<i8"), ("start", "<u4")])
 
 
-def _solve_buckets(rows: DataFrame, length: int, cut: set[bytes], log_parts: int) -> DataFrame:
+def _solve_buckets(rows: DataFrame, length: int, cut: set[bytes], log_parts: int, tasks: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         if table.column("part")[0].as_py() < 0:
             return table.select(["chunk", "part", "blob"])  # spans that their chunk has settled
@@ -357,10 +357,10 @@ def _solve_buckets(rows: DataFrame, length: int, cut: set[bytes], log_parts: int
         return pa.table({"chunk": pa.array([x[0] for x in out], pa.int64()), "part": pa.array([x[1] for x in out], pa.int64()),
                          "blob": pa.array([x[2] for x in out], pa.binary())})
 
-    return rows.groupBy("part").applyInArrow(run, BLOBS)
+    return rows.repartition(tasks, "part").groupBy("part").applyInArrow(run, BLOBS)
 
 
-def _across(solved: DataFrame, length: int) -> DataFrame:
+def _across(solved: DataFrame, length: int, tasks: int) -> DataFrame:
     """All repeated spans: settled ones as they are, and those of windows found in two buckets."""
     def work(part: int, chunk_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
         if part < 0:
@@ -378,7 +378,7 @@ def _across(solved: DataFrame, length: int) -> DataFrame:
             own = start[twice & (chunk == c)].astype(np.int64)
             yield c, _squeeze_spans(own, own + length)
 
-    return merge_parts(solved, work)
+    return merge_parts(solved, work, tasks)
 
 
 def _kept(chunks: DataFrame, removed: DataFrame, text: str, columns: list[str], schema: T.StructType) -> DataFrame:
@@ -419,9 +419,10 @@ def dedup(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFram
     lists = stage(_anchor_lists(chunks, text, length, log_parts, rate), "anchors")
     sample = lists.filter(F.col("part") == _SAMPLE).select("blob").collect()  # about MOST_SAMPLES at most
     split, cut = splitters([bytes(r["blob"]) for r in sample], buckets, length // 2)
-    repeated = _repeated_anchors(lists.filter(F.col("part") != _SAMPLE))
+    tasks = tasks_for(chunks)
+    repeated = _repeated_anchors(lists.filter(F.col("part") != _SAMPLE), tasks)
     suffixes = _suffixes(chunks, repeated, text, length, log_parts, split)
-    removed = _across(_solve_buckets(suffixes, length, cut, log_parts), length)
+    removed = _across(_solve_buckets(suffixes, length, cut, log_parts, tasks), length, tasks)
     schema = T.StructType([*docs.schema.fields, T.StructField("_x_bytes", T.LongType()), T.StructField("_x_removed", T.LongType()),
                            T.StructField("_x_spans", T.LongType()), T.StructField("_x_kept", T.BinaryType())])
     return _kept(chunks, removed, text, docs.columns, schema)
