@@ -516,6 +516,7 @@ QUERIES: dict[str, Query] = {
     "stage_parts": whole_run.stage_parts,
     "fact_store": whole_run.fact_store,
     "month_lifecycle": whole_run.month_lifecycle,
+    "prep_files": whole_run.prep_files,
     "warehouse_run": whole_run.warehouse_run,
     "warehouse_resume": whole_run.warehouse_resume,
 }

@@ -1003,3 +1003,28 @@ ORACLE_SQL["warehouse_resume"] = f"WITH {LOADS}\n" + "\nUNION ALL ".join(
      "CAST(0 AS BIGINT) AS rows_updated, 'N/A' AS error_code, 'N/A' AS error_message" for s, n in _STEP_COUNTS.items()]
     + [f"SELECT {_OK.format(s)}, 1, 1, 0, 'N/A', 'N/A'" for s in _DEFAULTS]
     + [f"SELECT {B1}, 'SP_3NF_LOAD_CE_SALES', 'ERROR LOADING CE_SALES', -1, -1, -1, 'XX000', 'LOST CONNECTION'"])
+
+
+def _listed(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in sorted(values)) + "]"
+
+
+ORACLE_SQL["prep_files"] = f"""
+WITH raw AS (
+  SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS transaction_id, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "timestamp",
+         'C' || o_custkey AS customer_id, CAST(20 + o_orderkey % 50 AS VARCHAR) AS age, CASE WHEN o_orderkey % 3 = 0 THEN 'Female' ELSE 'Male' END AS gender,
+         {_listed(prepare.REGION_COUNTRIES)}[n_regionkey % {len(prepare.REGION_COUNTRIES)} + 1] AS region, 'P' || (o_orderkey % 311) AS product_id,
+         {_listed(prepare.CATEGORY_SUBCATEGORIES)}[o_orderkey % 13 % {len(prepare.CATEGORY_SUBCATEGORIES)} + 1] AS category,
+         CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS price, CAST(o_orderkey % 9 + 1 AS VARCHAR) AS quantity, '0.1' AS discount,
+         CASE WHEN o_orderpriority LIKE '1%' THEN 'Credit Card' ELSE 'Cash' END AS payment_method
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+  people AS (SELECT customer_id, arg_min(age, o_orderkey) AS age, arg_min(gender, o_orderkey) AS gender FROM raw GROUP BY 1),
+  goods AS (SELECT product_id, arg_min(category, o_orderkey) AS category FROM raw GROUP BY 1),
+  placed AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || transaction_id), transaction_id) <= count(*) OVER () // 2 AS online FROM raw)
+SELECT transaction_id, CASE WHEN online THEN 'ONLINE' ELSE 'OFFLINE' END AS channel,
+       CASE WHEN online THEN '{",".join(ONLINE_COLUMNS)}' ELSE '{",".join(OFFLINE_COLUMNS)}' END AS header, "timestamp", product_id, g.category AS product_category,
+       price, quantity, discount, price AS total_amount, payment_method, CASE WHEN online THEN customer_id END AS customer_id,
+       CASE WHEN online THEN p.age END AS customer_age, CASE WHEN online THEN p.gender END AS customer_gender, CASE WHEN NOT online THEN region END AS purchase_region,
+       payment_method = 'Credit Card' AS has_card, CAST(CASE WHEN online THEN 8 ELSE 10 END AS INTEGER) AS n_filled
+FROM placed JOIN people p USING (customer_id) JOIN goods g USING (product_id)
+"""

@@ -215,6 +215,7 @@ def customer_upsert(spark: SparkSession, sf_dir: str):
     first = assign_keys(customer_state(t, BATCH1_CUTOFF), ["customer_src_id"], "customer_id")
     target = first.select("customer_id", "customer_src_id", *CUSTOMER_ATTRS, "source_system", "source_entity",
                           ts_lit(BATCH1_TS).alias("insert_dt"), ts_lit(BATCH1_TS).alias("update_dt"))
+    target = stage(target, "customers")  # as stored by the first load
     return upsert(target, customer_state(t, None), "customer_src_id", CUSTOMER_ATTRS, BATCH2_TS,
                   id_col="customer_id")
 

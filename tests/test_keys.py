@@ -1,8 +1,10 @@
+import datetime as dt
 import random
 
 from pyspark.sql import functions as F
 
-from strata.operators.keys import assign_keys, ensure_default, lookup, lookup_first, map_or_mint
+from strata.operators.keys import SALTS, assign_keys, ensure_default, lookup, lookup_first, map_or_mint, salt_of
+from strata.operators.pit import point_in_time_join
 
 
 def test_assign_keys_dense_ordered_with_offset(spark):
@@ -74,3 +76,30 @@ def test_lookup_spreads_the_unknown_key(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_hot_keys_are_looked_up_like_any_other(spark):
+    """'-1' and 'N/A' are spread over tasks, but a dimension that holds them answers for them."""
+    facts = spark.createDataFrame([(i, k) for i, k in enumerate(["-1", "N/A", None, "5", "7"] * 40)], "f long, k string")
+    dim = spark.createDataFrame([("-1", 11), ("5", 15), ("N/A", -1)], "key string, id long")
+    got = {(r["k"], r["id"]) for r in lookup(facts, dim, "k", "key", "id", "id").collect()}
+    assert got == {("-1", 11), ("N/A", -1), (None, -1), ("5", 15), ("7", -1)}
+    assert lookup(facts, dim, "k", "key", "id", "id").count() == 200
+    bare = spark.createDataFrame([("5", 15)], "key string, id long")
+    assert {(r["k"], r["id"]) for r in lookup(facts, bare, "k", "key", "id", "id", default=None).collect()} == {
+        ("-1", None), ("N/A", None), (None, None), ("5", 15), ("7", None)}
+
+
+def test_hot_key_is_spread(spark):
+    rows = spark.range(5000).select("id", F.lit("N/A").alias("k"))
+    salts = rows.select(salt_of(F.col("k"), rows.columns).alias("s")).groupBy("s").count().collect()
+    assert len(salts) == SALTS and max(r["count"] for r in salts) < 200
+
+
+def test_point_in_time_join_of_a_hot_key_that_is_held(spark):
+    t = dt.datetime(2024, 1, 1)
+    facts = spark.createDataFrame([(i, "-1", t) for i in range(100)], "f long, k string, ts timestamp_ntz")
+    versions = spark.createDataFrame([("-1", t, t, 4)], "vk string, start_dt timestamp_ntz, end_dt timestamp_ntz, id long")
+    for bucketed in (False, True):
+        out = point_in_time_join(facts, versions, fact_key="k", fact_ts="ts", version_key="vk", take=[], id_col="id", bucket_months=bucketed)
+        assert [r["id"] for r in out.collect()] == [4] * 100

@@ -48,3 +48,28 @@ def test_prepare_sales(spark, tmp_dir):
     a, b = write_sales_files(online, offline, tmp_dir)
     assert read_sales_csv(spark, a, ONLINE_SCHEMA).count() == 120
     assert read_sales_csv(spark, b, OFFLINE_SCHEMA).count() == 120
+
+
+def test_split_narrows_to_the_middle_row(spark):
+    """Whatever number of rows may be ordered at once, the halves are those of a full sort."""
+    import hashlib
+    from strata.operators.prepare import split_half
+    keys = [f"k{i}" for i in range(777)]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    order = sorted(keys, key=lambda k: (hashlib.md5(f"42|{k}".encode()).hexdigest(), k))
+    for small in (1, 50, 10_000):
+        online, offline = split_half(df, row_key="k", small=small)
+        assert {r["k"] for r in online.collect()} == set(order[:388]) and {r["k"] for r in offline.collect()} == set(order[388:])
+    online, offline = split_half(df.limit(1), row_key="k")
+    assert online.count() == 0 and offline.count() == 1
+
+
+def test_roster_covers_every_employee_once(spark):
+    from strata.operators.prepare import roster_periods
+    import datetime as dt
+    bounds = [dt.datetime(2024, 1, 1), dt.datetime(2024, 4, 2), dt.datetime(2024, 6, 30)]
+    employees = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "none")], "employee_id long, city string")
+    places = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "y"), ("b", "z")], "city string, address string")
+    rows = sorted((r["employee_id"], r["period_start"], r["period_end"], r["city"], r["address"]) for r in roster_periods(employees, places, bounds).collect())
+    assert [(e, s, n) for e, s, n, _, _ in rows] == [(e, s, n) for e in (1, 2, 3) for s, n in zip(bounds, bounds[1:])]
+    assert all((c, a) in {("a", "x"), ("a", "y"), ("b", "z")} for *_, c, a in rows)

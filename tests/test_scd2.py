@@ -6,7 +6,9 @@ from collections.abc import Sequence
 import hashlib
 import random
 
-from strata.operators.scd2 import HIGH, ONE_MIN, _differs, _same, fold_key, scd2_merge, versions_from_events
+import pyarrow as pa
+
+from strata.operators.scd2 import HIGH, ONE_MIN, _differs, _same, fold_key, fold_sorted, scd2_merge, versions_from_events
 
 D0 = dt.datetime(2024, 1, 1)
 M = dt.timedelta(minutes=1)
@@ -220,3 +222,27 @@ def test_fold_equals_reference_on_random_late_events():
         exp, st2 = reference_fold([dict(v) for v in base], late, ["a"])
         key = lambda x: (x["start_dt"], x["end_dt"], x["a"], x["is_active"])
         assert sorted(map(key, got)) == sorted(map(key, exp)) and st == st2, trial
+
+
+def test_fold_streams_a_key_with_very_many_late_events():
+    """Versions leave while events are still coming in, and what is held does not grow with them."""
+    schema = pa.schema([("_key", pa.string()), ("_event", pa.bool_()), ("_at", pa.timestamp("us")), ("id", pa.int64()), ("k", pa.string()),
+                        ("a", pa.string()), ("start_dt", pa.timestamp("us")), ("end_dt", pa.timestamp("us")), ("is_active", pa.bool_())])
+    read = []
+
+    def batches():
+        yield pa.RecordBatch.from_pylist([{"_key": "e", "_event": False, "_at": t(0), "id": 1, "k": "e", "a": "A", "start_dt": t(0),
+                                           "end_dt": HIGH, "is_active": True}], schema=schema)
+        for b in range(60):
+            read.append(b)
+            yield pa.RecordBatch.from_pylist([{"_key": "e", "_event": True, "_at": t(1) + dt.timedelta(minutes=5 * (500 * b + i)), "k": "e",
+                                               "a": "AB"[i % 2]} for i in range(500)], schema=schema)
+        yield pa.RecordBatch.from_pylist([{"_key": "f", "_event": True, "_at": t(1), "k": "f", "a": "A"}], schema=schema)
+
+    rows, first = [], None
+    for batch in fold_sorted(batches(), ["id", "k", "a", "start_dt", "end_dt", "is_active"], ["a"], "ts", "id", False):
+        first = len(read) if first is None else first
+        assert batch.num_rows <= 2048
+        rows += batch.to_pylist()
+    assert first < 10 and len(rows) == 60 * 500 + 1      # A goes on until the first B; one version for the other key
+    assert [r["id"] for r in rows if r["k"] == "f"] == [None] and sum(r["is_active"] for r in rows) == 2
