@@ -138,7 +138,9 @@ def _ball_links(fps: DataFrame) -> DataFrame:
         "fp", F.col("fp").bitwiseXOR(F.col("m")).alias("point"))
     near = stage(at(F.concat(F.array(F.lit(0).cast("long")), _masks(1))), "simhash-points")
     hubs = near.groupBy("point").agg(F.min("fp").alias("hub"))
-    met = near.unionByName(at(_masks(2))).join(hubs, "point")  # far visitors of a point that has a near one
+    # Far visitors of a point that has a near one. The planner does not know that the masks make thousands of
+    # rows of each fingerprint and would send them all through the driver, so the join is named.
+    met = near.unionByName(at(_masks(2))).join(hubs.hint("merge"), "point")
     return met.filter("fp <> hub").select(
         F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")).distinct()
 

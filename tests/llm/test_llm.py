@@ -289,6 +289,13 @@ def test_simhash_links_lose_nothing(spark, monkeypatch, limit):
     assert links_of(spark, fps) == sorted(map(sorted, want.values()))
 
 
+def test_simhash_visitors_do_not_pass_through_the_driver(spark):
+    """The points of a few fingerprints look small to the planner, but are thousands of rows of each."""
+    links = simhash._ball_links(spark.range(40).select(F.xxhash64("id").alias("fp")))
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, k) for k in range(2, 40)] + [(5, 5)]
     got = {r["node"]: r["label"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
